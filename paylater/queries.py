@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 
 from paylater.context import TEST_CONTEXT
 from paylater.operators import schedule
-from paylater.plans import warehouse
+from paylater.plans import customer, merchant, payments, transactions, warehouse
 from paylater.sources import bronze as bronze_ops
 from paylater.functions import surrogate_key
 
@@ -35,14 +35,25 @@ def wh(spark: SparkSession, sf_dir: str) -> warehouse.Warehouse:
     return warehouse.from_test_tables(spark, sf_dir, TEST_CONTEXT)
 
 
+# Means of doubles depend on summation order in their last bits; they are
+# compared at 9 decimals (the oracle rounds the same columns).
+ROUNDED = {"avg_payment_completion_rate", "weighted_completion_rate"}
+ROUND_DIGITS = 9
+
+
 def comparable(df: DataFrame) -> DataFrame:
-    """Drop run stamps; arrays of text become sorted '|'-joined text."""
+    """Drop run stamps and nested top-k arrays (checked as their own keys);
+    arrays of text become sorted '|'-joined text; order-dependent means are rounded."""
     cols = []
     for f in df.schema.fields:
         if f.name == "dbt_updated_at":
             continue
         if isinstance(f.dataType, T.ArrayType) and isinstance(f.dataType.elementType, T.StringType):
             cols.append(F.array_join(F.sort_array(F.col(f.name)), "|").alias(f.name))
+        elif isinstance(f.dataType, T.ArrayType):
+            continue
+        elif f.name in ROUNDED:
+            cols.append(F.round(F.col(f.name), ROUND_DIGITS).alias(f.name))
         else:
             cols.append(F.col(f.name))
     return df.select(*cols)
@@ -130,3 +141,182 @@ def q_installment_status(spark, sf_dir):
     sched = schedule.installment_schedule(wh(spark, sf_dir).staging["payment_plans"])
     draw = (F.substring("plan_id", 5, 100).cast("bigint") * 7 + F.col("installment_number") * 13) % 100
     return schedule.installment_status(sched, TEST_CONTEXT, draw)
+
+
+# ---------------------------------------------------------------- gold: customers
+
+def _gold_customer(spark, sf_dir):
+    w = wh(spark, sf_dir)
+    s = w.silver
+    return customer.gold_customer_analytics(s.dim_customers, s.fact_transactions,
+                                            s.fact_payment_plans, s.fact_customer_events, w.ctx)
+
+
+@query("customer_purchase_metrics")
+def q_customer_purchase_metrics(spark, sf_dir):
+    return comparable(customer.purchase_metrics(wh(spark, sf_dir).silver.fact_transactions))
+
+
+@query("customer_plan_metrics")
+def q_customer_plan_metrics(spark, sf_dir):
+    return comparable(customer.plan_metrics(wh(spark, sf_dir).silver.fact_payment_plans))
+
+
+@query("customer_engagement_metrics")
+def q_customer_engagement_metrics(spark, sf_dir):
+    return customer.engagement_metrics(wh(spark, sf_dir).silver.fact_customer_events)
+
+
+@query("customer_value_segments")
+def q_customer_value_segments(spark, sf_dir):
+    return _gold_customer(spark, sf_dir).select("customer_id", "total_spent", "value_segment")
+
+
+@query("customer_recency_segments")
+def q_customer_recency_segments(spark, sf_dir):
+    return _gold_customer(spark, sf_dir).select(
+        "customer_id", "last_transaction_date", "days_since_last_transaction", "recency_segment")
+
+
+@query("customer_plan_segments")
+def q_customer_plan_segments(spark, sf_dir):
+    return _gold_customer(spark, sf_dir).select(
+        "customer_id", "active_payment_plans", "completed_payment_plans",
+        "defaulted_payment_plans", "payment_plan_segment")
+
+
+@query("gold_customer_analytics")
+def q_gold_customer_analytics(spark, sf_dir):
+    return comparable(_gold_customer(spark, sf_dir))
+
+
+# ---------------------------------------------------------------- gold: merchants
+
+def _gold_merchant(spark, sf_dir):
+    w = wh(spark, sf_dir)
+    s = w.silver
+    return merchant.gold_merchant_analytics(s.dim_merchants, s.fact_transactions,
+                                            s.fact_payment_plans, s.fact_customer_events, w.ctx)
+
+
+@query("merchant_sales_metrics")
+def q_merchant_sales_metrics(spark, sf_dir):
+    return comparable(merchant.sales_metrics(wh(spark, sf_dir).silver.fact_transactions))
+
+
+@query("merchant_plan_metrics")
+def q_merchant_plan_metrics(spark, sf_dir):
+    return comparable(merchant.merchant_plan_metrics(wh(spark, sf_dir).silver.fact_payment_plans))
+
+
+@query("merchant_engagement_metrics")
+def q_merchant_engagement_metrics(spark, sf_dir):
+    return merchant.merchant_engagement(wh(spark, sf_dir).silver.fact_customer_events)
+
+
+@query("merchant_recent_metrics")
+def q_merchant_recent_metrics(spark, sf_dir):
+    w = wh(spark, sf_dir)
+    return merchant.recent_metrics(w.silver.fact_transactions, w.ctx)
+
+
+@query("merchant_ratios")
+def q_merchant_ratios(spark, sf_dir):
+    return _gold_merchant(spark, sf_dir).select(
+        "merchant_id", "default_rate", "view_to_purchase_rate", "avg_customer_value")
+
+
+@query("merchant_volume_segments")
+def q_merchant_volume_segments(spark, sf_dir):
+    return _gold_merchant(spark, sf_dir).select("merchant_id", "total_sales_amount", "volume_segment")
+
+
+@query("merchant_activity_segments")
+def q_merchant_activity_segments(spark, sf_dir):
+    return _gold_merchant(spark, sf_dir).select(
+        "merchant_id", "last_transaction_date", "days_since_last_transaction", "activity_segment")
+
+
+@query("gold_merchant_analytics")
+def q_gold_merchant_analytics(spark, sf_dir):
+    return comparable(_gold_merchant(spark, sf_dir))
+
+
+# ---------------------------------------------------------------- gold: daily transactions
+
+@query("daily_transactions")
+def q_daily_transactions(spark, sf_dir):
+    return comparable(transactions.daily_transactions(wh(spark, sf_dir).silver.fact_transactions))
+
+
+@query("daily_merchant_transactions")
+def q_daily_merchant_transactions(spark, sf_dir):
+    return transactions.daily_merchant_transactions(wh(spark, sf_dir).silver.fact_transactions)
+
+
+@query("daily_status_transactions")
+def q_daily_status_transactions(spark, sf_dir):
+    return transactions.daily_status_transactions(wh(spark, sf_dir).silver.fact_transactions)
+
+
+@query("daily_status_pivot")
+def q_daily_status_pivot(spark, sf_dir):
+    return transactions.daily_status_pivot(wh(spark, sf_dir).silver.fact_transactions)
+
+
+@query("daily_top_merchants")
+def q_daily_top_merchants(spark, sf_dir):
+    s = wh(spark, sf_dir).silver
+    return transactions.daily_top_merchants(s.fact_transactions, s.dim_merchants)
+
+
+@query("gold_transaction_analytics")
+def q_gold_transaction_analytics(spark, sf_dir):
+    w = wh(spark, sf_dir)
+    s = w.silver
+    return comparable(transactions.gold_transaction_analytics(
+        s.fact_transactions, s.dim_merchants, s.dim_dates, w.ctx))
+
+
+# ---------------------------------------------------------------- gold: daily payment plans
+
+@query("daily_payment_plans")
+def q_daily_payment_plans(spark, sf_dir):
+    return comparable(payments.daily_payment_plans(wh(spark, sf_dir).silver.fact_payment_plans))
+
+
+@query("daily_weighted_completion")
+def q_daily_weighted_completion(spark, sf_dir):
+    d = payments.daily_payment_plans(wh(spark, sf_dir).silver.fact_payment_plans)
+    return comparable(d.select(payments.DATE, "total_amount", "weighted_completion_rate"))
+
+
+@query("merchant_daily_plans")
+def q_merchant_daily_plans(spark, sf_dir):
+    return payments.merchant_daily_plans(wh(spark, sf_dir).silver.fact_payment_plans)
+
+
+@query("daily_top_defaulters")
+def q_daily_top_defaulters(spark, sf_dir):
+    s = wh(spark, sf_dir).silver
+    return payments.daily_top_defaulters(s.fact_payment_plans, s.dim_merchants)
+
+
+@query("daily_top_defaulters_min1")
+def q_daily_top_defaulters_min1(spark, sf_dir):
+    s = wh(spark, sf_dir).silver
+    return payments.daily_top_defaulters(s.fact_payment_plans, s.dim_merchants, min_plans=1)
+
+
+@query("daily_top_plan_merchants")
+def q_daily_top_plan_merchants(spark, sf_dir):
+    s = wh(spark, sf_dir).silver
+    return payments.daily_top_plan_merchants(s.fact_payment_plans, s.dim_merchants)
+
+
+@query("gold_payment_analytics")
+def q_gold_payment_analytics(spark, sf_dir):
+    w = wh(spark, sf_dir)
+    s = w.silver
+    return comparable(payments.gold_payment_analytics(
+        s.fact_payment_plans, s.dim_merchants, s.dim_dates, w.ctx))
