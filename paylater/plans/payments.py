@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from paylater.functions import money_avg, money_sum, ratio
+from paylater.functions import ratio
 from paylater.functions.distinct import keyed_counts, null_safe_join
 from paylater.functions.money import MONEY
 from paylater.operators.topk import top_k_per_group, top_k_rows
@@ -76,9 +76,17 @@ def _named(mp: DataFrame, dim_merchants: DataFrame) -> DataFrame:
     return mp.join(dim_merchants.select("merchant_sk", "merchant_name"), "merchant_sk", "left")
 
 
-DEFAULT_ORDER = [F.col("default_rate").desc_nulls_last(), F.col("merchant_sk").asc_nulls_last()]
+def default_order():
+    """Highest default rate first; ties by merchant key (NULL last)."""
+    return [F.col("default_rate").desc_nulls_last(), F.col("merchant_sk").asc_nulls_last()]
+
+
+def volume_order():
+    """Largest plan amount first; ties by merchant key (NULL last)."""
+    return [F.col("total_amount").desc_nulls_last(), F.col("merchant_sk").asc_nulls_last()]
+
+
 DEFAULT_PAYLOAD = ["merchant_sk", "merchant_name", "plan_count", "defaulted_plans", "default_rate"]
-VOLUME_ORDER = [F.col("total_amount").desc_nulls_last(), F.col("merchant_sk").asc_nulls_last()]
 VOLUME_PAYLOAD = ["merchant_sk", "merchant_name", "plan_count", "total_amount"]
 
 
@@ -86,23 +94,23 @@ def daily_top_defaulters(fact_plans: DataFrame, dim_merchants: DataFrame, k: int
                          min_plans: int = MIN_PLANS) -> DataFrame:
     """F5 as rows: merchants with at least ``min_plans`` plans that day, by default rate."""
     mp = merchant_daily_plans(fact_plans).where(F.col("plan_count") >= min_plans)
-    return top_k_rows(_named(mp, dim_merchants), [DATE], DEFAULT_ORDER, k, DEFAULT_PAYLOAD)
+    return top_k_rows(_named(mp, dim_merchants), [DATE], default_order(), k, DEFAULT_PAYLOAD)
 
 
 def daily_top_plan_merchants(fact_plans: DataFrame, dim_merchants: DataFrame,
                              k: int = TOP_K) -> DataFrame:
     """F6 as rows: merchants by plan amount that day."""
     return top_k_rows(_named(merchant_daily_plans(fact_plans), dim_merchants), [DATE],
-                      VOLUME_ORDER, k, VOLUME_PAYLOAD)
+                      volume_order(), k, VOLUME_PAYLOAD)
 
 
 def gold_payment_analytics(fact_plans: DataFrame, dim_merchants: DataFrame, dim_dates: DataFrame,
                            ctx, k: int = TOP_K, min_plans: int = MIN_PLANS) -> DataFrame:
     """F8: daily plan metrics, default rate, calendar and the two top-k arrays."""
     mp = _named(merchant_daily_plans(fact_plans), dim_merchants)
-    top_def = top_k_per_group(mp.where(F.col("plan_count") >= min_plans), [DATE], DEFAULT_ORDER,
+    top_def = top_k_per_group(mp.where(F.col("plan_count") >= min_plans), [DATE], default_order(),
                               k, DEFAULT_PAYLOAD, "top_defaulting_merchants")
-    top_vol = top_k_per_group(mp, [DATE], VOLUME_ORDER, k, VOLUME_PAYLOAD, "top_merchants_by_volume")
+    top_vol = top_k_per_group(mp, [DATE], volume_order(), k, VOLUME_PAYLOAD, "top_merchants_by_volume")
     cal = F.broadcast(dim_dates.select(
         F.col("date_key").alias(DATE), F.col("calendar_date").alias("plan_date"),
         F.col("year").alias("plan_year"), F.col("month").alias("plan_month"),

@@ -71,20 +71,24 @@ def top_merchant_candidates(fact_txn: DataFrame, dim_merchants: DataFrame) -> Da
     return dm.join(dim_merchants.select("merchant_sk", "merchant_name"), "merchant_sk", "left")
 
 
-TOP_ORDER = [F.col("total_amount").desc_nulls_last(), F.col("merchant_sk").asc_nulls_last()]
+def top_order():
+    """Largest amount first; ties by merchant key (NULL last)."""
+    return [F.col("total_amount").desc_nulls_last(), F.col("merchant_sk").asc_nulls_last()]
+
+
 TOP_PAYLOAD = ["merchant_sk", "merchant_name", "transaction_count", "total_amount"]
 
 
 def daily_top_merchants(fact_txn: DataFrame, dim_merchants: DataFrame, k: int = TOP_K) -> DataFrame:
     """D6 as rows: (day, rank, merchant_sk, merchant_name, transaction_count, total_amount)."""
-    return top_k_rows(top_merchant_candidates(fact_txn, dim_merchants), [DATE], TOP_ORDER, k,
+    return top_k_rows(top_merchant_candidates(fact_txn, dim_merchants), [DATE], top_order(), k,
                       TOP_PAYLOAD)
 
 
 def gold_transaction_analytics(fact_txn: DataFrame, dim_merchants: DataFrame,
                                dim_dates: DataFrame, ctx, k: int = TOP_K) -> DataFrame:
     """Daily totals, calendar attributes, status pivot and the top-k merchant array."""
-    top = top_k_per_group(top_merchant_candidates(fact_txn, dim_merchants), [DATE], TOP_ORDER, k,
+    top = top_k_per_group(top_merchant_candidates(fact_txn, dim_merchants), [DATE], top_order(), k,
                           TOP_PAYLOAD, "top_merchants")
     cal = F.broadcast(dim_dates.select(
         F.col("date_key").alias(DATE),

@@ -15,8 +15,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from paylater.context import TEST_CONTEXT
-from paylater.operators import schedule
-from paylater.plans import customer, merchant, payments, transactions, warehouse
+import datetime as dt
+
+from paylater.operators import quality, schedule
+from paylater.plans import customer, merchant, metrics, payments, transactions, warehouse
 from paylater.sources import bronze as bronze_ops
 from paylater.functions import surrogate_key
 
@@ -37,7 +39,7 @@ def wh(spark: SparkSession, sf_dir: str) -> warehouse.Warehouse:
 
 # Means of doubles depend on summation order in their last bits; they are
 # compared at 9 decimals (the oracle rounds the same columns).
-ROUNDED = {"avg_payment_completion_rate", "weighted_completion_rate"}
+ROUNDED = {"avg_payment_completion_rate", "weighted_completion_rate", "avg_completion_rate"}
 ROUND_DIGITS = 9
 
 
@@ -320,3 +322,100 @@ def q_gold_payment_analytics(spark, sf_dir):
     s = w.silver
     return comparable(payments.gold_payment_analytics(
         s.fact_payment_plans, s.dim_merchants, s.dim_dates, w.ctx))
+
+
+# ---------------------------------------------------------------- dashboard KPIs
+
+# The dashboard's date range; these bounds hold every fact row of the test
+# tables (the dashboard defaults to the first and last transaction day).
+KPI_START = TEST_CONTEXT.as_of - dt.timedelta(days=366)
+KPI_END = TEST_CONTEXT.as_of
+
+
+@query("kpi_date_bounds")
+def q_kpi_date_bounds(spark, sf_dir):
+    return metrics.date_bounds(wh(spark, sf_dir).silver.fact_transactions)
+
+
+@query("kpi_totals")
+def q_kpi_totals(spark, sf_dir):
+    return metrics.totals(wh(spark, sf_dir).silver.fact_transactions, KPI_START, KPI_END)
+
+
+@query("kpi_daily")
+def q_kpi_daily(spark, sf_dir):
+    return metrics.daily(wh(spark, sf_dir).silver.fact_transactions, KPI_START, KPI_END)
+
+
+@query("kpi_payment_methods")
+def q_kpi_payment_methods(spark, sf_dir):
+    return metrics.payment_methods(wh(spark, sf_dir).silver.fact_transactions, KPI_START, KPI_END)
+
+
+@query("kpi_top_customers")
+def q_kpi_top_customers(spark, sf_dir):
+    s = wh(spark, sf_dir).silver
+    return metrics.top_customers(s.fact_transactions, s.dim_customers, KPI_START, KPI_END)
+
+
+@query("kpi_plan_status")
+def q_kpi_plan_status(spark, sf_dir):
+    return metrics.plan_status(wh(spark, sf_dir).silver.fact_payment_plans, KPI_START, KPI_END)
+
+
+@query("kpi_completion_trend")
+def q_kpi_completion_trend(spark, sf_dir):
+    return comparable(metrics.completion_trend(wh(spark, sf_dir).silver.fact_payment_plans,
+                                               KPI_START, KPI_END))
+
+
+@query("kpi_plans_by_installments")
+def q_kpi_plans_by_installments(spark, sf_dir):
+    return metrics.plans_by_installments(wh(spark, sf_dir).silver.fact_payment_plans,
+                                         KPI_START, KPI_END)
+
+
+@query("kpi_merchant_default_rates")
+def q_kpi_merchant_default_rates(spark, sf_dir):
+    s = wh(spark, sf_dir).silver
+    return metrics.merchant_default_rates(s.fact_payment_plans, s.dim_merchants, KPI_START, KPI_END)
+
+
+# ---------------------------------------------------------------- data quality
+
+@query("dq_unique")
+def q_dq_unique(spark, sf_dir):
+    stg = wh(spark, sf_dir).staging
+    out = None
+    for table, col in quality.UNIQUE:
+        part = quality.unique_violations(stg[table], col).select(
+            F.lit(table).alias("table"), F.lit(col).alias("column"),
+            F.col(col).cast("string").alias("value"), "n_records")
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+@query("dq_not_null")
+def q_dq_not_null(spark, sf_dir):
+    return quality.not_null_report(wh(spark, sf_dir).staging)
+
+
+@query("dq_relationships")
+def q_dq_relationships(spark, sf_dir):
+    return quality.relationships_report(wh(spark, sf_dir).staging)
+
+
+@query("dq_report")
+def q_dq_report(spark, sf_dir):
+    return quality.dq_report(wh(spark, sf_dir).staging)
+
+
+@query("dq_business_rules")
+def q_dq_business_rules(spark, sf_dir):
+    return quality.business_rules_report(wh(spark, sf_dir).staging)
+
+
+@query("dq_outliers")
+def q_dq_outliers(spark, sf_dir):
+    ft = wh(spark, sf_dir).silver.fact_transactions
+    return quality.outliers(ft, "merchant_sk", "amount", "transaction_id")
