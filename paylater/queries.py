@@ -14,12 +14,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from paylater.context import TEST_CONTEXT
+from paylater.context import TEST_CONTEXT, shared_dir
 import datetime as dt
 
-from paylater.operators import quality, schedule
+from paylater.operators import incremental, quality, schedule
 from paylater.plans import customer, merchant, metrics, payments, transactions, warehouse
 from paylater.sources import bronze as bronze_ops
+from paylater.sources import readers
+from paylater.streaming import events as event_stream
 from paylater.functions import surrogate_key
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -419,3 +421,54 @@ def q_dq_business_rules(spark, sf_dir):
 def q_dq_outliers(spark, sf_dir):
     ft = wh(spark, sf_dir).silver.fact_transactions
     return quality.outliers(ft, "merchant_sk", "amount", "transaction_id")
+
+
+# ---------------------------------------------------------------- ingestion
+
+@query("bronze_csv_load")
+def q_bronze_csv_load(spark, sf_dir):
+    """Transactions staged as CSV, read back typed (date columns parsed
+    from text), stamped with lineage and loaded as a Parquet bronze table."""
+    w = wh(spark, sf_dir)
+    base = shared_dir(spark, "bronze-csv")
+    src = w.bronze["transactions"].select(*readers.schemas.TRANSACTIONS.fieldNames())
+    readers.write_csv(src, f"{base}/source/transactions")
+    extracted = readers.read_csv_text_dates(spark, f"{base}/source/transactions", "transactions")
+    return bronze_ops.load_table(bronze_ops.add_lineage(extracted, "transactions", w.ctx),
+                                 f"{base}/bronze/transactions", "transactions")
+
+
+# Events before this instant form the already-loaded target of the
+# incremental queries; the incoming batch is the whole event table.
+INCREMENTAL_CUTOFF = "2024-01-16 00:00:00"
+
+
+def _incremental_inputs(spark, sf_dir):
+    events = wh(spark, sf_dir).staging["user_events"]
+    target = events.where(F.col("event_timestamp") < F.to_timestamp_ntz(F.lit(INCREMENTAL_CUTOFF)))
+    return events, target
+
+
+@query("incremental_new_rows")
+def q_incremental_new_rows(spark, sf_dir):
+    incoming, target = _incremental_inputs(spark, sf_dir)
+    return incremental.new_by_key(incoming, target, ["event_id"])
+
+
+@query("incremental_new_rows_windowed")
+def q_incremental_new_rows_windowed(spark, sf_dir):
+    incoming, target = _incremental_inputs(spark, sf_dir)
+    return incremental.new_since(incoming, target, ["event_id"], "event_timestamp",
+                                 dt.timedelta(days=1))
+
+
+@query("stream_user_events")
+def q_stream_user_events(spark, sf_dir):
+    """The event table delivered twice as CSV files; the stream keeps one copy."""
+    w = wh(spark, sf_dir)
+    base = shared_dir(spark, "event-stream")
+    src = w.bronze["user_events"].select(*readers.schemas.USER_EVENTS.fieldNames())
+    readers.write_csv(src.unionAll(src), f"{base}/incoming")
+    event_stream.ingest_event_files(spark, f"{base}/incoming", f"{base}/bronze",
+                                    f"{base}/checkpoint", w.ctx)
+    return spark.read.parquet(f"{base}/bronze")
