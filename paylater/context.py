@@ -75,12 +75,15 @@ TEST_CONTEXT = RunContext(
 
 
 def build_session(master: str | None = None, app_name: str = "paylater",
-                  shuffle_partitions: int | None = None) -> SparkSession:
+                  shuffle_partitions: int | None = None,
+                  advisory_partition_bytes: str | None = None) -> SparkSession:
     """Session with the settings the library is tuned for.
 
     AQE re-plans joins at runtime (broadcast only when the measured side is
     under the threshold), coalesces small shuffle partitions and splits
-    skewed ones (one merchant may hold a third of all rows).
+    skewed ones (one merchant may hold a third of all rows).  On a cluster
+    keep the default advisory partition size (64 MB); for a few MB of local
+    test data a smaller one keeps all cores busy after a shuffle.
     """
     builder = SparkSession.builder.appName(app_name)
     if master:
@@ -96,6 +99,9 @@ def build_session(master: str | None = None, app_name: str = "paylater",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
         "spark.driver.memory": "16g",
     }
+    if advisory_partition_bytes:
+        conf["spark.sql.adaptive.advisoryPartitionSizeInBytes"] = advisory_partition_bytes
+        conf["spark.sql.adaptive.coalescePartitions.minPartitionSize"] = advisory_partition_bytes
     for k, v in conf.items():
         builder = builder.config(k, v)
     spark = builder.getOrCreate()

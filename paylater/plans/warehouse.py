@@ -19,7 +19,7 @@ from paylater.context import RunContext
 from paylater.operators import dims, facts
 from paylater.operators.staging import stage
 from paylater.sources import fixtures
-from paylater.sources.bronze import add_lineage
+from paylater.sources.bronze import add_lineage, load_table
 from paylater import schemas
 
 SILVER_TABLES = ["dim_customers", "dim_merchants", "dim_dates",
@@ -119,7 +119,7 @@ def from_bronze(spark: SparkSession, bronze: dict[str, DataFrame], ctx: RunConte
 
 
 def materialise(spark: SparkSession, silver: Silver, base_path: str) -> StoredSilver:
-    """Write each silver table once (full refresh) and return frames over the files."""
+    """Write each silver table of a lazy ``Silver`` (full refresh); frames over the files."""
     out = {}
     for name in SILVER_TABLES:
         path = f"{base_path.rstrip('/')}/silver/{name}"
@@ -128,5 +128,36 @@ def materialise(spark: SparkSession, silver: Silver, base_path: str) -> StoredSi
     return StoredSilver(out)
 
 
+def build_pipeline(spark: SparkSession, bronze: dict[str, DataFrame], base_path: str,
+                   ctx: RunContext) -> tuple[dict[str, DataFrame], StoredSilver]:
+    """Full refresh in dependency order: bronze, dimensions, then facts.
+
+    Every layer is written once and the next one reads the files, so no
+    upstream work is repeated (the transaction mapping feeds three bronze
+    tables; both dimensions feed all three facts) and lineage is cut at each
+    table: a lost executor recomputes from the last written layer.
+    Returns the staging frames (over bronze files) and the silver tables.
+    """
+    root = base_path.rstrip("/")
+    stored_bronze = {t: load_table(df, f"{root}/bronze/{t}", t) for t, df in bronze.items()}
+    stg = {t: stage(df, t) for t, df in stored_bronze.items()}
+
+    def write(name: str, df: DataFrame) -> DataFrame:
+        path = f"{root}/silver/{name}"
+        df.write.mode("overwrite").parquet(path)
+        return spark.read.parquet(path)
+
+    dc = write("dim_customers", dims.dim_customers(stg["customers"], ctx))
+    dm = write("dim_merchants", dims.dim_merchants(stg["merchants"], ctx))
+    dd = write("dim_dates", dims.dim_dates(spark, ctx))
+    ft = write("fact_transactions", facts.fact_transactions(stg["transactions"], dc, dm, ctx))
+    fp = write("fact_payment_plans", facts.fact_payment_plans(
+        stg["payment_plans"], stg["installments"], dc, dm, ft, ctx))
+    fe = write("fact_customer_events", facts.fact_customer_events(stg["user_events"], dc, dm, ctx))
+    return stg, StoredSilver({"dim_customers": dc, "dim_merchants": dm, "dim_dates": dd,
+                              "fact_transactions": ft, "fact_payment_plans": fp,
+                              "fact_customer_events": fe})
+
+
 __all__ = ["Warehouse", "Silver", "StoredSilver", "from_test_tables", "from_bronze",
-           "materialise", "SILVER_TABLES"]
+           "materialise", "build_pipeline", "SILVER_TABLES"]

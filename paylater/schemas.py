@@ -8,7 +8,11 @@ S, D, L, TS = T.StringType(), T.DoubleType(), T.LongType(), T.TimestampNTZType()
 
 
 def _struct(*fields: tuple[str, T.DataType, bool]) -> T.StructType:
-    return T.StructType([T.StructField(n, t, nullable) for n, t, nullable in fields])
+    """Every source column is nullable on read: missing keys are what the
+    ``not_null`` checks report, so the reader must not reject them.  The flag
+    records whether the source system declares the column required."""
+    return T.StructType([T.StructField(n, t, True, {"required": not nullable})
+                         for n, t, nullable in fields])
 
 
 CUSTOMERS = _struct(
