@@ -56,3 +56,16 @@ def null_safe_join(left: DataFrame, right: DataFrame, on: list[str], how: str =
         *[F.col(f"_l.{c}").alias(c) for c in on],
         *[F.col(f"_l.{c}").alias(c) for c in left.columns if c not in on],
         *[F.col(f"_r.{c}").alias(c) for c in right.columns if c not in on])
+
+
+def value_sets(df: DataFrame, by: list[str], col: str, out: str) -> DataFrame:
+    """Per group, the sorted distinct non-NULL values of ``col`` (``array_agg(distinct)``).
+
+    Reduced to distinct ``(group, value)`` pairs first, with map-side partial
+    aggregation, so the array per group is bounded by the number of distinct
+    values, and the main aggregate stays a hash aggregate (an object-typed
+    ``collect_set`` next to distinct counts makes Spark fall back to
+    sort-based aggregation).
+    """
+    return (df.select(*by, col).distinct()
+            .groupBy(*by).agg(F.sort_array(F.collect_list(col)).alias(out)))

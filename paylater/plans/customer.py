@@ -12,8 +12,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from paylater.context import RunContext
-from paylater.functions import day_diff, days_before, money_avg, money_sum, sorted_set
-from paylater.functions.distinct import keyed_counts, null_safe_join
+from paylater.functions import day_diff, days_before, money_avg, money_sum
+from paylater.functions.distinct import keyed_counts, null_safe_join, value_sets
 
 ENGAGEMENT_TYPES = {  # output column -> event type
     "app_opens": "app_open", "product_views": "product_view", "searches": "search",
@@ -26,16 +26,16 @@ RECENCY_DAYS = [(30, "Active"), (90, "Recent"), (180, "Lapsed")]
 
 def purchase_metrics(fact_txn: DataFrame, by: str = "customer_sk") -> DataFrame:
     """Completed transactions per customer."""
-    return (fact_txn.where(F.col("status") == "completed")
-            .groupBy(by).agg(
-                F.count_distinct("transaction_sk").alias("total_transactions"),
-                money_sum("amount").alias("total_spent"),
-                money_avg("amount").alias("avg_transaction_amount"),
-                F.min("transaction_date").alias("first_transaction_date"),
-                F.max("transaction_date").alias("last_transaction_date"),
-                F.count_distinct("merchant_sk").alias("unique_merchants_count"),
-                sorted_set("currency").alias("currencies_used"),
-            ))
+    done = fact_txn.where(F.col("status") == "completed")
+    main = done.groupBy(by).agg(
+        F.count_distinct("transaction_sk").alias("total_transactions"),
+        money_sum("amount").alias("total_spent"),
+        money_avg("amount").alias("avg_transaction_amount"),
+        F.min("transaction_date").alias("first_transaction_date"),
+        F.max("transaction_date").alias("last_transaction_date"),
+        F.count_distinct("merchant_sk").alias("unique_merchants_count"),
+    )
+    return null_safe_join(main, value_sets(done, [by], "currency", "currencies_used"), [by], "left")
 
 
 def plan_metrics(fact_plans: DataFrame, by: str = "customer_sk",

@@ -13,8 +13,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from paylater.context import RunContext
-from paylater.functions import day_diff, days_before, money_avg, money_sum, ratio, sorted_set
-from paylater.functions.distinct import keyed_counts
+from paylater.functions import day_diff, days_before, money_avg, money_sum, ratio
+from paylater.functions.distinct import keyed_counts, null_safe_join, value_sets
 from paylater.plans.customer import plan_metrics
 
 ENGAGEMENT_TYPES = {"product_views": "product_view", "add_to_carts": "add_to_cart",
@@ -27,16 +27,17 @@ RECENT_DAYS = 30
 
 def sales_metrics(fact_txn: DataFrame) -> DataFrame:
     """Completed transactions per merchant."""
-    return (fact_txn.where(F.col("status") == "completed")
-            .groupBy("merchant_sk").agg(
-                F.count_distinct("transaction_sk").alias("total_transactions"),
-                F.count_distinct("customer_sk").alias("unique_customers"),
-                money_sum("amount").alias("total_sales_amount"),
-                money_avg("amount").alias("avg_transaction_amount"),
-                F.min("transaction_date").alias("first_transaction_date"),
-                F.max("transaction_date").alias("last_transaction_date"),
-                sorted_set("currency").alias("currencies_used"),
-            ))
+    done = fact_txn.where(F.col("status") == "completed")
+    main = done.groupBy("merchant_sk").agg(
+        F.count_distinct("transaction_sk").alias("total_transactions"),
+        F.count_distinct("customer_sk").alias("unique_customers"),
+        money_sum("amount").alias("total_sales_amount"),
+        money_avg("amount").alias("avg_transaction_amount"),
+        F.min("transaction_date").alias("first_transaction_date"),
+        F.max("transaction_date").alias("last_transaction_date"),
+    )
+    return null_safe_join(main, value_sets(done, ["merchant_sk"], "currency", "currencies_used"),
+                          ["merchant_sk"], "left")
 
 
 def merchant_plan_metrics(fact_plans: DataFrame) -> DataFrame:

@@ -13,8 +13,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from paylater import schemas
-from paylater.functions import money_avg, money_sum, sorted_set
-from paylater.functions.distinct import null_safe_join
+from paylater.functions import money_avg, money_sum
+from paylater.functions.distinct import null_safe_join, value_sets
 from paylater.operators.topk import top_k_per_group, top_k_rows
 
 DATE = "transaction_date_key"
@@ -23,7 +23,7 @@ TOP_K = 5
 
 def daily_transactions(fact_txn: DataFrame) -> DataFrame:
     """All statuses per day."""
-    return fact_txn.groupBy(DATE).agg(
+    main = fact_txn.groupBy(DATE).agg(
         F.count_distinct("transaction_sk").alias("transaction_count"),
         F.count_distinct("customer_sk").alias("customer_count"),
         F.count_distinct("merchant_sk").alias("merchant_count"),
@@ -31,8 +31,8 @@ def daily_transactions(fact_txn: DataFrame) -> DataFrame:
         money_avg("amount").alias("avg_amount"),
         F.min("amount").alias("min_amount"),
         F.max("amount").alias("max_amount"),
-        sorted_set("currency").alias("currencies"),
     )
+    return null_safe_join(main, value_sets(fact_txn, [DATE], "currency", "currencies"), [DATE], "left")
 
 
 def daily_merchant_transactions(fact_txn: DataFrame) -> DataFrame:

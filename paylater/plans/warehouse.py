@@ -11,6 +11,7 @@ sources.
 from __future__ import annotations
 
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
@@ -128,35 +129,59 @@ def materialise(spark: SparkSession, silver: Silver, base_path: str) -> StoredSi
     return StoredSilver(out)
 
 
+def _run_parallel(tasks: dict[str, Callable[[], DataFrame]], workers: int) -> dict[str, DataFrame]:
+    """Submit independent Spark jobs from a thread pool; re-raise the first failure."""
+    if workers <= 1:
+        return {k: fn() for k, fn in tasks.items()}
+    with ThreadPoolExecutor(max_workers=workers) as pool:
+        futures = {k: pool.submit(fn) for k, fn in tasks.items()}
+        return {k: f.result() for k, f in futures.items()}
+
+
 def build_pipeline(spark: SparkSession, bronze: dict[str, DataFrame], base_path: str,
-                   ctx: RunContext) -> tuple[dict[str, DataFrame], StoredSilver]:
+                   ctx: RunContext, parallel_jobs: int = 4
+                   ) -> tuple[dict[str, DataFrame], StoredSilver]:
     """Full refresh in dependency order: bronze, dimensions, then facts.
 
     Every layer is written once and the next one reads the files, so no
-    upstream work is repeated (the transaction mapping feeds three bronze
-    tables; both dimensions feed all three facts) and lineage is cut at each
-    table: a lost executor recomputes from the last written layer.
-    Returns the staging frames (over bronze files) and the silver tables.
+    upstream work is repeated (both dimensions feed all three facts) and
+    lineage is cut at each table: a lost executor recomputes from the last
+    written layer.  Tables of one layer that do not depend on each other are
+    written as concurrent jobs (``parallel_jobs``), so small tables do not
+    leave the cluster idle.  Returns the staging frames (over bronze files)
+    and the silver tables.
     """
     root = base_path.rstrip("/")
-    stored_bronze = {t: load_table(df, f"{root}/bronze/{t}", t) for t, df in bronze.items()}
-    stg = {t: stage(df, t) for t, df in stored_bronze.items()}
 
     def write(name: str, df: DataFrame) -> DataFrame:
         path = f"{root}/silver/{name}"
         df.write.mode("overwrite").parquet(path)
         return spark.read.parquet(path)
 
-    dc = write("dim_customers", dims.dim_customers(stg["customers"], ctx))
-    dm = write("dim_merchants", dims.dim_merchants(stg["merchants"], ctx))
-    dd = write("dim_dates", dims.dim_dates(spark, ctx))
-    ft = write("fact_transactions", facts.fact_transactions(stg["transactions"], dc, dm, ctx))
-    fp = write("fact_payment_plans", facts.fact_payment_plans(
-        stg["payment_plans"], stg["installments"], dc, dm, ft, ctx))
-    fe = write("fact_customer_events", facts.fact_customer_events(stg["user_events"], dc, dm, ctx))
-    return stg, StoredSilver({"dim_customers": dc, "dim_merchants": dm, "dim_dates": dd,
-                              "fact_transactions": ft, "fact_payment_plans": fp,
-                              "fact_customer_events": fe})
+    stored_bronze = _run_parallel(
+        {t: (lambda t=t, df=df: load_table(df, f"{root}/bronze/{t}", t)) for t, df in bronze.items()},
+        parallel_jobs)
+    stg = {t: stage(stored_bronze[t], t) for t in bronze}
+    d = _run_parallel({
+        "dim_customers": lambda: write("dim_customers", dims.dim_customers(stg["customers"], ctx)),
+        "dim_merchants": lambda: write("dim_merchants", dims.dim_merchants(stg["merchants"], ctx)),
+        "dim_dates": lambda: write("dim_dates", dims.dim_dates(spark, ctx)),
+    }, parallel_jobs)
+    dc, dm = d["dim_customers"], d["dim_merchants"]
+
+    def plans_after_transactions() -> dict[str, DataFrame]:
+        ft = write("fact_transactions", facts.fact_transactions(stg["transactions"], dc, dm, ctx))
+        fp = write("fact_payment_plans", facts.fact_payment_plans(
+            stg["payment_plans"], stg["installments"], dc, dm, ft, ctx))
+        return {"fact_transactions": ft, "fact_payment_plans": fp}
+
+    f = _run_parallel({
+        "txn_and_plans": plans_after_transactions,
+        "fact_customer_events": lambda: write("fact_customer_events", facts.fact_customer_events(
+            stg["user_events"], dc, dm, ctx)),
+    }, parallel_jobs)
+    return stg, StoredSilver({**d, **f["txn_and_plans"],
+                              "fact_customer_events": f["fact_customer_events"]})
 
 
 __all__ = ["Warehouse", "Silver", "StoredSilver", "from_test_tables", "from_bronze",

@@ -35,8 +35,22 @@ def query(name: str):
     return deco
 
 
+_WAREHOUSES: dict[tuple[int, str], tuple[SparkSession, warehouse.Warehouse]] = {}
+
+
 def wh(spark: SparkSession, sf_dir: str) -> warehouse.Warehouse:
-    return warehouse.from_test_tables(spark, sf_dir, TEST_CONTEXT)
+    """The lazy warehouse over ``sf_dir``, built once per session.
+
+    Only the DataFrame definitions are kept (nothing is cached or
+    collected); reusing them saves rebuilding the same plans on the driver
+    for every query.
+    """
+    key = (id(spark), sf_dir)
+    hit = _WAREHOUSES.get(key)
+    if hit is None or hit[0] is not spark:
+        hit = (spark, warehouse.from_test_tables(spark, sf_dir, TEST_CONTEXT))
+        _WAREHOUSES[key] = hit
+    return hit[1]
 
 
 # Means of doubles depend on summation order in their last bits; they are
