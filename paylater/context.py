@@ -6,7 +6,7 @@ import datetime as dt
 import os
 import tempfile
 import uuid
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
@@ -88,17 +88,23 @@ def build_session(master: str | None = None, app_name: str = "paylater",
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
-    cores = os.cpu_count() or 8
     conf = {
         "spark.ui.enabled": "false",
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
-        "spark.sql.shuffle.partitions": str(shuffle_partitions or cores),
         "spark.sql.execution.arrow.pyspark.enabled": "true",
-        "spark.driver.memory": "16g",
     }
+    local = bool(master and master.startswith("local"))
+    if local:
+        # one JVM: the driver's heap is all there is; about one shuffle
+        # partition per core suits a few MB of test data
+        conf["spark.driver.memory"] = "16g"
+        conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions or os.cpu_count() or 8)
+    elif shuffle_partitions:
+        # on a cluster: about total shuffle bytes / 128 MB; AQE coalesces down
+        conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     if advisory_partition_bytes:
         conf["spark.sql.adaptive.advisoryPartitionSizeInBytes"] = advisory_partition_bytes
         conf["spark.sql.adaptive.coalescePartitions.minPartitionSize"] = advisory_partition_bytes

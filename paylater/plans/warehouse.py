@@ -184,5 +184,40 @@ def build_pipeline(spark: SparkSession, bronze: dict[str, DataFrame], base_path:
                               "fact_customer_events": f["fact_customer_events"]})
 
 
+GOLD_TABLES = ["gold_customer_analytics", "gold_merchant_analytics",
+               "gold_transaction_analytics", "gold_payment_analytics"]
+
+
+def gold_marts(silver, ctx: RunContext) -> dict[str, Callable[[], DataFrame]]:
+    """Builders of the four marts over (written) silver tables."""
+    from paylater.plans import customer, merchant, payments, transactions
+    s = silver
+    return {
+        "gold_customer_analytics": lambda: customer.gold_customer_analytics(
+            s.dim_customers, s.fact_transactions, s.fact_payment_plans, s.fact_customer_events, ctx),
+        "gold_merchant_analytics": lambda: merchant.gold_merchant_analytics(
+            s.dim_merchants, s.fact_transactions, s.fact_payment_plans, s.fact_customer_events, ctx),
+        "gold_transaction_analytics": lambda: transactions.gold_transaction_analytics(
+            s.fact_transactions, s.dim_merchants, s.dim_dates, ctx),
+        "gold_payment_analytics": lambda: payments.gold_payment_analytics(
+            s.fact_payment_plans, s.dim_merchants, s.dim_dates, ctx),
+    }
+
+
+def build_gold(spark: SparkSession, silver, base_path: str, ctx: RunContext,
+               parallel_jobs: int = 4) -> dict[str, DataFrame]:
+    """Write the four marts (independent, so as concurrent jobs); frames over the files."""
+    root = base_path.rstrip("/")
+
+    def write(name: str, build: Callable[[], DataFrame]) -> DataFrame:
+        path = f"{root}/gold/{name}"
+        build().write.mode("overwrite").parquet(path)
+        return spark.read.parquet(path)
+
+    return _run_parallel({n: (lambda n=n, b=b: write(n, b)) for n, b in gold_marts(silver, ctx).items()},
+                         parallel_jobs)
+
+
 __all__ = ["Warehouse", "Silver", "StoredSilver", "from_test_tables", "from_bronze",
-           "materialise", "build_pipeline", "SILVER_TABLES"]
+           "materialise", "build_pipeline", "build_gold", "gold_marts", "SILVER_TABLES",
+           "GOLD_TABLES"]

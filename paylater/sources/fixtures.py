@@ -70,6 +70,7 @@ def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     first = F.split_part(F.col("c_name"), F.lit("#"), F.lit(1))
     last = F.split_part(F.col("c_name"), F.lit("#"), F.lit(2))
     reg = _ntz_day(REGISTRATION_START, key % REGISTRATION_SPAN_DAYS)
+    # the nation table has a fixed 25 rows, so broadcasting it is bounded
     return (c.join(F.broadcast(n), c.c_nationkey == n.n_nationkey, "left")
             .select(
                 _padded("CUST", key, 6).alias("customer_id"),
