@@ -72,16 +72,15 @@ def plan_installment_metrics(stg_installments: DataFrame) -> DataFrame:
     Distinct counts are taken in two steps instead of one ``Expand`` per
     conditional distinct: rows are first reduced to one per
     ``(plan_id, installment_id)`` with flags and partial sums, then summed
-    per plan.  Both steps run on a single hash partitioning by ``plan_id``
-    (a plan has a bounded number of installments, so the key cannot be
-    hot), so the installment rows are shuffled once.
+    per plan.  Both steps aggregate map-side before their shuffle, so even a
+    (corrupt) plan id holding a third of all rows reaches the final step as
+    one partial row per task.
     """
     st = F.col("status")
     is_paid = st.isin("paid", "paid_late")
     late = ((st == "paid_late") & F.col("due_date").isNotNull() & F.col("paid_date").isNotNull())
     per_installment = (
         stg_installments
-        .repartition("plan_id")
         .groupBy("plan_id", "installment_id")
         .agg(
             F.max(is_paid.cast("int")).alias("_paid"),

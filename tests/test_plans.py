@@ -54,12 +54,14 @@ def test_kpi_date_filter_pushed_to_scan(spark, stored):
     assert "ReadSchema: struct<transaction_date_key:date,amount:double>" in text
 
 
-def test_installment_rollup_shuffles_once(spark, stored):
+def test_installment_rollup_combines_before_each_shuffle(spark, stored):
     stg, _ = stored
     df = facts.plan_installment_metrics(stg["installments"])
     text = df._jdf.queryExecution().executedPlan().toString()
-    assert text.count("Exchange hashpartitioning") == 1
+    assert text.count("Exchange hashpartitioning") == 2
     assert "Expand" not in text
+    # every exchange is fed by a partial (map-side) aggregate
+    assert text.count("HashAggregate(keys=[plan_id") >= 4
 
 
 def test_typed_engagement_counts_without_expand(spark, stored):
