@@ -37,8 +37,12 @@ def read_sources(spark: SparkSession, sources: str, fmt: str) -> dict[str, DataF
 
 
 def refresh(spark: SparkSession, sources: dict[str, DataFrame], target: str, ctx: RunContext,
-            parallel_jobs: int = 4) -> dict:
-    """bronze -> silver -> gold, then the DQ and load reports; returns a summary."""
+            parallel_jobs: int = 4, register: bool = False) -> dict:
+    """bronze -> silver -> gold, then the DQ and load reports; returns a summary.
+
+    With ``register``, the written tables are exposed in the catalog as
+    ``bronze.*``, ``silver.*``, ``gold.*`` and ``reports.*``.
+    """
     stg, silver = warehouse.build_pipeline(spark, bronze.bronze_frames(sources, ctx), target, ctx,
                                            parallel_jobs)
     gold = warehouse.build_gold(spark, silver, target, ctx, parallel_jobs)
@@ -49,7 +53,14 @@ def refresh(spark: SparkSession, sources: dict[str, DataFrame], target: str, ctx
     dq = spark.read.parquet(f"{root}/reports/dq_report")
     failing = [f"{r['table']}.{r['column']}:{r['test']}={r['failures']}"
                for r in dq.where("failures > 0").collect()]      # at most 33 report rows
-    return {"target": root, "gold": sorted(gold), "failing_tests": failing}
+    summary = {"target": root, "gold": sorted(gold), "failing_tests": failing}
+    if register:
+        layers = {"bronze": list(sources), "silver": warehouse.SILVER_TABLES,
+                  "gold": warehouse.GOLD_TABLES, "reports": ["dq_report", "bronze_row_counts"]}
+        summary["tables"] = [n for layer, tables in layers.items()
+                             for n in bronze.register_tables(
+                                 spark, layer, {t: f"{root}/{layer}/{t}" for t in tables})]
+    return summary
 
 
 def main(argv=None) -> int:
@@ -61,6 +72,7 @@ def main(argv=None) -> int:
     ap.add_argument("--format", choices=["csv", "parquet"], default="parquet")
     ap.add_argument("--as-of", type=dt.date.fromisoformat, default=dt.date.today())
     ap.add_argument("--strict", action="store_true")
+    ap.add_argument("--register", action="store_true", help="expose layers as catalog tables")
     ap.add_argument("--shuffle-partitions", type=int, default=None,
                     help="about total shuffle bytes / 128 MB; AQE coalesces down")
     args = ap.parse_args(argv)
@@ -71,7 +83,7 @@ def main(argv=None) -> int:
         sources = read_sources(spark, args.sources, args.format)
     else:
         sources = fixtures.source_tables(spark, args.test_tables)
-    summary = refresh(spark, sources, args.target, ctx)
+    summary = refresh(spark, sources, args.target, ctx, register=args.register)
     print(json.dumps(summary))
     return 1 if (args.strict and summary["failing_tests"]) else 0
 

@@ -49,6 +49,22 @@ def ensure_namespace(spark: SparkSession, name: str = "bronze") -> None:
     spark.sql(f"CREATE DATABASE IF NOT EXISTS `{name}`")
 
 
+def register_tables(spark: SparkSession, namespace: str, paths: dict[str, str]) -> list[str]:
+    """Expose written Parquet folders as ``namespace.table`` in the catalog.
+
+    The tables are external (the files stay where the load wrote them), so
+    re-registering after a full refresh only replaces catalog entries.
+    """
+    ensure_namespace(spark, namespace)
+    names = []
+    for table, path in paths.items():
+        name = f"`{namespace}`.`{table}`"
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+        spark.sql(f"CREATE TABLE {name} USING parquet LOCATION '{path}'")
+        names.append(f"{namespace}.{table}")
+    return names
+
+
 def load_table(df: DataFrame, path: str, table: str) -> DataFrame:
     """Full refresh of one bronze table; returns the written table, re-read.
 

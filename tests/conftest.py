@@ -23,6 +23,7 @@ def spark():
          .config("spark.sql.shuffle.partitions", "8")
          .config("spark.sql.session.timeZone", "UTC")
          .config("spark.checkpoint.dir", ckpt)
+         .config("spark.sql.warehouse.dir", tempfile.mkdtemp(prefix="paylater-test-wh-"))
          .getOrCreate())
     s.sparkContext.setLogLevel("ERROR")
     s.sparkContext.setCheckpointDir(ckpt)

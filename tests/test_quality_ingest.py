@@ -118,7 +118,7 @@ def test_full_refresh_job_on_smallest_tables(spark, ctx):
     from paylater.sources import fixtures
     from tests.conftest import SF_SMALL
     target = shared_dir(spark, "t-job")
-    summary = jobs.refresh(spark, fixtures.source_tables(spark, SF_SMALL), target, ctx)
+    summary = jobs.refresh(spark, fixtures.source_tables(spark, SF_SMALL), target, ctx, register=True)
     assert summary["gold"] == ["gold_customer_analytics", "gold_merchant_analytics",
                                "gold_payment_analytics", "gold_transaction_analytics"]
     # the mapping leaves some transactions without a merchant on purpose
@@ -128,3 +128,7 @@ def test_full_refresh_job_on_smallest_tables(spark, ctx):
     assert gc.count() == dc.count()
     counts = {r._etl_source: r.row_count for r in spark.read.parquet(f"{target}/reports/bronze_row_counts").collect()}
     assert counts["file.user_events"] == spark.read.parquet(f"{SF_SMALL}/events.parquet").count()
+    assert "silver.fact_transactions" in summary["tables"]
+    n = spark.sql("SELECT count(*) AS n FROM silver.fact_transactions").first().n
+    assert n == spark.sql("SELECT count(*) AS n FROM bronze.transactions").first().n
+    assert spark.sql("SELECT count(*) AS n FROM reports.dq_report").first().n == 33
