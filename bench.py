@@ -80,7 +80,8 @@ def run_all(spark, sources: dict) -> dict[str, float]:
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
-    spark = build_session(f"local[{cpus}]", app_name="paylater-bench", shuffle_partitions=cpus)
+    spark = build_session(f"local[{cpus}]", app_name="paylater-bench", shuffle_partitions=cpus,
+                          advisory_partition_bytes=os.environ.get("BENCH_ADVISORY_BYTES"))
     sources = snapshot_sources(spark, sf_dir)
     run_all(spark, sources)               # warm-up: JIT, file listing, metadata
     runs = [run_all(spark, sources) for _ in range(RUNS)]
