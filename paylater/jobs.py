@@ -37,14 +37,15 @@ def read_sources(spark: SparkSession, sources: str, fmt: str) -> dict[str, DataF
 
 
 def refresh(spark: SparkSession, sources: dict[str, DataFrame], target: str, ctx: RunContext,
-            parallel_jobs: int = 4, register: bool = False) -> dict:
+            parallel_jobs: int = 4, register: bool = False,
+            files_per_day: int | None = None) -> dict:
     """bronze -> silver -> gold, then the DQ and load reports; returns a summary.
 
     With ``register``, the written tables are exposed in the catalog as
     ``bronze.*``, ``silver.*``, ``gold.*`` and ``reports.*``.
     """
     stg, silver = warehouse.build_pipeline(spark, bronze.bronze_frames(sources, ctx), target, ctx,
-                                           parallel_jobs)
+                                           parallel_jobs, files_per_day)
     gold = warehouse.build_gold(spark, silver, target, ctx, parallel_jobs)
     root = target.rstrip("/")
     quality.dq_report(stg).write.mode("overwrite").parquet(f"{root}/reports/dq_report")
@@ -73,6 +74,8 @@ def main(argv=None) -> int:
     ap.add_argument("--as-of", type=dt.date.fromisoformat, default=dt.date.today())
     ap.add_argument("--strict", action="store_true")
     ap.add_argument("--register", action="store_true", help="expose layers as catalog tables")
+    ap.add_argument("--files-per-day", type=int, default=None,
+                    help="write facts partitioned by date, this many files per day")
     ap.add_argument("--shuffle-partitions", type=int, default=None,
                     help="about total shuffle bytes / 128 MB; AQE coalesces down")
     args = ap.parse_args(argv)
@@ -83,7 +86,8 @@ def main(argv=None) -> int:
         sources = read_sources(spark, args.sources, args.format)
     else:
         sources = fixtures.source_tables(spark, args.test_tables)
-    summary = refresh(spark, sources, args.target, ctx, register=args.register)
+    summary = refresh(spark, sources, args.target, ctx, register=args.register,
+                      files_per_day=args.files_per_day)
     print(json.dumps(summary))
     return 1 if (args.strict and summary["failing_tests"]) else 0
 

@@ -15,6 +15,7 @@ from concurrent.futures import ThreadPoolExecutor
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from paylater.context import RunContext
 from paylater.operators import dims, facts
@@ -138,8 +139,28 @@ def _run_parallel(tasks: dict[str, Callable[[], DataFrame]], workers: int) -> di
         return {k: f.result() for k, f in futures.items()}
 
 
+# Date key and row id of each fact, for date-partitioned writes.
+FACT_DATES = {"fact_transactions": ("transaction_date_key", "transaction_sk"),
+              "fact_payment_plans": ("plan_date_key", "plan_sk"),
+              "fact_customer_events": ("event_date_key", "event_sk")}
+
+
+def write_by_day(df: DataFrame, path: str, date_col: str, spread_col: str,
+                 files_per_day: int) -> None:
+    """Write one folder per day, each day spread over ``files_per_day`` files.
+
+    Rows are shuffled by ``(day, hash(spread_col) mod files_per_day)``, so a
+    day holding a third of all rows is still written by ``files_per_day``
+    tasks, and the table has at most ``days * files_per_day`` files.  A
+    date filter on the key then prunes whole folders (``PartitionFilters``).
+    """
+    bucket = F.pmod(F.xxhash64(spread_col), F.lit(files_per_day))
+    (df.repartition(F.col(date_col), bucket)
+     .write.mode("overwrite").partitionBy(date_col).parquet(path))
+
+
 def build_pipeline(spark: SparkSession, bronze: dict[str, DataFrame], base_path: str,
-                   ctx: RunContext, parallel_jobs: int = 4
+                   ctx: RunContext, parallel_jobs: int = 4, files_per_day: int | None = None
                    ) -> tuple[dict[str, DataFrame], StoredSilver]:
     """Full refresh in dependency order: bronze, dimensions, then facts.
 
@@ -148,13 +169,19 @@ def build_pipeline(spark: SparkSession, bronze: dict[str, DataFrame], base_path:
     lineage is cut at each table: a lost executor recomputes from the last
     written layer.  Tables of one layer that do not depend on each other are
     written as concurrent jobs (``parallel_jobs``), so small tables do not
-    leave the cluster idle.  Returns the staging frames (over bronze files)
-    and the silver tables.
+    leave the cluster idle.  With ``files_per_day`` the facts are written
+    partitioned by their date key (see ``write_by_day``), for date-filtered
+    reads at scale.  Returns the staging frames (over bronze files) and the
+    silver tables.
     """
     root = base_path.rstrip("/")
 
     def write(name: str, df: DataFrame) -> DataFrame:
         path = f"{root}/silver/{name}"
+        if files_per_day and name in FACT_DATES:
+            date_col, spread_col = FACT_DATES[name]
+            write_by_day(df, path, date_col, spread_col, files_per_day)
+            return spark.read.parquet(path).select(*df.columns)
         df.write.mode("overwrite").parquet(path)
         return spark.read.parquet(path)
 

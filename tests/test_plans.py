@@ -72,3 +72,27 @@ def test_typed_engagement_counts_without_expand(spark, stored):
     df = keyed_counts(s.fact_customer_events, ["customer_sk"], "event_sk",
                       {n: et == t for n, t in customer.ENGAGEMENT_TYPES.items()}, "total_events")
     assert "Expand" not in df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_date_partitioned_facts_prune_folders_and_match(spark, stored):
+    from pyspark.sql import functions as F
+    stg, s = stored
+    base = shared_dir(spark, "t-by-day")
+    _, part = warehouse.build_pipeline(spark, {t: spark.read.parquet(p) for t, p in _bronze_paths(stg).items()},
+                                       base, TEST_CONTEXT, files_per_day=2)
+    assert part.fact_transactions.columns == s.fact_transactions.columns
+    assert dict(part.fact_transactions.dtypes)["transaction_date_key"] == "date"
+    start, end = dt.date(2001, 1, 1), dt.date(2001, 1, 31)
+    df = metrics.daily(part.fact_transactions, start, end)
+    text = df._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(transaction_date_key" in text
+    assert sorted(map(tuple, df.collect())) == sorted(map(tuple, metrics.daily(s.fact_transactions, start, end).collect()))
+    n_files = len(part.fact_transactions.inputFiles())
+    n_days = part.fact_transactions.select("transaction_date_key").distinct().count()
+    assert n_files <= 2 * n_days
+    assert part.fact_payment_plans.count() == s.fact_payment_plans.count()
+    assert part.fact_customer_events.exceptAll(s.fact_customer_events).count() == 0
+
+
+def _bronze_paths(stg):
+    return {t: df.inputFiles()[0].rsplit("/", 1)[0] for t, df in stg.items()}
