@@ -116,17 +116,16 @@ def build_session(master: str | None = None, app_name: str = "paylater",
 
 
 def shared_dir(spark: SparkSession, name: str | None = None) -> str:
-    """A fresh folder under the cluster's shared ``spark.checkpoint.dir``.
+    """A fresh folder under the cluster's shared checkpoint directory.
 
-    The setting is read from the session.  Only when it is unset (local
-    tests) is a folder under the system temp area created and registered.
+    The directory is read from the session (``spark.checkpoint.dir`` or the
+    context's checkpoint directory).  Only when neither is set (local tests)
+    is a folder under the system temp area registered as the checkpoint
+    directory; ``spark.checkpoint.dir`` itself cannot be changed at runtime.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None)
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not base:
+        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="paylater-ckpt-"))
         base = spark.sparkContext.getCheckpointDir()
-    if not base:
-        base = tempfile.mkdtemp(prefix="paylater-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", base)
-        spark.sparkContext.setCheckpointDir(base)
     sub = f"{name or 'work'}-{uuid.uuid4().hex[:12]}"
     return base.rstrip("/") + "/" + sub

@@ -59,3 +59,38 @@ def test_text_null_concat_and_sorted_set(spark):
     names = [r.n for r in df.select(text_null_concat("f", F.lit(" "), "l").alias("n")).collect()]
     assert names == [" x", "a ", "a y"]
     assert df.agg(sorted_set("c").alias("s")).first().s == ["a", "b"]
+
+
+def test_shared_dir_reads_session_and_falls_back_without_setting_conf():
+    from paylater.context import shared_dir
+
+    class Conf:
+        def __init__(self, value):
+            self.value, self.sets = value, []
+
+        def get(self, key, default=None):
+            return self.value if key == "spark.checkpoint.dir" else default
+
+        def set(self, key, value):  # must not be called: the setting is not modifiable
+            self.sets.append(key)
+
+    class Ctx:
+        def __init__(self):
+            self.dir = None
+
+        def getCheckpointDir(self):
+            return self.dir
+
+        def setCheckpointDir(self, d):
+            self.dir = "file:" + d + "/abc"
+
+    class Session:
+        def __init__(self, value):
+            self.conf, self.sparkContext = Conf(value), Ctx()
+
+    cluster = Session("hdfs://shared/ckpt")
+    assert shared_dir(cluster, "x").startswith("hdfs://shared/ckpt/x-")
+    local = Session(None)
+    d = shared_dir(local, "y")
+    assert d.startswith("file:/") and "/abc/y-" in d and local.conf.sets == []
+    assert shared_dir(local, "z").rsplit("/", 1)[0] == d.rsplit("/", 1)[0]
