@@ -50,12 +50,28 @@ def lookup(fact: DataFrame, dim: DataFrame, key: str, cols: list[str],
     return fact.join(d, cond, "left").drop("_lookup_key")
 
 
+def lookup_key(fact: DataFrame, dim: DataFrame, key: str, sk_name: str,
+               spread_nulls_by: str | None = None) -> DataFrame:
+    """S6 for a hashed key: ``sk_name`` is ``surrogate_key(key)`` where ``key`` exists in ``dim``.
+
+    The dimensions build their key as ``surrogate_key(natural key)``, so the
+    lookup only needs to know whether (and how often) the natural key is in
+    the dimension: the join carries the natural key and a flag instead of a
+    32-character hash, about half the bytes to shuffle or broadcast.  A key
+    present twice in the dimension still yields two fact rows, as a left
+    join on the full dimension does.
+    """
+    found = dim.select(key, F.lit(True).alias("_found"))
+    joined = lookup(fact, found, key, ["_found"], spread_nulls_by)
+    return joined.withColumn(sk_name, F.when(F.col("_found"), surrogate_key(key))).drop("_found")
+
+
 def fact_transactions(stg_transactions: DataFrame, dim_customers: DataFrame,
                       dim_merchants: DataFrame, ctx: RunContext) -> DataFrame:
     """One row per staged transaction with customer/merchant keys and a date key."""
-    t = lookup(stg_transactions, dim_customers, "customer_id", ["customer_sk"],
-               spread_nulls_by="transaction_id")
-    t = lookup(t, dim_merchants, "merchant_id", ["merchant_sk"], spread_nulls_by="transaction_id")
+    t = lookup_key(stg_transactions, dim_customers, "customer_id", "customer_sk",
+                   spread_nulls_by="transaction_id")
+    t = lookup_key(t, dim_merchants, "merchant_id", "merchant_sk", spread_nulls_by="transaction_id")
     return t.select(
         surrogate_key("transaction_id").alias("transaction_sk"),
         "transaction_id", "customer_sk", "merchant_sk",
@@ -111,13 +127,15 @@ def fact_payment_plans(stg_payment_plans: DataFrame, stg_installments: DataFrame
     """S8 + S10: plan keys, installment metrics (zero when absent), completion rate.
 
     The roll-up is joined first: it comes out partitioned by ``plan_id``,
-    so that join shuffles only the plans.
+    so that join shuffles only the plans.  The transaction lookup is the
+    one join of two large tables; it carries only transaction ids and a
+    flag (``fact_transactions.transaction_sk`` is the surrogate of its id).
     """
     metrics = plan_installment_metrics(stg_installments)
     p = stg_payment_plans.join(metrics, on="plan_id", how="left")
-    p = lookup(p, fact_txn, "transaction_id", ["transaction_sk"])
-    p = lookup(p, dim_customers, "customer_id", ["customer_sk"], spread_nulls_by="plan_id")
-    p = lookup(p, dim_merchants, "merchant_id", ["merchant_sk"], spread_nulls_by="plan_id")
+    p = lookup_key(p, fact_txn, "transaction_id", "transaction_sk", spread_nulls_by="plan_id")
+    p = lookup_key(p, dim_customers, "customer_id", "customer_sk", spread_nulls_by="plan_id")
+    p = lookup_key(p, dim_merchants, "merchant_id", "merchant_sk", spread_nulls_by="plan_id")
     zero = F.lit(0).cast("bigint")
     paid_amount = F.coalesce(F.col("total_paid_amount"), F.lit(0.0))
     return p.select(
@@ -140,8 +158,8 @@ def fact_payment_plans(stg_payment_plans: DataFrame, stg_installments: DataFrame
 def fact_customer_events(stg_user_events: DataFrame, dim_customers: DataFrame,
                          dim_merchants: DataFrame, ctx: RunContext) -> DataFrame:
     """Events with customer/merchant keys; anonymous events keep NULL keys."""
-    e = lookup(stg_user_events, dim_customers, "customer_id", ["customer_sk"], spread_nulls_by="event_id")
-    e = lookup(e, dim_merchants, "merchant_id", ["merchant_sk"], spread_nulls_by="event_id")
+    e = lookup_key(stg_user_events, dim_customers, "customer_id", "customer_sk", spread_nulls_by="event_id")
+    e = lookup_key(e, dim_merchants, "merchant_id", "merchant_sk", spread_nulls_by="event_id")
     return e.select(
         surrogate_key("event_id").alias("event_sk"),
         "event_id", "customer_sk", "merchant_sk",

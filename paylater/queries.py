@@ -8,21 +8,21 @@ arrays into sorted ``|``-joined text so that values compare across engines.
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from paylater import schemas
 from paylater.context import TEST_CONTEXT, shared_dir
-import datetime as dt
-
-from paylater.operators import incremental, quality, schedule
+from paylater.functions import surrogate_key
+from paylater.operators import facts, incremental, quality, schedule
 from paylater.plans import customer, merchant, metrics, payments, transactions, warehouse
 from paylater.sources import bronze as bronze_ops
 from paylater.sources import readers
 from paylater.streaming import events as event_stream
-from paylater.functions import surrogate_key
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, QueryFn] = {}
@@ -135,8 +135,7 @@ def q_fact_transactions(spark, sf_dir):
 
 @query("plan_installment_metrics")
 def q_plan_installment_metrics(spark, sf_dir):
-    from paylater.operators.facts import plan_installment_metrics
-    return plan_installment_metrics(wh(spark, sf_dir).staging["installments"])
+    return facts.plan_installment_metrics(wh(spark, sf_dir).staging["installments"])
 
 
 @query("fact_payment_plans")
@@ -445,7 +444,7 @@ def q_bronze_csv_load(spark, sf_dir):
     from text), stamped with lineage and loaded as a Parquet bronze table."""
     w = wh(spark, sf_dir)
     base = shared_dir(spark, "bronze-csv")
-    src = w.bronze["transactions"].select(*readers.schemas.TRANSACTIONS.fieldNames())
+    src = w.bronze["transactions"].select(*schemas.TRANSACTIONS.fieldNames())
     readers.write_csv(src, f"{base}/source/transactions")
     extracted = readers.read_csv_text_dates(spark, f"{base}/source/transactions", "transactions")
     return bronze_ops.load_table(bronze_ops.add_lineage(extracted, "transactions", w.ctx),
@@ -481,7 +480,7 @@ def q_stream_user_events(spark, sf_dir):
     """The event table delivered twice as CSV files; the stream keeps one copy."""
     w = wh(spark, sf_dir)
     base = shared_dir(spark, "event-stream")
-    src = w.bronze["user_events"].select(*readers.schemas.USER_EVENTS.fieldNames())
+    src = w.bronze["user_events"].select(*schemas.USER_EVENTS.fieldNames())
     readers.write_csv(src.unionAll(src), f"{base}/incoming")
     event_stream.ingest_event_files(spark, f"{base}/incoming", f"{base}/bronze",
                                     f"{base}/checkpoint", w.ctx)

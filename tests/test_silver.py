@@ -1,4 +1,5 @@
 import datetime as dt
+import hashlib
 
 from pyspark.sql import functions as F
 
@@ -68,13 +69,15 @@ def test_fact_payment_plans_zero_total_and_missing_installments(spark, ctx):
         "total_amount double, installment_count long, first_installment_amount double, status string, "
         "_etl_extracted_at timestamp_ntz")
     inst = spark.createDataFrame([], INST)
-    dc = spark.createDataFrame([("C1", "sk1")], "customer_id string, customer_sk string")
-    dm = spark.createDataFrame([("M1", "m1")], "merchant_id string, merchant_sk string")
-    ft = spark.createDataFrame([("T1", "t1")], "transaction_id string, transaction_sk string")
+    dc = spark.createDataFrame([("C1",)], "customer_id string")
+    dm = spark.createDataFrame([("M1",)], "merchant_id string")
+    ft = spark.createDataFrame([("T1",)], "transaction_id string")
     out = {r.plan_id: r for r in facts.fact_payment_plans(plans, inst, dc, dm, ft, ctx).collect()}
     assert out["P1"].payment_completion_rate is None and out["P1"].total_installments == 0
     assert out["P2"].payment_completion_rate == 0.0 and out["P2"].merchant_sk is None
-    assert out["P2"].transaction_sk is None and out["P1"].transaction_sk == "t1"
+    assert out["P2"].transaction_sk is None
+    assert out["P1"].transaction_sk == hashlib.md5(b"T1").hexdigest()
+    assert out["P1"].customer_sk == hashlib.md5(b"C1").hexdigest()
 
 
 def test_schedule_month_end_clamp_and_rounding(spark, ctx):
