@@ -41,12 +41,18 @@ def keyed_counts(df: DataFrame, by: list[str], key: str, flags: dict[str, Column
     )
 
 
-def null_safe_join(left: DataFrame, right: DataFrame, on: list[str], how: str = "inner") -> DataFrame:
+def null_safe_join(left: DataFrame, right: DataFrame, on: list[str], how: str = "inner",
+                   keys_may_be_null: bool = True) -> DataFrame:
     """Equi-join where NULL keys match each other (grouped outputs keep a NULL group).
 
-    Both sides are aliased, so frames derived from the same source can be
-    joined without ambiguous column references.
+    A caller that has already removed NULL keys passes
+    ``keys_may_be_null=False`` and gets a plain equi-join, which keeps both
+    sides' hash partitioning on the key, so a later join on the same key
+    needs no new shuffle.  Both sides are aliased, so frames derived from
+    the same source join without ambiguous column references.
     """
+    if not keys_may_be_null:
+        return left.join(right, on=on, how=how)
     lft, rgt = left.alias("_l"), right.alias("_r")
     cond = None
     for c in on:

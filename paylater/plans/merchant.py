@@ -25,8 +25,8 @@ ACTIVITY_DAYS = [(7, "Very Active"), (30, "Active"), (90, "Moderately Active")]
 RECENT_DAYS = 30
 
 
-def sales_metrics(fact_txn: DataFrame) -> DataFrame:
-    """Completed transactions per merchant."""
+def sales_metrics(fact_txn: DataFrame, keys_may_be_null: bool = True) -> DataFrame:
+    """Completed transactions per merchant (NULL merchant is its own group)."""
     done = fact_txn.where(F.col("status") == "completed")
     main = done.groupBy("merchant_sk").agg(
         F.count_distinct("transaction_sk").alias("total_transactions"),
@@ -37,7 +37,7 @@ def sales_metrics(fact_txn: DataFrame) -> DataFrame:
         F.max("transaction_date").alias("last_transaction_date"),
     )
     return null_safe_join(main, value_sets(done, ["merchant_sk"], "currency", "currencies_used"),
-                          ["merchant_sk"], "left")
+                          ["merchant_sk"], "left", keys_may_be_null)
 
 
 def merchant_plan_metrics(fact_plans: DataFrame) -> DataFrame:
@@ -89,7 +89,7 @@ def gold_merchant_analytics(dim_merchants: DataFrame, fact_txn: DataFrame, fact_
                             fact_events: DataFrame, ctx: RunContext) -> DataFrame:
     """One row per merchant of the dimension (R5 joins, R6 ratios, R7/R8 segments)."""
     known = F.col("merchant_sk").isNotNull()
-    sm = sales_metrics(fact_txn.where(known))
+    sm = sales_metrics(fact_txn.where(known), keys_may_be_null=False)
     pm = merchant_plan_metrics(fact_plans.where(known))
     em = merchant_engagement(fact_events)
     rm = recent_metrics(fact_txn.where(known), ctx)

@@ -96,3 +96,27 @@ def test_date_partitioned_facts_prune_folders_and_match(spark, stored):
 
 def _bronze_paths(stg):
     return {t: df.inputFiles()[0].rsplit("/", 1)[0] for t, df in stg.items()}
+
+
+def test_marts_shuffle_once_per_aggregate_step_without_broadcast(spark, stored):
+    """With dimensions too large to broadcast (the 100 TB case), the per-key
+    aggregates and the dimension meet on one hash partitioning: the marts
+    add no shuffle beyond the aggregates' own and the dimension's."""
+    import re
+    _, s = stored
+    keys = ["spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold"]
+    old = {k: spark.conf.get(k, None) for k in keys}
+    try:
+        for k in keys:
+            spark.conf.set(k, "-1")
+        cust = customer.gold_customer_analytics(s.dim_customers, s.fact_transactions, s.fact_payment_plans,
+                                                s.fact_customer_events, TEST_CONTEXT)
+        text = cust._jdf.queryExecution().executedPlan().toString()
+        assert len(re.findall(r"Exchange hashpartitioning", text)) == 11
+        assert "coalesce(customer_sk" not in text
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
