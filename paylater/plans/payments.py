@@ -116,9 +116,10 @@ def gold_payment_analytics(fact_plans: DataFrame, dim_merchants: DataFrame, dim_
         F.col("year").alias("plan_year"), F.col("month").alias("plan_month"),
         F.col("month_name").alias("plan_month_name"), F.col("quarter").alias("plan_quarter"),
         F.col("year_month").alias("plan_year_month")))
-    out = daily_payment_plans(fact_plans).join(cal, DATE, "left")
-    out = null_safe_join(out, top_def, [DATE], "left")
-    out = null_safe_join(out, top_vol, [DATE], "left")
+    # plain equi-joins on the day: a NULL day gets empty top-k arrays, as the
+    # reference's correlated `date_key = date_key` subqueries give
+    out = (daily_payment_plans(fact_plans).join(cal, DATE, "left")
+           .join(top_def, DATE, "left").join(top_vol, DATE, "left"))
     return out.select(
         DATE, "plan_date", "plan_year", "plan_month", "plan_month_name", "plan_quarter",
         "plan_year_month", "plan_count", "customer_count", "merchant_count", "total_amount",

@@ -100,15 +100,20 @@ def gold_transaction_analytics(fact_txn: DataFrame, dim_merchants: DataFrame,
         F.col("day_name").alias("transaction_day_name"),
         "is_weekend", "quarter", "year_month"))
     daily = daily_transactions(fact_txn)
-    out = daily.join(cal, DATE, "left")
-    out = null_safe_join(out, daily_status_pivot(fact_txn), [DATE], "left")
-    out = null_safe_join(out, top, [DATE], "left")
+    # plain equi-joins on the day: a NULL day keeps its totals but, as in the
+    # reference's `date_key = date_key` joins, gets zero status counts and no
+    # top merchants
+    out = (daily.join(cal, DATE, "left")
+           .join(daily_status_pivot(fact_txn), DATE, "left")
+           .join(top, DATE, "left"))
     return out.select(
         DATE, "transaction_date", "transaction_year", "transaction_month", "transaction_month_name",
         "transaction_day", "transaction_day_name", "is_weekend", "quarter", "year_month",
         "transaction_count", "customer_count", "merchant_count", "total_amount", "avg_amount",
         "min_amount", "max_amount", "currencies",
-        *[f"{s}_{m}" for s in schemas.TRANSACTION_STATUSES for m in ("count", "amount")],
+        *[F.coalesce(F.col(f"{s}_count"), F.lit(0).cast("bigint")).alias(f"{s}_count")
+          if m == "count" else F.coalesce(F.col(f"{s}_amount"), F.lit(0.0)).alias(f"{s}_amount")
+          for s in schemas.TRANSACTION_STATUSES for m in ("count", "amount")],
         F.coalesce(F.col("top_merchants"), F.array()).alias("top_merchants"),
         ctx.updated_at_col.alias("dbt_updated_at"),
     )

@@ -16,7 +16,7 @@ FE = ("event_sk string, customer_sk string, merchant_sk string, event_date_key d
 
 
 def _txn(spark, rows):
-    full = [(f"t{i}", f"T{i}", c, m, d.date(), d, a, "AED", "credit_card", s)
+    full = [(f"t{i}", f"T{i}", c, m, d and d.date(), d, a, "AED", "credit_card", s)
             for i, (c, m, d, a, s) in enumerate(rows)]
     return spark.createDataFrame(full, FT)
 
@@ -124,3 +124,18 @@ def test_gold_marts_empty_arrays_when_no_candidates(spark, ctx):
     assert r.top_defaulting_merchants == [] and len(r.top_merchants_by_volume) == 1
     assert r.top_merchants_by_volume[0].merchant_name == "One"
     assert r.plan_month_name == "August" and r.weighted_completion_rate == 1.0
+
+
+def test_null_day_gets_totals_but_no_breakdown_or_top_list(spark, ctx):
+    from paylater.operators.dims import dim_dates
+    rows = [("c", "m1", None, 10.0, "completed"), ("c", "m1", ts("2001-08-01 10:00:00"), 5.0, "completed")]
+    txn = _txn(spark, rows)
+    dim_m = spark.createDataFrame([("m1", "One")], "merchant_sk string, merchant_name string")
+    out = {r.transaction_date_key: r for r in
+           transactions.gold_transaction_analytics(txn, dim_m, dim_dates(spark, ctx), ctx).collect()}
+    null_day = out[None]
+    assert null_day.transaction_count == 1 and null_day.total_amount == 10.0
+    assert null_day.completed_count == 0 and null_day.completed_amount == 0.0
+    assert null_day.top_merchants == [] and null_day.transaction_date is None
+    day = out[dt.date(2001, 8, 1)]
+    assert day.completed_count == 1 and len(day.top_merchants) == 1
