@@ -33,6 +33,7 @@ from paylater.sources.bronze import bronze_frames  # noqa: E402
 
 
 RUNS = 2
+PARALLEL_JOBS = int(os.environ.get("BENCH_PARALLEL_JOBS", "4"))
 
 
 def snapshot_sources(spark, sf_dir: str) -> dict:
@@ -60,7 +61,7 @@ def run_all(spark, sources: dict) -> dict[str, float]:
 
     base = shared_dir(spark, "bench")
     stg, s = timed("bronze_silver", lambda: warehouse.build_pipeline(
-        spark, bronze_frames(sources, ctx), base, ctx))
+        spark, bronze_frames(sources, ctx), base, ctx, parallel_jobs=PARALLEL_JOBS))
     timed("gold_customer_analytics", lambda: run(customer.gold_customer_analytics(
         s.dim_customers, s.fact_transactions, s.fact_payment_plans, s.fact_customer_events, ctx)))
     timed("gold_merchant_analytics", lambda: run(merchant.gold_merchant_analytics(

@@ -124,3 +124,23 @@ def merchant_default_rates(fact_plans: DataFrame, dim_merchants: DataFrame, star
                     "total_amount")
             .orderBy(F.col("default_rate").desc_nulls_last(), F.col("merchant_name").asc_nulls_last())
             .limit(n))
+
+
+def dashboard(silver, start: dt.date | None = None, end: dt.date | None = None) -> dict[str, DataFrame]:
+    """All dashboard queries for one date range (lazy; the caller runs the ones it shows).
+
+    ``silver`` is any object with the silver tables as attributes.  The
+    default range is open, i.e. every row.
+    """
+    ft, fp = silver.fact_transactions, silver.fact_payment_plans
+    return {
+        "date_bounds": date_bounds(ft),
+        "totals": totals(ft, start, end),
+        "daily": daily(ft, start, end),
+        "payment_methods": payment_methods(ft, start, end),
+        "top_customers": top_customers(ft, silver.dim_customers, start, end),
+        "plan_status": plan_status(fp, start, end),
+        "completion_trend": completion_trend(fp, start, end),
+        "plans_by_installments": plans_by_installments(fp, start, end),
+        "merchant_default_rates": merchant_default_rates(fp, silver.dim_merchants, start, end),
+    }

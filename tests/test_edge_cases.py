@@ -73,3 +73,11 @@ def test_kpi_window_matches_brute_force(spark):
     assert tot.total_transactions == len(pdf)
     assert tot.active_customers == ft.where(F.col("transaction_date_key").between(start, end)) \
         .select("customer_sk").where(F.col("customer_sk").isNotNull()).distinct().count()
+
+
+def test_dashboard_bundle_runs_every_panel(spark):
+    s = wh(spark, SF_SMALL).silver
+    panels = metrics.dashboard(s, dt.date(2001, 1, 1), dt.date(2001, 6, 30))
+    assert len(panels) == 9
+    assert panels["totals"].first().total_transactions == panels["daily"].agg(F.sum("transaction_count")).first()[0]
+    assert panels["top_customers"].count() == 10
