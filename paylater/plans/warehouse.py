@@ -21,7 +21,7 @@ from paylater.context import RunContext
 from paylater.operators import dims, facts
 from paylater.operators.staging import stage
 from paylater.sources import fixtures
-from paylater.sources.bronze import add_lineage, load_table
+from paylater.sources.bronze import BronzeLoadError, LoadReport, add_lineage, load_table
 from paylater import schemas
 
 SILVER_TABLES = ["dim_customers", "dim_merchants", "dim_dates",
@@ -130,13 +130,32 @@ def materialise(spark: SparkSession, silver: Silver, base_path: str) -> StoredSi
     return StoredSilver(out)
 
 
+class ParallelJobsError(RuntimeError):
+    """Some of a set of independent jobs failed; the others ran to the end."""
+
+    def __init__(self, done: dict, failed: dict[str, BaseException]):
+        self.done, self.failed = done, failed
+        super().__init__(f"failed: {sorted(failed)}: " +
+                         "; ".join(f"{k}: {type(e).__name__}: {e}" for k, e in failed.items()))
+
+
 def _run_parallel(tasks: dict[str, Callable[[], DataFrame]], workers: int) -> dict[str, DataFrame]:
-    """Submit independent Spark jobs from a thread pool; re-raise the first failure."""
-    if workers <= 1:
-        return {k: fn() for k, fn in tasks.items()}
-    with ThreadPoolExecutor(max_workers=workers) as pool:
+    """Submit independent Spark jobs from a thread pool.
+
+    Every job runs to the end even when another fails; failures are raised
+    together afterwards (``ParallelJobsError``), never dropped.
+    """
+    done, failed = {}, {}
+    with ThreadPoolExecutor(max_workers=max(1, workers)) as pool:
         futures = {k: pool.submit(fn) for k, fn in tasks.items()}
-        return {k: f.result() for k, f in futures.items()}
+        for k, f in futures.items():
+            try:
+                done[k] = f.result()
+            except Exception as exc:  # noqa: BLE001 - collected and re-raised below
+                failed[k] = exc
+    if failed:
+        raise ParallelJobsError(done, failed)
+    return done
 
 
 # Date key and row id of each fact, for date-partitioned writes.
@@ -185,9 +204,14 @@ def build_pipeline(spark: SparkSession, bronze: dict[str, DataFrame], base_path:
         df.write.mode("overwrite").parquet(path)
         return spark.read.parquet(path)
 
-    stored_bronze = _run_parallel(
-        {t: (lambda t=t, df=df: load_table(df, f"{root}/bronze/{t}", t)) for t, df in bronze.items()},
-        parallel_jobs)
+    try:
+        stored_bronze = _run_parallel(
+            {t: (lambda t=t, df=df: load_table(df, f"{root}/bronze/{t}", t)) for t, df in bronze.items()},
+            parallel_jobs)
+    except ParallelJobsError as err:   # B7: report every table, loaded or not
+        raise BronzeLoadError(LoadReport(
+            loaded={t: f"{root}/bronze/{t}" for t in err.done},
+            failed={t: f"{type(e).__name__}: {e}" for t, e in err.failed.items()})) from err
     stg = {t: stage(stored_bronze[t], t) for t in bronze}
     d = _run_parallel({
         "dim_customers": lambda: write("dim_customers", dims.dim_customers(stg["customers"], ctx)),

@@ -1,6 +1,7 @@
 import datetime as dt
 
 import pytest
+from pyspark.sql import functions as F
 
 from paylater import schemas
 from paylater.context import shared_dir
@@ -131,3 +132,21 @@ def test_full_refresh_job_on_smallest_tables(spark, ctx):
     n = spark.sql("SELECT count(*) AS n FROM silver.fact_transactions").first().n
     assert n == spark.sql("SELECT count(*) AS n FROM bronze.transactions").first().n
     assert spark.sql("SELECT count(*) AS n FROM reports.dq_report").first().n == 33
+
+
+def test_pipeline_bronze_phase_reports_every_failed_table(spark, ctx):
+    from paylater.plans import warehouse
+    from paylater.sources import fixtures
+    from tests.conftest import SF_SMALL
+    srcs = fixtures.source_tables(spark, SF_SMALL)
+    bronze_tables = bronze.bronze_frames(srcs, ctx)
+    # two sources that fail when the load job runs (as a dropped connection would)
+    for table in ["merchants", "user_events"]:
+        cols = [F.raise_error(F.lit(f"{table} source down")).cast(f.dataType).alias(f.name)
+                if i == 0 else F.lit(None).cast(f.dataType).alias(f.name)
+                for i, f in enumerate(schemas.SOURCE_SCHEMAS[table].fields)]
+        bronze_tables[table] = bronze.add_lineage(spark.range(1).select(*cols), table, ctx)
+    with pytest.raises(bronze.BronzeLoadError) as err:
+        warehouse.build_pipeline(spark, bronze_tables, shared_dir(spark, "t-fail"), ctx)
+    assert set(err.value.report.failed) == {"merchants", "user_events"}
+    assert set(err.value.report.loaded) == {"customers", "transactions", "payment_plans", "installments"}
