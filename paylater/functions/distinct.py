@@ -41,18 +41,14 @@ def keyed_counts(df: DataFrame, by: list[str], key: str, flags: dict[str, Column
     )
 
 
-def null_safe_join(left: DataFrame, right: DataFrame, on: list[str], how: str = "inner",
-                   keys_may_be_null: bool = True) -> DataFrame:
-    """Equi-join where NULL keys match each other (grouped outputs keep a NULL group).
+def null_safe_join(left: DataFrame, right: DataFrame, on: list[str], how: str = "inner") -> DataFrame:
+    """Equi-join where NULL keys match each other (rows meet their NULL group).
 
-    A caller that has already removed NULL keys passes
-    ``keys_may_be_null=False`` and gets a plain equi-join, which keeps both
-    sides' hash partitioning on the key, so a later join on the same key
-    needs no new shuffle.  Both sides are aliased, so frames derived from
-    the same source join without ambiguous column references.
+    Used to attach per-group results back to rows; to combine aggregates of
+    the same groups use ``merge_groups``, which needs no shuffle.  Both
+    sides are aliased, so frames derived from the same source join without
+    ambiguous column references.
     """
-    if not keys_may_be_null:
-        return left.join(right, on=on, how=how)
     lft, rgt = left.alias("_l"), right.alias("_r")
     cond = None
     for c in on:
@@ -67,7 +63,9 @@ def null_safe_join(left: DataFrame, right: DataFrame, on: list[str], how: str =
 def value_sets(df: DataFrame, by: list[str], col: str, out: str) -> DataFrame:
     """Per group, the sorted distinct non-NULL values of ``col`` (``array_agg(distinct)``).
 
-    Reduced to distinct ``(group, value)`` pairs first, with map-side partial
+    Meant for a column with a small domain (currencies): the array per group
+    is as long as the number of distinct values.  Reduced to distinct
+    ``(group, value)`` pairs first, with map-side partial
     aggregation, so the array per group is bounded by the number of distinct
     values, and the main aggregate stays a hash aggregate (an object-typed
     ``collect_set`` next to distinct counts makes Spark fall back to
@@ -75,3 +73,20 @@ def value_sets(df: DataFrame, by: list[str], col: str, out: str) -> DataFrame:
     """
     return (df.select(*by, col).distinct()
             .groupBy(*by).agg(F.sort_array(F.collect_list(col)).alias(out)))
+
+
+def merge_groups(parts: list[DataFrame], keys: list[str]) -> DataFrame:
+    """One row per group from aggregates of the *same* groups computed separately.
+
+    Each part has one row per group and its own value columns.  The parts
+    are stacked (missing columns NULL) and regrouped, taking each column
+    from the part that has it.  A union keeps its children's hash
+    partitioning on the keys, so the regroup adds no shuffle, and a NULL
+    key groups with itself, where a join would need a null-safe condition
+    and a new shuffle on rewritten keys.
+    """
+    stacked = parts[0]
+    for p in parts[1:]:
+        stacked = stacked.unionByName(p, allowMissingColumns=True)
+    values = [c for c in stacked.columns if c not in keys]
+    return stacked.groupBy(*keys).agg(*[F.max(c).alias(c) for c in values])

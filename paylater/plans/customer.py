@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from paylater.context import RunContext
 from paylater.functions import day_diff, days_before, money_avg, money_sum
-from paylater.functions.distinct import keyed_counts, null_safe_join, value_sets
+from paylater.functions.distinct import keyed_counts, merge_groups, value_sets
 
 ENGAGEMENT_TYPES = {  # output column -> event type
     "app_opens": "app_open", "product_views": "product_view", "searches": "search",
@@ -24,8 +24,7 @@ HIGH_VALUE, MEDIUM_VALUE = 5000, 1000
 RECENCY_DAYS = [(30, "Active"), (90, "Recent"), (180, "Lapsed")]
 
 
-def purchase_metrics(fact_txn: DataFrame, by: str = "customer_sk",
-                     keys_may_be_null: bool = True) -> DataFrame:
+def purchase_metrics(fact_txn: DataFrame, by: str = "customer_sk") -> DataFrame:
     """Completed transactions per customer (NULL customer is its own group)."""
     done = fact_txn.where(F.col("status") == "completed")
     main = done.groupBy(by).agg(
@@ -36,8 +35,7 @@ def purchase_metrics(fact_txn: DataFrame, by: str = "customer_sk",
         F.max("transaction_date").alias("last_transaction_date"),
         F.count_distinct("merchant_sk").alias("unique_merchants_count"),
     )
-    return null_safe_join(main, value_sets(done, [by], "currency", "currencies_used"), [by], "left",
-                          keys_may_be_null)
+    return merge_groups([main, value_sets(done, [by], "currency", "currencies_used")], [by])
 
 
 def plan_metrics(fact_plans: DataFrame, by: str = "customer_sk",
@@ -54,8 +52,7 @@ def plan_metrics(fact_plans: DataFrame, by: str = "customer_sk",
     )
 
 
-def engagement_metrics(fact_events: DataFrame, by: str = "customer_sk",
-                       keys_may_be_null: bool = True) -> DataFrame:
+def engagement_metrics(fact_events: DataFrame, by: str = "customer_sk") -> DataFrame:
     """Distinct events, sessions, active days and distinct events per type.
 
     Typed distinct counts come from one ``(customer, event)`` reduction
@@ -69,7 +66,7 @@ def engagement_metrics(fact_events: DataFrame, by: str = "customer_sk",
         F.count_distinct("session_id").alias("total_sessions"),
         F.count_distinct("event_date_key").alias("active_days"),
     )
-    out = null_safe_join(typed, spread, [by], "inner", keys_may_be_null)
+    out = merge_groups([typed, spread], [by])
     return out.select(by, "total_events", "total_sessions", "active_days", *ENGAGEMENT_TYPES)
 
 
@@ -107,9 +104,9 @@ def gold_customer_analytics(dim_customers: DataFrame, fact_txn: DataFrame, fact_
     shuffle here).
     """
     known = F.col("customer_sk").isNotNull()
-    pm = purchase_metrics(fact_txn.where(known), keys_may_be_null=False)
+    pm = purchase_metrics(fact_txn.where(known))
     pp = plan_metrics(fact_plans.where(known))
-    em = engagement_metrics(fact_events.where(known), keys_may_be_null=False)
+    em = engagement_metrics(fact_events.where(known))
     j = (dim_customers.join(pm, "customer_sk", "left")
          .join(pp, "customer_sk", "left")
          .join(em, "customer_sk", "left"))

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from paylater.context import RunContext
 from paylater.functions import day_diff, days_before, money_avg, money_sum, ratio
-from paylater.functions.distinct import keyed_counts, null_safe_join, value_sets
+from paylater.functions.distinct import keyed_counts, merge_groups, value_sets
 from paylater.plans.customer import plan_metrics
 
 ENGAGEMENT_TYPES = {"product_views": "product_view", "add_to_carts": "add_to_cart",
@@ -25,7 +25,7 @@ ACTIVITY_DAYS = [(7, "Very Active"), (30, "Active"), (90, "Moderately Active")]
 RECENT_DAYS = 30
 
 
-def sales_metrics(fact_txn: DataFrame, keys_may_be_null: bool = True) -> DataFrame:
+def sales_metrics(fact_txn: DataFrame) -> DataFrame:
     """Completed transactions per merchant (NULL merchant is its own group)."""
     done = fact_txn.where(F.col("status") == "completed")
     main = done.groupBy("merchant_sk").agg(
@@ -36,8 +36,8 @@ def sales_metrics(fact_txn: DataFrame, keys_may_be_null: bool = True) -> DataFra
         F.min("transaction_date").alias("first_transaction_date"),
         F.max("transaction_date").alias("last_transaction_date"),
     )
-    return null_safe_join(main, value_sets(done, ["merchant_sk"], "currency", "currencies_used"),
-                          ["merchant_sk"], "left", keys_may_be_null)
+    return merge_groups([main, value_sets(done, ["merchant_sk"], "currency", "currencies_used")],
+                        ["merchant_sk"])
 
 
 def merchant_plan_metrics(fact_plans: DataFrame) -> DataFrame:
@@ -53,7 +53,7 @@ def merchant_engagement(fact_events: DataFrame) -> DataFrame:
     typed = keyed_counts(ev, ["merchant_sk"], "event_sk",
                          {name: et == t for name, t in ENGAGEMENT_TYPES.items()}, "total_events")
     cust = ev.groupBy("merchant_sk").agg(F.count_distinct("customer_sk").alias("engaged_customers"))
-    out = typed.join(cust, "merchant_sk", "inner")
+    out = merge_groups([typed, cust], ["merchant_sk"])
     return out.select("merchant_sk", "total_events", "engaged_customers", *ENGAGEMENT_TYPES)
 
 
@@ -89,7 +89,7 @@ def gold_merchant_analytics(dim_merchants: DataFrame, fact_txn: DataFrame, fact_
                             fact_events: DataFrame, ctx: RunContext) -> DataFrame:
     """One row per merchant of the dimension (R5 joins, R6 ratios, R7/R8 segments)."""
     known = F.col("merchant_sk").isNotNull()
-    sm = sales_metrics(fact_txn.where(known), keys_may_be_null=False)
+    sm = sales_metrics(fact_txn.where(known))
     pm = merchant_plan_metrics(fact_plans.where(known))
     em = merchant_engagement(fact_events)
     rm = recent_metrics(fact_txn.where(known), ctx)

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from paylater.functions import ratio
-from paylater.functions.distinct import keyed_counts, null_safe_join
+from paylater.functions.distinct import keyed_counts, merge_groups
 from paylater.functions.money import MONEY
 from paylater.operators.topk import top_k_per_group, top_k_rows
 
@@ -40,7 +40,7 @@ def daily_payment_plans(fact_plans: DataFrame) -> DataFrame:
     people = fact_plans.groupBy(DATE).agg(
         F.count_distinct("customer_sk").alias("customer_count"),
         F.count_distinct("merchant_sk").alias("merchant_count"))
-    out = null_safe_join(per_plan, people, [DATE])
+    out = merge_groups([per_plan, people], [DATE])
     total = F.col("_amount_sum").cast("double")
     return out.select(
         DATE, "plan_count", "customer_count", "merchant_count",
@@ -61,7 +61,7 @@ def merchant_daily_plans(fact_plans: DataFrame) -> DataFrame:
                   "_amount_n": (F.count("total_amount"), "sum")})
     cust = fact_plans.groupBy("merchant_sk", DATE).agg(
         F.count_distinct("customer_sk").alias("customer_count"))
-    out = null_safe_join(per_plan, cust, ["merchant_sk", DATE])
+    out = merge_groups([per_plan, cust], ["merchant_sk", DATE])
     total = F.col("_amount_sum").cast("double")
     return out.select(
         "merchant_sk", DATE, "plan_count", "customer_count",

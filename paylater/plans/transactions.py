@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from paylater import schemas
 from paylater.functions import money_avg, money_sum
-from paylater.functions.distinct import null_safe_join, value_sets
+from paylater.functions.distinct import merge_groups, value_sets
 from paylater.operators.topk import top_k_per_group, top_k_rows
 
 DATE = "transaction_date_key"
@@ -32,7 +32,7 @@ def daily_transactions(fact_txn: DataFrame) -> DataFrame:
         F.min("amount").alias("min_amount"),
         F.max("amount").alias("max_amount"),
     )
-    return null_safe_join(main, value_sets(fact_txn, [DATE], "currency", "currencies"), [DATE], "left")
+    return merge_groups([main, value_sets(fact_txn, [DATE], "currency", "currencies")], [DATE])
 
 
 def daily_merchant_transactions(fact_txn: DataFrame) -> DataFrame:
