@@ -150,3 +150,21 @@ def test_pipeline_bronze_phase_reports_every_failed_table(spark, ctx):
         warehouse.build_pipeline(spark, bronze_tables, shared_dir(spark, "t-fail"), ctx)
     assert set(err.value.report.failed) == {"merchants", "user_events"}
     assert set(err.value.report.loaded) == {"customers", "transactions", "payment_plans", "installments"}
+
+
+def test_event_stream_second_delivery_appends_only_new_events(spark, ctx):
+    base = shared_dir(spark, "t-stream2")
+    src, sink, ck = f"{base}/in", f"{base}/out", f"{base}/ck"
+
+    def events(ids, hour):
+        return spark.createDataFrame(
+            [(i, ts(f"2024-01-02 {hour:02d}:00:00"), "C1", "search", "ios", None, "s", "mobile", "UAE")
+             for i in ids], schemas.USER_EVENTS)
+
+    readers.write_csv(events(["a", "b"], 1), f"{src}/batch1")
+    event_stream.ingest_event_files(spark, f"{src}/*", sink, ck, ctx)
+    assert sorted(r.event_id for r in spark.read.parquet(sink).collect()) == ["a", "b"]
+    # a later file re-delivers "b" and brings a new event "c" within the watermark
+    readers.write_csv(events(["b", "c"], 2), f"{src}/batch2")
+    event_stream.ingest_event_files(spark, f"{src}/*", sink, ck, ctx)
+    assert sorted(r.event_id for r in spark.read.parquet(sink).collect()) == ["a", "b", "c"]
