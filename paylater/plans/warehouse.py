@@ -1,11 +1,11 @@
 """Bronze -> staging -> silver, lazily or materialised as Parquet.
 
 ``Warehouse`` builds each frame on first use only, so a query that needs
-one fact does not analyse the others.  ``materialise`` writes the silver
-layer once to a shared folder and re-reads it, so the gold marts start from
-short plans over Parquet files (the reference materialises silver and gold
-as tables) and a lost executor recomputes from those files, not from the
-sources.
+one fact does not analyse the others.  ``build_pipeline`` and ``build_gold``
+write each layer once to a shared folder and re-read it, so the next layer
+starts from short plans over Parquet files (the reference materialises
+silver and gold as tables) and a lost executor recomputes from those files,
+not from the sources.
 """
 
 from __future__ import annotations
@@ -120,16 +120,6 @@ def from_bronze(spark: SparkSession, bronze: dict[str, DataFrame], ctx: RunConte
     return Warehouse(spark, bronze, ctx)
 
 
-def materialise(spark: SparkSession, silver: Silver, base_path: str) -> StoredSilver:
-    """Write each silver table of a lazy ``Silver`` (full refresh); frames over the files."""
-    out = {}
-    for name in SILVER_TABLES:
-        path = f"{base_path.rstrip('/')}/silver/{name}"
-        getattr(silver, name).write.mode("overwrite").parquet(path)
-        out[name] = spark.read.parquet(path)
-    return StoredSilver(out)
-
-
 class ParallelJobsError(RuntimeError):
     """Some of a set of independent jobs failed; the others ran to the end."""
 
@@ -270,5 +260,5 @@ def build_gold(spark: SparkSession, silver, base_path: str, ctx: RunContext,
 
 
 __all__ = ["Warehouse", "Silver", "StoredSilver", "from_test_tables", "from_bronze",
-           "materialise", "build_pipeline", "build_gold", "gold_marts", "SILVER_TABLES",
+           "build_pipeline", "build_gold", "gold_marts", "SILVER_TABLES",
            "GOLD_TABLES"]

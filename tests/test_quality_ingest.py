@@ -168,3 +168,16 @@ def test_event_stream_second_delivery_appends_only_new_events(spark, ctx):
     readers.write_csv(events(["b", "c"], 2), f"{src}/batch2")
     event_stream.ingest_event_files(spark, f"{src}/*", sink, ck, ctx)
     assert sorted(r.event_id for r in spark.read.parquet(sink).collect()) == ["a", "b", "c"]
+
+
+def test_incremental_append_twice_adds_nothing_the_second_time(spark):
+    target = shared_dir(spark, "t-incr") + "/events"
+    first = spark.createDataFrame([("a", ts("2024-01-01 00:00:00"))], "event_id string, event_timestamp timestamp_ntz")
+    first.write.parquet(target)
+    incoming = spark.createDataFrame([("a", ts("2024-01-01 00:00:00")), ("b", ts("2024-01-02 00:00:00"))],
+                                     "event_id string, event_timestamp timestamp_ntz")
+    for _ in range(2):
+        new = incremental.new_since(incoming, spark.read.parquet(target), ["event_id"], "event_timestamp",
+                                    dt.timedelta(days=2))
+        incremental.append(new, target)
+    assert sorted(r.event_id for r in spark.read.parquet(target).collect()) == ["a", "b"]
