@@ -30,3 +30,21 @@ def top_k_per_group(df: DataFrame, group_cols: list[str], order_cols: list[Colum
             .agg(F.sort_array(F.collect_list(F.struct("_rank", *payload_cols))).alias("_items"))
             .select(*group_cols,
                     F.transform("_items", lambda s: s.dropFields("_rank")).alias(out_col)))
+
+
+def json_objects(col: str | Column, money_fields: tuple[str, ...] = ("total_amount",)) -> Column:
+    """An array of structs as an array of JSON object texts (the reference's ``json_object``).
+
+    NULL fields are kept (``"merchant_name":null``), and money fields are
+    written as two-decimal numbers, so large amounts do not turn into
+    exponent notation.  The marts keep the typed structs; this is for the
+    edge where JSON text is wanted.
+    """
+    c = F.col(col) if isinstance(col, str) else col
+
+    def one(s: Column) -> Column:
+        for f in money_fields:
+            s = s.withField(f, s.getField(f).cast("decimal(18,2)"))
+        return F.to_json(s, {"ignoreNullFields": "false"})
+
+    return F.transform(c, one)
