@@ -192,7 +192,8 @@ def build_pipeline(spark: SparkSession, bronze: dict[str, DataFrame], base_path:
             write_by_day(df, path, date_col, spread_col, files_per_day)
             return spark.read.parquet(path).select(*df.columns)
         df.write.mode("overwrite").parquet(path)
-        return spark.read.parquet(path)
+        # the schema is known: reading it back needs no footer-inference job
+        return spark.read.schema(df.schema).parquet(path)
 
     try:
         stored_bronze = _run_parallel(
@@ -252,8 +253,9 @@ def build_gold(spark: SparkSession, silver, base_path: str, ctx: RunContext,
 
     def write(name: str, build: Callable[[], DataFrame]) -> DataFrame:
         path = f"{root}/gold/{name}"
-        build().write.mode("overwrite").parquet(path)
-        return spark.read.parquet(path)
+        df = build()
+        df.write.mode("overwrite").parquet(path)
+        return spark.read.schema(df.schema).parquet(path)
 
     return _run_parallel({n: (lambda n=n, b=b: write(n, b)) for n, b in gold_marts(silver, ctx).items()},
                          parallel_jobs)

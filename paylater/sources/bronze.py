@@ -72,8 +72,10 @@ def load_table(df: DataFrame, path: str, table: str) -> DataFrame:
     ``overwrite`` replaces the previous load atomically per file commit.
     """
     cols = schemas.SOURCE_SCHEMAS[table].fieldNames() + [schemas.ETL_EXTRACTED_AT, schemas.ETL_SOURCE]
-    df.select(*cols).write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.parquet(path)
+    out = df.select(*cols)
+    out.write.mode("overwrite").parquet(path)
+    # the schema is known: reading it back needs no footer-inference job
+    return df.sparkSession.read.schema(out.schema).parquet(path)
 
 
 def row_counts(tables: dict[str, DataFrame]) -> DataFrame:
