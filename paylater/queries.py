@@ -484,4 +484,4 @@ def q_stream_user_events(spark, sf_dir):
     readers.write_csv(src.unionAll(src), f"{base}/incoming")
     event_stream.ingest_event_files(spark, f"{base}/incoming", f"{base}/bronze",
                                     f"{base}/checkpoint", w.ctx)
-    return spark.read.parquet(f"{base}/bronze")
+    return spark.read.schema(event_stream.bronze_schema()).parquet(f"{base}/bronze")

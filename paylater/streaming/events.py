@@ -55,10 +55,21 @@ def deduplicated_events(stream: DataFrame, ctx: RunContext,
     return add_lineage(typed, "user_events", ctx)
 
 
+def bronze_schema() -> T.StructType:
+    """Columns of the ingested table: the source columns plus lineage."""
+    return T.StructType(schemas.USER_EVENTS.fields + [
+        T.StructField(schemas.ETL_EXTRACTED_AT, T.TimestampNTZType(), True),
+        T.StructField(schemas.ETL_SOURCE, T.StringType(), True)])
+
+
 def ingest_event_files(spark: SparkSession, source_dir: str, sink_dir: str, checkpoint_dir: str,
                        ctx: RunContext, watermark: str = DEFAULT_WATERMARK,
                        max_files_per_trigger: int | None = None) -> None:
-    """Process every file not yet committed, append to ``sink_dir``, and stop."""
+    """Process every file not yet committed, append to ``sink_dir``, and stop.
+
+    Read the result with ``spark.read.schema(bronze_schema()).parquet(sink_dir)``:
+    the sink's commit log lists only committed files.
+    """
     out = deduplicated_events(event_file_stream(spark, source_dir, max_files_per_trigger), ctx,
                               watermark)
     q = (out.writeStream.format("parquet").outputMode("append")
