@@ -2,7 +2,8 @@
 
     python -m paylater.jobs --target DIR (--sources DIR [--format csv|parquet]
                                           | --test-tables SF_DIR)
-                            [--as-of YYYY-MM-DD] [--shuffle-partitions N] [--strict]
+                            [--as-of YYYY-MM-DD] [--calendar-start YYYY-MM-DD]
+                            [--shuffle-partitions N] [--files-per-day N] [--register] [--strict]
 
 Reads the six source tables (one folder each under ``--sources``, or the
 mapping over the driver's test tables), loads bronze, builds silver and
@@ -19,7 +20,7 @@ import json
 from pyspark.sql import DataFrame, SparkSession
 
 from paylater import schemas
-from paylater.context import RunContext, build_session
+from paylater.context import DEFAULT_CALENDAR_START, RunContext, build_session
 from paylater.operators import quality
 from paylater.plans import warehouse
 from paylater.sources import bronze, fixtures, readers
@@ -72,6 +73,8 @@ def main(argv=None) -> int:
     src.add_argument("--test-tables")
     ap.add_argument("--format", choices=["csv", "parquet"], default="parquet")
     ap.add_argument("--as-of", type=dt.date.fromisoformat, default=dt.date.today())
+    ap.add_argument("--calendar-start", type=dt.date.fromisoformat, default=DEFAULT_CALENDAR_START,
+                    help="first day of the calendar dimension")
     ap.add_argument("--strict", action="store_true")
     ap.add_argument("--register", action="store_true", help="expose layers as catalog tables")
     ap.add_argument("--files-per-day", type=int, default=None,
@@ -81,7 +84,8 @@ def main(argv=None) -> int:
     args = ap.parse_args(argv)
     spark = build_session(shuffle_partitions=args.shuffle_partitions)
     ctx = RunContext(as_of=args.as_of, updated_at=dt.datetime.now().replace(microsecond=0),
-                     extracted_at=dt.datetime.now().replace(microsecond=0))
+                     extracted_at=dt.datetime.now().replace(microsecond=0),
+                     calendar_start=args.calendar_start)
     if args.sources:
         sources = read_sources(spark, args.sources, args.format)
     else:

@@ -48,6 +48,8 @@ def date_spine(spark: SparkSession, start: dt.date, end_exclusive: dt.date) -> D
     calendar is always small enough to broadcast.
     """
     last = end_exclusive - dt.timedelta(days=1)
+    if last < start:   # an empty range has no days (sequence() would reject it)
+        return spark.range(0).select(F.lit(start).alias("date_day"))
     return spark.range(1).select(
         F.explode(F.sequence(F.lit(start), F.lit(last), F.expr("INTERVAL 1 DAY"))).alias("date_day"))
 

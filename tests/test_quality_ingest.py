@@ -181,3 +181,19 @@ def test_incremental_append_twice_adds_nothing_the_second_time(spark):
                                     dt.timedelta(days=2))
         incremental.append(new, target)
     assert sorted(r.event_id for r in spark.read.parquet(target).collect()) == ["a", "b"]
+
+
+def test_job_command_line(spark, capsys):
+    import json
+    from paylater import jobs
+    from tests.conftest import SF_SMALL
+    target = shared_dir(spark, "t-cli")
+    code = jobs.main(["--test-tables", SF_SMALL, "--target", target, "--as-of", "2001-08-02",
+                      "--calendar-start", "2000-01-01", "--files-per-day", "2"])
+    summary = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
+    assert code == 0 and summary["target"] == target and len(summary["gold"]) == 4
+    # --strict fails the run when a declared test has failures (the test tables have some)
+    assert jobs.main(["--test-tables", SF_SMALL, "--target", target + "-2", "--as-of", "2001-08-02",
+                      "--strict"]) == 1
+    days = spark.read.parquet(f"{target}/silver/fact_transactions").select("transaction_date_key").distinct()
+    assert days.count() > 300

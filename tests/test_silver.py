@@ -101,3 +101,10 @@ def test_installment_status_rule(spark, ctx):
     assert [(r.status, r.paid_date) for r in out] == [
         ("scheduled", None), ("defaulted", None), ("paid_late", ts("2001-07-28 00:00:00")),
         ("paid", ts("2001-06-28 00:00:00"))]
+
+
+def test_date_spine_empty_when_range_is_empty(spark):
+    assert dims.date_spine(spark, dt.date(2020, 1, 1), dt.date(2020, 1, 1)).count() == 0
+    ctx = RunContext(as_of=dt.date(2001, 8, 2))          # reference start 2020 > run date + 3 years
+    assert dims.dim_dates(spark, ctx).count() == 0
+    assert dims.date_spine(spark, dt.date(2020, 1, 1), dt.date(2020, 1, 2)).count() == 1
