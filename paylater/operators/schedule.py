@@ -37,11 +37,13 @@ def installment_schedule(plans: DataFrame, extra_cols: list[str] | None = None)
     n = F.col("installment_count")
     cents = F.round(F.col("total_amount") * 100).cast("bigint")
     # half-up rounding of cents / n in integer arithmetic
-    share_cents = F.floor((cents * 2 + n) / (n * 2)).cast("bigint")
+    share_cents = F.when(n >= 1, F.floor((cents * 2 + n) / (n * 2)).cast("bigint"))
     exploded = plans.select(
         "plan_id", "plan_date", "installment_count", *extra,
         share_cents.alias("_share_cents"),
-        F.explode(F.sequence(F.lit(1).cast("bigint"), n.cast("bigint"))).alias("installment_number"),
+        # no rows for a count below 1 (sequence(1, 0) would count down)
+        F.explode(F.when(n >= 1, F.sequence(F.lit(1).cast("bigint"), n.cast("bigint")))
+                  .otherwise(F.array().cast("array<bigint>"))).alias("installment_number"),
     )
     return exploded.select(
         F.concat(F.regexp_replace("plan_id", "^PLAN", "INST"), F.lit("_"),

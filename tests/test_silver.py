@@ -108,3 +108,12 @@ def test_date_spine_empty_when_range_is_empty(spark):
     ctx = RunContext(as_of=dt.date(2001, 8, 2))          # reference start 2020 > run date + 3 years
     assert dims.dim_dates(spark, ctx).count() == 0
     assert dims.date_spine(spark, dt.date(2020, 1, 1), dt.date(2020, 1, 2)).count() == 1
+
+
+def test_schedule_has_no_rows_for_zero_or_missing_count(spark):
+    plans = spark.createDataFrame(
+        [("PLAN1", ts("2001-01-31 10:30:00"), 100.0, 0), ("PLAN2", ts("2001-01-31 10:30:00"), 100.0, None),
+         ("PLAN3", ts("2001-01-31 10:30:00"), 100.0, -2), ("PLAN4", ts("2001-01-31 10:30:00"), 100.0, 1)],
+        "plan_id string, plan_date timestamp_ntz, total_amount double, installment_count long")
+    rows = installment_schedule(plans).collect()
+    assert [(r.plan_id, r.installment_number, r.amount) for r in rows] == [("PLAN4", 1, 100.0)]
