@@ -104,7 +104,12 @@ def merchants(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _orders_base(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Orders kept as transactions, with the derived integer columns."""
+    """Orders kept as transactions, with the derived integer columns.
+
+    Orders of every 50th customer are left out so that some customers have
+    no purchases (the "No Purchases" segment and NULL purchase metrics);
+    this shapes the data, it does not sample it for speed.
+    """
     o = _read(spark, sf_dir, "orders").where(F.col("o_custkey") % 50 != 49)
     li = (_read(spark, sf_dir, "lineitem").groupBy("l_orderkey")
           .agg(F.min("l_suppkey").alias("supp")))
@@ -140,6 +145,11 @@ def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _plans_base(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Completed transactions that are paid in installments.
+
+    As in the source system, only some completed transactions become plans
+    (4 in 7 here, by order key).
+    """
     t = _orders_base(spark, sf_dir).where(
         (F.col("status") == "completed") & (F.col("o_orderkey") % 7 < 4))
     k = F.col("o_orderkey")
