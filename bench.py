@@ -60,7 +60,7 @@ def run_all(spark, sources: dict) -> dict[str, float]:
         df.write.format("noop").mode("overwrite").save()
 
     base = shared_dir(spark, "bench")
-    stg, s = timed("bronze_silver", lambda: warehouse.build_pipeline(
+    stg, s = timed("bronze_silver", lambda: warehouse.build_warehouse(
         spark, bronze_frames(sources, ctx), base, ctx, parallel_jobs=PARALLEL_JOBS))
     timed("gold_customer_analytics", lambda: run(customer.gold_customer_analytics(
         s.dim_customers, s.fact_transactions, s.fact_payment_plans, s.fact_customer_events, ctx)))

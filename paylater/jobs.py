@@ -45,7 +45,7 @@ def refresh(spark: SparkSession, sources: dict[str, DataFrame], target: str, ctx
     With ``register``, the written tables are exposed in the catalog as
     ``bronze.*``, ``silver.*``, ``gold.*`` and ``reports.*``.
     """
-    stg, silver = warehouse.build_pipeline(spark, bronze.bronze_frames(sources, ctx), target, ctx,
+    stg, silver = warehouse.build_warehouse(spark, bronze.bronze_frames(sources, ctx), target, ctx,
                                            parallel_jobs, files_per_day)
     gold = warehouse.build_gold(spark, silver, target, ctx, parallel_jobs)
     root = target.rstrip("/")

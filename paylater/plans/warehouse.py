@@ -1,7 +1,7 @@
 """Bronze -> staging -> silver, lazily or materialised as Parquet.
 
 ``Warehouse`` builds each frame on first use only, so a query that needs
-one fact does not analyse the others.  ``build_pipeline`` and ``build_gold``
+one fact does not analyse the others.  ``build_warehouse`` and ``build_gold``
 write each layer once to a shared folder and re-read it, so the next layer
 starts from short plans over Parquet files (the reference materialises
 silver and gold as tables) and a lost executor recomputes from those files,
@@ -168,7 +168,7 @@ def write_by_day(df: DataFrame, path: str, date_col: str, spread_col: str,
      .write.mode("overwrite").partitionBy(date_col).parquet(path))
 
 
-def build_pipeline(spark: SparkSession, bronze: dict[str, DataFrame], base_path: str,
+def build_warehouse(spark: SparkSession, bronze: dict[str, DataFrame], base_path: str,
                    ctx: RunContext, parallel_jobs: int = 4, files_per_day: int | None = None
                    ) -> tuple[dict[str, DataFrame], StoredSilver]:
     """Full refresh in dependency order: bronze, dimensions, then facts.
@@ -262,5 +262,5 @@ def build_gold(spark: SparkSession, silver, base_path: str, ctx: RunContext,
 
 
 __all__ = ["Warehouse", "Silver", "StoredSilver", "from_test_tables", "from_bronze",
-           "build_pipeline", "build_gold", "gold_marts", "SILVER_TABLES",
+           "build_warehouse", "build_gold", "gold_marts", "SILVER_TABLES",
            "GOLD_TABLES"]

@@ -46,7 +46,7 @@ def main() -> None:
     spark = build_session("local[8]", shuffle_partitions=8)
     ctx = TEST_CONTEXT
     base = shared_dir(spark, "plan-report")
-    stg, s = warehouse.build_pipeline(spark, bronze_frames(fixtures.source_tables(spark, sf_dir), ctx),
+    stg, s = warehouse.build_warehouse(spark, bronze_frames(fixtures.source_tables(spark, sf_dir), ctx),
                                       base, ctx)
     marts = warehouse.gold_marts(s, ctx)
     queries = {**{k: v for k, v in marts.items()},

@@ -13,7 +13,7 @@ from tests.conftest import SF_SMALL
 @pytest.fixture(scope="module")
 def built(spark):
     base = shared_dir(spark, "t-invariants")
-    stg, silver = warehouse.build_pipeline(
+    stg, silver = warehouse.build_warehouse(
         spark, bronze_frames(fixtures.source_tables(spark, SF_SMALL), TEST_CONTEXT), base, TEST_CONTEXT)
     gold = warehouse.build_gold(spark, silver, base, TEST_CONTEXT)
     return stg, silver, gold

@@ -23,7 +23,7 @@ def stored(spark):
     for name, df in fixtures.source_tables(spark, SF_SMALL).items():
         df.write.parquet(f"{base}/src/{name}")
         src[name] = spark.read.parquet(f"{base}/src/{name}")
-    return warehouse.build_pipeline(spark, bronze_frames(src, TEST_CONTEXT), base, TEST_CONTEXT)
+    return warehouse.build_warehouse(spark, bronze_frames(src, TEST_CONTEXT), base, TEST_CONTEXT)
 
 
 def test_no_python_udfs_in_marts(spark, stored):
@@ -78,7 +78,7 @@ def test_date_partitioned_facts_prune_folders_and_match(spark, stored):
     from pyspark.sql import functions as F
     stg, s = stored
     base = shared_dir(spark, "t-by-day")
-    _, part = warehouse.build_pipeline(spark, {t: spark.read.parquet(p) for t, p in _bronze_paths(stg).items()},
+    _, part = warehouse.build_warehouse(spark, {t: spark.read.parquet(p) for t, p in _bronze_paths(stg).items()},
                                        base, TEST_CONTEXT, files_per_day=2)
     assert part.fact_transactions.columns == s.fact_transactions.columns
     assert dict(part.fact_transactions.dtypes)["transaction_date_key"] == "date"

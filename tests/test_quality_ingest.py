@@ -134,7 +134,7 @@ def test_full_refresh_job_on_smallest_tables(spark, ctx):
     assert spark.sql("SELECT count(*) AS n FROM reports.dq_report").first().n == 33
 
 
-def test_pipeline_bronze_phase_reports_every_failed_table(spark, ctx):
+def test_warehouse_bronze_phase_reports_every_failed_table(spark, ctx):
     from paylater.plans import warehouse
     from paylater.sources import fixtures
     from tests.conftest import SF_SMALL
@@ -147,7 +147,7 @@ def test_pipeline_bronze_phase_reports_every_failed_table(spark, ctx):
                 for i, f in enumerate(schemas.SOURCE_SCHEMAS[table].fields)]
         bronze_tables[table] = bronze.add_lineage(spark.range(1).select(*cols), table, ctx)
     with pytest.raises(bronze.BronzeLoadError) as err:
-        warehouse.build_pipeline(spark, bronze_tables, shared_dir(spark, "t-fail"), ctx)
+        warehouse.build_warehouse(spark, bronze_tables, shared_dir(spark, "t-fail"), ctx)
     assert set(err.value.report.failed) == {"merchants", "user_events"}
     assert set(err.value.report.loaded) == {"customers", "transactions", "payment_plans", "installments"}
 
