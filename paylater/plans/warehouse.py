@@ -169,8 +169,8 @@ def write_by_day(df: DataFrame, path: str, date_col: str, spread_col: str,
 
 
 def build_warehouse(spark: SparkSession, bronze: dict[str, DataFrame], base_path: str,
-                   ctx: RunContext, parallel_jobs: int = 4, files_per_day: int | None = None
-                   ) -> tuple[dict[str, DataFrame], StoredSilver]:
+                    ctx: RunContext, parallel_jobs: int = 4, files_per_day: int | None = None
+                    ) -> tuple[dict[str, DataFrame], StoredSilver]:
     """Full refresh in dependency order: bronze, dimensions, then facts.
 
     Every layer is written once and the next one reads the files, so no
@@ -190,7 +190,8 @@ def build_warehouse(spark: SparkSession, bronze: dict[str, DataFrame], base_path
         if files_per_day and name in FACT_DATES:
             date_col, spread_col = FACT_DATES[name]
             write_by_day(df, path, date_col, spread_col, files_per_day)
-            return spark.read.parquet(path).select(*df.columns)
+            # partition columns come last in the relation; restore the order
+            return spark.read.schema(df.schema).parquet(path).select(*df.columns)
         df.write.mode("overwrite").parquet(path)
         # the schema is known: reading it back needs no footer-inference job
         return spark.read.schema(df.schema).parquet(path)

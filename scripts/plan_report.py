@@ -47,7 +47,7 @@ def main() -> None:
     ctx = TEST_CONTEXT
     base = shared_dir(spark, "plan-report")
     stg, s = warehouse.build_warehouse(spark, bronze_frames(fixtures.source_tables(spark, sf_dir), ctx),
-                                      base, ctx)
+                                       base, ctx)
     marts = warehouse.gold_marts(s, ctx)
     queries = {**{k: v for k, v in marts.items()},
                "kpi_top_customers": lambda: metrics.top_customers(s.fact_transactions, s.dim_customers),

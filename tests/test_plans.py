@@ -78,8 +78,8 @@ def test_date_partitioned_facts_prune_folders_and_match(spark, stored):
     from pyspark.sql import functions as F
     stg, s = stored
     base = shared_dir(spark, "t-by-day")
-    _, part = warehouse.build_warehouse(spark, {t: spark.read.parquet(p) for t, p in _bronze_paths(stg).items()},
-                                       base, TEST_CONTEXT, files_per_day=2)
+    bronze_tables = {t: spark.read.parquet(p) for t, p in _bronze_paths(stg).items()}
+    _, part = warehouse.build_warehouse(spark, bronze_tables, base, TEST_CONTEXT, files_per_day=2)
     assert part.fact_transactions.columns == s.fact_transactions.columns
     assert dict(part.fact_transactions.dtypes)["transaction_date_key"] == "date"
     start, end = dt.date(2001, 1, 1), dt.date(2001, 1, 31)
