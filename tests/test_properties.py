@@ -39,3 +39,19 @@ def test_value_sets_equal_sorted_collect_set(spark, rows):
     want = df.groupBy("g").agg(F.sort_array(F.collect_set("t")).alias("ts"))
     key = lambda r: (r[0] is None, r[0] or "")
     assert sorted(map(tuple, got.collect()), key=key) == sorted(map(tuple, want.collect()), key=key)
+
+
+KEYS = st.lists(st.sampled_from(["a", "b", "c", None]), min_size=0, max_size=12)
+
+
+@settings(max_examples=10, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(fact_keys=KEYS, dim_keys=KEYS)
+def test_lookup_key_equals_left_join_on_full_dimension(spark, fact_keys, dim_keys):
+    from paylater.functions import surrogate_key
+    from paylater.operators.facts import lookup, lookup_key
+    fact = spark.createDataFrame([(f"r{i}", k) for i, k in enumerate(fact_keys)], "rid string, k string")
+    dim = spark.createDataFrame([(k,) for k in dim_keys], "k string").withColumn("k_sk", surrogate_key("k"))
+    got = lookup_key(fact, dim, "k", "k_sk", spread_nulls_by="rid").select("rid", "k", "k_sk")
+    want = lookup(fact, dim, "k", ["k_sk"]).select("rid", "k", "k_sk")
+    key = lambda r: tuple("" if v is None else v for v in r)
+    assert sorted(map(tuple, got.collect()), key=key) == sorted(map(tuple, want.collect()), key=key)
