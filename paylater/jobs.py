@@ -3,7 +3,7 @@
     python -m paylater.jobs --target DIR (--sources DIR [--format csv|parquet]
                                           | --test-tables SF_DIR)
                             [--as-of YYYY-MM-DD] [--calendar-start YYYY-MM-DD]
-                            [--shuffle-partitions N] [--files-per-day N] [--register] [--strict]
+                            [--shuffle-partitions N] [--partition-by-day] [--register] [--strict]
 
 Reads the six source tables (one folder each under ``--sources``, or the
 mapping over the driver's test tables), loads bronze, builds silver and
@@ -39,14 +39,14 @@ def read_sources(spark: SparkSession, sources: str, fmt: str) -> dict[str, DataF
 
 def refresh(spark: SparkSession, sources: dict[str, DataFrame], target: str, ctx: RunContext,
             parallel_jobs: int = 4, register: bool = False,
-            files_per_day: int | None = None) -> dict:
+            partition_by_day: bool = False) -> dict:
     """bronze -> silver -> gold, then the DQ and load reports; returns a summary.
 
     With ``register``, the written tables are exposed in the catalog as
     ``bronze.*``, ``silver.*``, ``gold.*`` and ``reports.*``.
     """
     stg, silver = warehouse.build_warehouse(spark, bronze.bronze_frames(sources, ctx), target, ctx,
-                                            parallel_jobs, files_per_day)
+                                            parallel_jobs, partition_by_day)
     gold = warehouse.build_gold(spark, silver, target, ctx, parallel_jobs)
     root = target.rstrip("/")
     quality.dq_report(stg).write.mode("overwrite").parquet(f"{root}/reports/dq_report")
@@ -77,8 +77,8 @@ def main(argv=None) -> int:
                     help="first day of the calendar dimension")
     ap.add_argument("--strict", action="store_true")
     ap.add_argument("--register", action="store_true", help="expose layers as catalog tables")
-    ap.add_argument("--files-per-day", type=int, default=None,
-                    help="write facts partitioned by date, this many files per day")
+    ap.add_argument("--partition-by-day", action="store_true",
+                    help="write facts partitioned by their date key (files sized by AQE)")
     ap.add_argument("--shuffle-partitions", type=int, default=None,
                     help="about total shuffle bytes / 128 MB; AQE coalesces down")
     args = ap.parse_args(argv)
@@ -91,7 +91,7 @@ def main(argv=None) -> int:
     else:
         sources = fixtures.source_tables(spark, args.test_tables)
     summary = refresh(spark, sources, args.target, ctx, register=args.register,
-                      files_per_day=args.files_per_day)
+                      partition_by_day=args.partition_by_day)
     print(json.dumps(summary))
     return 1 if (args.strict and summary["failing_tests"]) else 0
 

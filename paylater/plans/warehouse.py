@@ -148,28 +148,28 @@ def _run_parallel(tasks: dict[str, Callable[[], DataFrame]], workers: int) -> di
     return done
 
 
-# Date key and row id of each fact, for date-partitioned writes.
-FACT_DATES = {"fact_transactions": ("transaction_date_key", "transaction_sk"),
-              "fact_payment_plans": ("plan_date_key", "plan_sk"),
-              "fact_customer_events": ("event_date_key", "event_sk")}
+# Date key of each fact, for date-partitioned writes.
+FACT_DATES = {"fact_transactions": "transaction_date_key",
+              "fact_payment_plans": "plan_date_key",
+              "fact_customer_events": "event_date_key"}
 
 
-def write_by_day(df: DataFrame, path: str, date_col: str, spread_col: str,
-                 files_per_day: int) -> None:
-    """Write one folder per day, each day spread over ``files_per_day`` files.
+def write_by_day(df: DataFrame, path: str, date_col: str) -> None:
+    """Write one folder per day, with output partitions sized by AQE.
 
-    Rows are shuffled by ``(day, hash(spread_col) mod files_per_day)``, so a
-    day holding a third of all rows is still written by ``files_per_day``
-    tasks, and the table has at most ``days * files_per_day`` files.  A
-    date filter on the key then prunes whole folders (``PartitionFilters``).
+    The ``REBALANCE`` hint clusters rows by day and lets AQE size the
+    output partitions by bytes: a day holding a third of all rows is split
+    over as many tasks (and files) as its size needs, small days are
+    coalesced, so file size stays near the advisory partition size whatever
+    the skew.  A date filter on the key then prunes whole folders
+    (``PartitionFilters``).
     """
-    bucket = F.pmod(F.xxhash64(spread_col), F.lit(files_per_day))
-    (df.repartition(F.col(date_col), bucket)
+    (df.hint("rebalance", date_col)
      .write.mode("overwrite").partitionBy(date_col).parquet(path))
 
 
 def build_warehouse(spark: SparkSession, bronze: dict[str, DataFrame], base_path: str,
-                    ctx: RunContext, parallel_jobs: int = 4, files_per_day: int | None = None
+                    ctx: RunContext, parallel_jobs: int = 4, partition_facts_by_day: bool = False
                     ) -> tuple[dict[str, DataFrame], StoredSilver]:
     """Full refresh in dependency order: bronze, dimensions, then facts.
 
@@ -178,18 +178,17 @@ def build_warehouse(spark: SparkSession, bronze: dict[str, DataFrame], base_path
     lineage is cut at each table: a lost executor recomputes from the last
     written layer.  Tables of one layer that do not depend on each other are
     written as concurrent jobs (``parallel_jobs``), so small tables do not
-    leave the cluster idle.  With ``files_per_day`` the facts are written
-    partitioned by their date key (see ``write_by_day``), for date-filtered
-    reads at scale.  Returns the staging frames (over bronze files) and the
+    leave the cluster idle.  With ``partition_facts_by_day`` the facts are
+    written partitioned by their date key (see ``write_by_day``), for
+    date-filtered reads at scale.  Returns the staging frames (over bronze files) and the
     silver tables.
     """
     root = base_path.rstrip("/")
 
     def write(name: str, df: DataFrame) -> DataFrame:
         path = f"{root}/silver/{name}"
-        if files_per_day and name in FACT_DATES:
-            date_col, spread_col = FACT_DATES[name]
-            write_by_day(df, path, date_col, spread_col, files_per_day)
+        if partition_facts_by_day and name in FACT_DATES:
+            write_by_day(df, path, FACT_DATES[name])
             # partition columns come last in the relation; restore the order
             return spark.read.schema(df.schema).parquet(path).select(*df.columns)
         df.write.mode("overwrite").parquet(path)

@@ -189,7 +189,7 @@ def test_job_command_line(spark, capsys):
     from tests.conftest import SF_SMALL
     target = shared_dir(spark, "t-cli")
     code = jobs.main(["--test-tables", SF_SMALL, "--target", target, "--as-of", "2001-08-02",
-                      "--calendar-start", "2000-01-01", "--files-per-day", "2"])
+                      "--calendar-start", "2000-01-01", "--partition-by-day"])
     summary = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
     assert code == 0 and summary["target"] == target and len(summary["gold"]) == 4
     # --strict fails the run when a declared test has failures (the test tables have some)

@@ -100,3 +100,33 @@ def test_null_keys_spread_in_shuffle_join_plan(spark, skew_conf):
     ft.write.format("noop").mode("overwrite").save()
     text = ft._jdf.queryExecution().executedPlan().toString()
     assert "SortMergeJoin" in text and "xxhash64(transaction_id" in text
+
+
+def test_hot_day_is_split_over_several_files(spark):
+    import collections
+    import re as _re
+    from paylater.context import shared_dir
+    from paylater.plans.warehouse import write_by_day
+    n = 30000
+    df = spark.range(n).select(
+        F.when(F.col("id") % 3 == 0, F.lit("2001-01-01").cast("date"))          # a third on one day
+        .otherwise(F.date_add(F.lit("2001-02-01").cast("date"), (F.col("id") % 20).cast("int")))
+        .alias("d"),
+        F.sha2(F.col("id").cast("string"), 256).alias("payload"))
+    path = shared_dir(spark, "t-hot-day")
+    conf = {"spark.sql.adaptive.advisoryPartitionSizeInBytes": "64k",
+            "spark.sql.shuffle.partitions": "200"}          # cluster-like: days rarely share a partition
+    old = {k: spark.conf.get(k) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        write_by_day(df, path, "d")
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    files = spark.read.parquet(path).inputFiles()
+    per_day = collections.Counter(_re.search(r"d=([0-9-]+)", f).group(1) for f in files)
+    assert per_day["2001-01-01"] >= 3
+    small = sorted(c for d, c in per_day.items() if d != "2001-01-01")
+    assert len(small) == 20 and small[len(small) // 2] <= 2
+    assert spark.read.parquet(path).count() == n
