@@ -22,14 +22,37 @@ def top_k_rows(df: DataFrame, group_cols: list[str], order_cols: list[Column], k
             .select(*group_cols, F.col(rank_col).cast("bigint").alias(rank_col), *payload_cols))
 
 
+def top_k_with_lookup(df: DataFrame, group_cols: list[str], order_cols: list[Column], k: int,
+                      payload_cols: list[str], dim: DataFrame, key: str, lookup_cols: list[str],
+                      out_cols: list[str], rank_col: str = "rank") -> DataFrame:
+    """Top-k rows per group with columns looked up from a dimension by ``key``.
+
+    Ranks first and looks up afterwards, so only k rows per group reach the
+    join (not every candidate).  The rows are then ranked again: a key that
+    occurs twice in the dimension takes two places, as it would if the join
+    came first, and only keys already in the first top-k can reach the
+    final one, so the result is the same.
+    """
+    first = top_k_rows(df, group_cols, order_cols, k, payload_cols, "_first_rank")
+    named = first.drop("_first_rank").join(dim.select(key, *lookup_cols), key, "left")
+    order = order_cols + [F.col(c).asc_nulls_last() for c in lookup_cols]
+    return top_k_rows(named, group_cols, order, k, out_cols, rank_col)
+
+
+def collect_ranked(ranked: DataFrame, group_cols: list[str], rank_col: str, payload_cols: list[str],
+                   out_col: str) -> DataFrame:
+    """One row per group with ``out_col``: the payload structs in rank order (at most k)."""
+    return (ranked.groupBy(*group_cols)
+            .agg(F.sort_array(F.collect_list(F.struct(rank_col, *payload_cols))).alias("_items"))
+            .select(*group_cols,
+                    F.transform("_items", lambda s: s.dropFields(rank_col)).alias(out_col)))
+
+
 def top_k_per_group(df: DataFrame, group_cols: list[str], order_cols: list[Column], k: int,
                     payload_cols: list[str], out_col: str) -> DataFrame:
     """One row per group with ``out_col``: array of payload structs in rank order."""
     ranked = top_k_rows(df, group_cols, order_cols, k, payload_cols, "_rank")
-    return (ranked.groupBy(*group_cols)
-            .agg(F.sort_array(F.collect_list(F.struct("_rank", *payload_cols))).alias("_items"))
-            .select(*group_cols,
-                    F.transform("_items", lambda s: s.dropFields("_rank")).alias(out_col)))
+    return collect_ranked(ranked, group_cols, "_rank", payload_cols, out_col)
 
 
 def json_objects(col: str | Column, money_fields: tuple[str, ...] = ("total_amount",)) -> Column:

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from paylater.functions import ratio
 from paylater.functions.distinct import keyed_counts, merge_groups
 from paylater.functions.money import MONEY
-from paylater.operators.topk import top_k_per_group, top_k_rows
+from paylater.operators.topk import collect_ranked, top_k_with_lookup
 
 DATE = "plan_date_key"
 TOP_K = 5
@@ -72,10 +72,6 @@ def merchant_daily_plans(fact_plans: DataFrame) -> DataFrame:
     )
 
 
-def _named(mp: DataFrame, dim_merchants: DataFrame) -> DataFrame:
-    return mp.join(dim_merchants.select("merchant_sk", "merchant_name"), "merchant_sk", "left")
-
-
 def default_order():
     """Highest default rate first; ties by merchant key (NULL last)."""
     return [F.col("default_rate").desc_nulls_last(), F.col("merchant_sk").asc_nulls_last()]
@@ -90,27 +86,35 @@ DEFAULT_PAYLOAD = ["merchant_sk", "merchant_name", "plan_count", "defaulted_plan
 VOLUME_PAYLOAD = ["merchant_sk", "merchant_name", "plan_count", "total_amount"]
 
 
+def _top(mp: DataFrame, dim_merchants: DataFrame, order: list, payload: list[str], k: int,
+         rank_col: str = "rank") -> DataFrame:
+    """Top-k merchants per day of ``mp``; names are looked up for the top rows only."""
+    return top_k_with_lookup(mp, [DATE], order, k, [c for c in payload if c != "merchant_name"],
+                             dim_merchants, "merchant_sk", ["merchant_name"], payload, rank_col)
+
+
 def daily_top_defaulters(fact_plans: DataFrame, dim_merchants: DataFrame, k: int = TOP_K,
                          min_plans: int = MIN_PLANS) -> DataFrame:
     """F5 as rows: merchants with at least ``min_plans`` plans that day, by default rate."""
     mp = merchant_daily_plans(fact_plans).where(F.col("plan_count") >= min_plans)
-    return top_k_rows(_named(mp, dim_merchants), [DATE], default_order(), k, DEFAULT_PAYLOAD)
+    return _top(mp, dim_merchants, default_order(), DEFAULT_PAYLOAD, k)
 
 
 def daily_top_plan_merchants(fact_plans: DataFrame, dim_merchants: DataFrame,
                              k: int = TOP_K) -> DataFrame:
     """F6 as rows: merchants by plan amount that day."""
-    return top_k_rows(_named(merchant_daily_plans(fact_plans), dim_merchants), [DATE],
-                      volume_order(), k, VOLUME_PAYLOAD)
+    return _top(merchant_daily_plans(fact_plans), dim_merchants, volume_order(), VOLUME_PAYLOAD, k)
 
 
 def gold_payment_analytics(fact_plans: DataFrame, dim_merchants: DataFrame, dim_dates: DataFrame,
                            ctx, k: int = TOP_K, min_plans: int = MIN_PLANS) -> DataFrame:
     """F8: daily plan metrics, default rate, calendar and the two top-k arrays."""
-    mp = _named(merchant_daily_plans(fact_plans), dim_merchants)
-    top_def = top_k_per_group(mp.where(F.col("plan_count") >= min_plans), [DATE], default_order(),
-                              k, DEFAULT_PAYLOAD, "top_defaulting_merchants")
-    top_vol = top_k_per_group(mp, [DATE], volume_order(), k, VOLUME_PAYLOAD, "top_merchants_by_volume")
+    mp = merchant_daily_plans(fact_plans)
+    top_def = collect_ranked(
+        _top(mp.where(F.col("plan_count") >= min_plans), dim_merchants, default_order(), DEFAULT_PAYLOAD,
+             k, "_rank"), [DATE], "_rank", DEFAULT_PAYLOAD, "top_defaulting_merchants")
+    top_vol = collect_ranked(_top(mp, dim_merchants, volume_order(), VOLUME_PAYLOAD, k, "_rank"),
+                             [DATE], "_rank", VOLUME_PAYLOAD, "top_merchants_by_volume")
     cal = F.broadcast(dim_dates.select(
         F.col("date_key").alias(DATE), F.col("calendar_date").alias("plan_date"),
         F.col("year").alias("plan_year"), F.col("month").alias("plan_month"),

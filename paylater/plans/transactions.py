@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from paylater import schemas
 from paylater.functions import money_avg, money_sum
 from paylater.functions.distinct import merge_groups, value_sets
-from paylater.operators.topk import top_k_per_group, top_k_rows
+from paylater.operators.topk import collect_ranked, top_k_with_lookup
 
 DATE = "transaction_date_key"
 TOP_K = 5
@@ -71,6 +71,14 @@ def top_merchant_candidates(fact_txn: DataFrame, dim_merchants: DataFrame) -> Da
     return dm.join(dim_merchants.select("merchant_sk", "merchant_name"), "merchant_sk", "left")
 
 
+def _ranked_top_merchants(fact_txn: DataFrame, dim_merchants: DataFrame, k: int,
+                          rank_col: str = "rank") -> DataFrame:
+    """Top-k merchants per day; names are looked up for the top rows only."""
+    return top_k_with_lookup(daily_merchant_transactions(fact_txn), [DATE], top_order(), k,
+                             ["merchant_sk", "transaction_count", "total_amount"],
+                             dim_merchants, "merchant_sk", ["merchant_name"], TOP_PAYLOAD, rank_col)
+
+
 def top_order():
     """Largest amount first; ties by merchant key (NULL last)."""
     return [F.col("total_amount").desc_nulls_last(), F.col("merchant_sk").asc_nulls_last()]
@@ -81,15 +89,14 @@ TOP_PAYLOAD = ["merchant_sk", "merchant_name", "transaction_count", "total_amoun
 
 def daily_top_merchants(fact_txn: DataFrame, dim_merchants: DataFrame, k: int = TOP_K) -> DataFrame:
     """D6 as rows: (day, rank, merchant_sk, merchant_name, transaction_count, total_amount)."""
-    return top_k_rows(top_merchant_candidates(fact_txn, dim_merchants), [DATE], top_order(), k,
-                      TOP_PAYLOAD)
+    return _ranked_top_merchants(fact_txn, dim_merchants, k)
 
 
 def gold_transaction_analytics(fact_txn: DataFrame, dim_merchants: DataFrame,
                                dim_dates: DataFrame, ctx, k: int = TOP_K) -> DataFrame:
     """Daily totals, calendar attributes, status pivot and the top-k merchant array."""
-    top = top_k_per_group(top_merchant_candidates(fact_txn, dim_merchants), [DATE], top_order(), k,
-                          TOP_PAYLOAD, "top_merchants")
+    top = collect_ranked(_ranked_top_merchants(fact_txn, dim_merchants, k, "_rank"), [DATE], "_rank",
+                         TOP_PAYLOAD, "top_merchants")
     cal = F.broadcast(dim_dates.select(
         F.col("date_key").alias(DATE),
         F.col("calendar_date").alias("transaction_date"),

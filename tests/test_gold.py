@@ -142,13 +142,30 @@ def test_null_day_gets_totals_but_no_breakdown_or_top_list(spark, ctx):
 
 
 def test_top_lists_as_json_objects(spark, ctx):
-    from paylater.operators.topk import json_objects
+    from paylater.operators.topk import json_objects, top_k_per_group
     d = ts("2001-08-01 10:00:00")
     rows = [("c", "m1", d, 12345678.5, "completed"), ("c", None, d, 2.0, "completed")]
     dim_m = spark.createDataFrame([("m1", "One")], "merchant_sk string, merchant_name string")
-    top = transactions.top_k_per_group(
+    top = top_k_per_group(
         transactions.top_merchant_candidates(_txn(spark, rows), dim_m), [transactions.DATE],
         transactions.top_order(), 5, transactions.TOP_PAYLOAD, "top")
     got = top.select(json_objects("top").alias("j")).first().j
     assert got == ['{"merchant_sk":"m1","merchant_name":"One","transaction_count":1,"total_amount":12345678.50}',
                    '{"merchant_sk":null,"merchant_name":null,"transaction_count":1,"total_amount":2.00}']
+
+
+def test_top_k_lookup_matches_join_then_rank_with_duplicate_dimension_keys(spark):
+    from paylater.operators.topk import top_k_rows, top_k_with_lookup
+    day = dt.date(2001, 8, 1)
+    cand = spark.createDataFrame([(day, f"m{i}", float(10 - i)) for i in range(7)],
+                                 "d date, merchant_sk string, total_amount double")
+    dim = spark.createDataFrame([("m1", "One"), ("m1", "Uno"), ("m3", "Three"), ("m9", "Nine")],
+                                "merchant_sk string, merchant_name string")
+    order = [F.col("total_amount").desc(), F.col("merchant_sk").asc_nulls_last()]
+    got = top_k_with_lookup(cand, ["d"], order, 5, ["merchant_sk", "total_amount"], dim, "merchant_sk",
+                            ["merchant_name"], ["merchant_sk", "merchant_name", "total_amount"])
+    joined = cand.join(dim, "merchant_sk", "left")
+    want = top_k_rows(joined, ["d"], order + [F.col("merchant_name").asc_nulls_last()], 5,
+                      ["merchant_sk", "merchant_name", "total_amount"])
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+    assert [r.merchant_sk for r in got.orderBy("rank").collect()] == ["m0", "m1", "m1", "m2", "m3"]
