@@ -15,7 +15,6 @@ from concurrent.futures import ThreadPoolExecutor
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from paylater.context import RunContext
 from paylater.operators import dims, facts
