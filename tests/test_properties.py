@@ -55,3 +55,16 @@ def test_lookup_key_equals_left_join_on_full_dimension(spark, fact_keys, dim_key
     want = lookup(fact, dim, "k", ["k_sk"]).select("rid", "k", "k_sk")
     key = lambda r: tuple("" if v is None else v for v in r)
     assert sorted(map(tuple, got.collect()), key=key) == sorted(map(tuple, want.collect()), key=key)
+
+
+@settings(max_examples=10, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(rows=ROWS)
+def test_merge_groups_equals_null_safe_join_of_same_groups(spark, rows):
+    from paylater.functions.distinct import merge_groups, null_safe_join
+    df = spark.createDataFrame(rows, "g string, k string, t string, v long")
+    a = df.groupBy("g").agg(F.sum("v").alias("s"), F.count_distinct("k").alias("nk"))
+    b = value_sets(df, ["g"], "t", "ts")
+    got = merge_groups([a, b], ["g"]).select("g", "s", "nk", "ts")
+    want = null_safe_join(a, b, ["g"], "left").select("g", "s", "nk", "ts")
+    key = lambda r: (r[0] is None, r[0] or "")
+    assert sorted(map(tuple, got.collect()), key=key) == sorted(map(tuple, want.collect()), key=key)
