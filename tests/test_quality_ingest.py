@@ -197,3 +197,26 @@ def test_job_command_line(spark, capsys):
                       "--strict"]) == 1
     days = spark.read.parquet(f"{target}/silver/fact_transactions").select("transaction_date_key").distinct()
     assert days.count() > 300
+
+
+def test_csv_read_fails_fast_on_malformed_rows(spark):
+    base = shared_dir(spark, "t-badcsv")
+    text_schema = ",".join(f"{f.name} string" for f in schemas.TRANSACTIONS.fields)
+    bad = spark.createDataFrame(
+        [("T1", "C1", "M1", "2001-01-01 10:00:00", "not-a-number", "AED", "x", "completed")], text_schema)
+    bad.write.option("header", True).csv(f"{base}/bad")
+    with pytest.raises(Exception) as err:
+        readers.read_csv(spark, f"{base}/bad", "transactions").collect()
+    assert "MALFORMED" in str(err.value).upper() or "FAILFAST" in str(err.value).upper()
+
+
+def test_register_tables_twice_points_at_latest_files(spark):
+    paths = []
+    for i in range(2):
+        p = shared_dir(spark, "t-reg") + "/t"
+        spark.range(i + 1).write.parquet(p)
+        paths.append(p)
+        bronze.register_tables(spark, "t_layer", {"nums": p})
+    assert spark.sql("SELECT count(*) AS n FROM t_layer.nums").first().n == 2
+    # the first load's files are untouched: dropping an external table keeps its data
+    assert spark.read.parquet(paths[0]).count() == 1
