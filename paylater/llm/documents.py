@@ -15,6 +15,12 @@ def text_bytes(column: str = "text") -> Column:
     return F.coalesce(F.col(column).cast("binary"), F.lit(b""))
 
 
+def bodies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``(doc_id, body)`` of every row with an id."""
+    return (docs.where(F.col(id_col).isNotNull())
+            .select(F.col(id_col).cast("bigint").alias("doc_id"), text_bytes(text_col).alias("body")))
+
+
 def by_id(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``(doc_id, body)``: one row per document, shuffled by ``doc_id``.
 
@@ -22,6 +28,5 @@ def by_id(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
     smallest text (by bytes) stands for the document, so repeated rows count
     once and the result does not depend on row order.
     """
-    return (docs.where(F.col(id_col).isNotNull())
-            .select(F.col(id_col).cast("bigint").alias("doc_id"), text_bytes(text_col).alias("body"))
+    return (bodies(docs, id_col, text_col)
             .groupBy("doc_id").agg(F.min("body").alias("body")))
