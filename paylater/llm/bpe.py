@@ -38,7 +38,8 @@ BLOCK_BYTES = 16 << 20
 PART_CHARS = 4 << 20
 
 # White space as the tokenizer's pattern has it (Unicode's White_Space property).
-SPACE = "\t-\r \x85\xa0  -     　"
+SPACE = "\t-\r \x85\xa0" + "".join(map(chr, (
+    0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000)))
 WORD = re.compile(f" ?[^{SPACE}]+|[{SPACE}]+(?![^{SPACE}])|[{SPACE}]+")
 CUT = re.compile(f"[^{SPACE}](?= [^{SPACE}])")
 BLOCK = "block long, bucket int, payload binary"
