@@ -10,10 +10,12 @@ from paylater.llm.bpe import op5_bpe
 from paylater.llm.ngram_join import op10_ngram_jaccard_join
 from paylater.llm.packing import op9_packing
 from paylater.llm.suffix_dedup import op1_suffix_dedup
+from paylater.llm.toxicity import op4_toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_suffix_dedup,
+        op4_toxicity,
         op5_bpe,
         op9_packing,
         op10_ngram_jaccard_join,

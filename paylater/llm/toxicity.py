@@ -1,7 +1,7 @@
 """Toxicity from the nearest labelled examples.
 
 1. **Vocabulary.**  Of a bounded sample of labelled documents, the features
-   (words, and beginnings of 4 and 5 letters) whose presence differs most
+   (words, and beginnings of 3 to 6 letters) whose presence differs most
    between the labels, by a two-proportion z-score.
 2. **Vectors.**  One pass over all whole texts counts these features; document
    frequencies are counted over all documents.  Vectors are TF-IDF of unit length.
@@ -36,8 +36,8 @@ from paylater.llm.tables import written
 
 EXAMPLES = 8192          # labelled documents that the model is fitted on, at most
 FEATURES = 4096
-LEAST_DOCS = 12          # documents of the sample that hold a feature, at least
-LEAST_Z = 8.0
+LEAST_DOCS = 8           # documents of the sample that hold a feature, at least
+LEAST_Z = 6.0
 NEIGHBOURS = 16
 BLOCK = 64
 CACHED_WORDS = 500_000
@@ -46,7 +46,7 @@ WORD = re.compile(r"\w+")
 
 
 def features_of(word: str) -> list[str]:
-    return [word, *("^" + word[:n] for n in (4, 5) if len(word) > n)]
+    return [word, *("^" + word[:n] for n in (3, 4, 5, 6) if len(word) > n)]
 
 
 class FeatureIds(dict):
