@@ -7,20 +7,28 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from paylater.llm.bpe import op5_bpe
+from paylater.llm.line_dedup import OP7_SQL, op7_line_dedup
 from paylater.llm.ngram_join import op10_ngram_jaccard_join
 from paylater.llm.packing import op9_packing
 from paylater.llm.suffix_dedup import op1_suffix_dedup
+from paylater.llm.topk_search import op2_topk_search
 from paylater.llm.toxicity import op4_toxicity
+from paylater.llm.url_filter import op8_url_filter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_suffix_dedup,
+        op2_topk_search,
         op4_toxicity,
         op5_bpe,
+        op7_line_dedup,
+        op8_url_filter,
         op9_packing,
         op10_ngram_jaccard_join,
     )
 }
 
 # Statements for the queries that SQL expresses on whole tables in reasonable time.
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op7_line_dedup": OP7_SQL,
+}
