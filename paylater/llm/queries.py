@@ -10,6 +10,7 @@ from paylater.llm.bpe import op5_bpe
 from paylater.llm.line_dedup import OP7_SQL, op7_line_dedup
 from paylater.llm.ngram_join import op10_ngram_jaccard_join
 from paylater.llm.packing import op9_packing
+from paylater.llm.secret_scan import op6_secret_scan
 from paylater.llm.suffix_dedup import op1_suffix_dedup
 from paylater.llm.topk_search import op2_topk_search
 from paylater.llm.toxicity import op4_toxicity
@@ -21,6 +22,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op2_topk_search,
         op4_toxicity,
         op5_bpe,
+        op6_secret_scan,
         op7_line_dedup,
         op8_url_filter,
         op9_packing,
