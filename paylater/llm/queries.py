@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from paylater.llm.bpe import op5_bpe
+from paylater.llm.fingerprints import op3_fingerprints
 from paylater.llm.line_dedup import OP7_SQL, op7_line_dedup
 from paylater.llm.ngram_join import op10_ngram_jaccard_join
 from paylater.llm.packing import op9_packing
@@ -20,6 +21,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_suffix_dedup,
         op2_topk_search,
+        op3_fingerprints,
         op4_toxicity,
         op5_bpe,
         op6_secret_scan,
