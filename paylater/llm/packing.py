@@ -7,9 +7,10 @@
    how often to use each pattern (a multiset of lengths that fits into one
    sequence) with the fewest sequences.  Its linear program is solved by column
    generation: a simplex over the patterns found so far, where a knapsack by
-   dynamic programming over the sequence's ids prices new ones.  Uses
-   are rounded down; what is left, a bounded number of pieces, is filled
-   largest first.
+   dynamic programming over the room in a sequence prices new ones.  Multiples
+   of ``UNIT`` (counted in units) and rests are two such problems, of 64 and 63
+   lengths.  Uses are rounded down; what is left, a bounded number of pieces, is
+   filled largest first.
 3. **Assignment.**  Pieces are ranked within their length.  A pattern owns a
    range of ranks of each of its lengths, so rank and length give the sequence
    and the place in it.  Ranks come from buckets of hashed ids: a window ranks
@@ -38,6 +39,7 @@ from paylater.llm.vocabulary import (WordTable, encode_words, gather, open_token
 SEQUENCE = 4096
 UNIT = 64
 END_ID = 2
+CLOSE = 2e-4                # share of sequences above the ids' volume at which the program may stop
 WORDS_KEPT = 300_000        # distinct words that one task keeps encoded
 ROWS_IN_BUCKET = 100_000
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
@@ -114,7 +116,10 @@ def solve_patterns(lengths: np.ndarray, demand: np.ndarray, capacity: int, max_c
         return []
     basis = np.diag(capacity // lengths).astype(float)
     uses = demand / np.diag(basis)
+    volume = (lengths * demand).sum() / capacity
     for _ in range(max_columns):
+        if uses.sum() <= volume * (1 + CLOSE):      # no pattern can save more than this
+            break
         duals = np.linalg.solve(basis.T, np.ones(len(lengths)))
         worth, pattern = _best_pattern(np.maximum(duals, 0), lengths, capacity)
         if worth <= 1 + 1e-7:
@@ -149,6 +154,18 @@ def solve_patterns(lengths: np.ndarray, demand: np.ndarray, capacity: int, max_c
     return chosen
 
 
+def solve_lengths(lengths: np.ndarray, demand: np.ndarray, sequence: int = SEQUENCE, unit: int = UNIT
+                  ) -> list[tuple[np.ndarray, int]]:
+    """Patterns over all lengths: those of multiples of the unit, and those of rests."""
+    chosen = []
+    for rows, size in ((lengths % unit == 0, unit), (lengths % unit != 0, 1)):
+        for column, n in solve_patterns(lengths[rows] // size, demand[rows], sequence // size):
+            whole = np.zeros(len(lengths), np.int64)
+            whole[rows] = column
+            chosen.append((whole, n))
+    return chosen
+
+
 def _ranges(lengths: np.ndarray, chosen: list[tuple[np.ndarray, int]]) -> dict[int, np.ndarray]:
     """For each length: first rank, copies in the pattern, first sequence, place in the sequence."""
     found: dict[int, list] = {int(n): [] for n in lengths}
@@ -198,7 +215,7 @@ def pack(docs: DataFrame, tokenizer_path: str, sequence: int = SEQUENCE, unit: i
     histogram = {r.length: r.n for r in pieces.groupBy("length").agg(F.count("*").alias("n")).collect()}
     lengths = np.array(sorted(histogram), np.int64)
     demand = np.array([histogram[int(n)] for n in lengths], np.int64)
-    ranges = _ranges(lengths, solve_patterns(lengths, demand, sequence))
+    ranges = _ranges(lengths, solve_lengths(lengths, demand, sequence, unit))
 
     buckets = int(demand.sum()) // ROWS_IN_BUCKET + 1
     spread = pieces.withColumn("bucket", F.pmod(F.xxhash64("doc_id", "start"), F.lit(buckets)))

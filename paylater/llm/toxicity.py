@@ -175,7 +175,7 @@ class Model:
         vectors = [_unit(e[1], e[2], idf) for e in examples]
         self.index = BlockMaxIndex(vectors, len(idf))
         votes = [self.vote(*v, without=i)[0] for i, v in enumerate(vectors)]
-        known = np.array([v is not None for v in votes])
+        known = np.array([v is not None for v in votes], bool)
         rest = self.toxic[~known]
         # documents without a neighbour: their own rate, with one clean document added
         self.default = float(rest.sum() / (len(rest) + 1))
