@@ -156,13 +156,23 @@ def solve_patterns(lengths: np.ndarray, demand: np.ndarray, capacity: int, max_c
 
 def solve_lengths(lengths: np.ndarray, demand: np.ndarray, sequence: int = SEQUENCE, unit: int = UNIT
                   ) -> list[tuple[np.ndarray, int]]:
-    """Patterns over all lengths: those of multiples of the unit, and those of rests."""
+    """Patterns over all lengths: those of multiples of the unit, with rests in the room they leave, and those of rests."""
+    whole, left = lengths % unit == 0, demand.astype(np.int64).copy()
     chosen = []
-    for rows, size in ((lengths % unit == 0, unit), (lengths % unit != 0, 1)):
-        for column, n in solve_patterns(lengths[rows] // size, demand[rows], sequence // size):
-            whole = np.zeros(len(lengths), np.int64)
-            whole[rows] = column
-            chosen.append((whole, n))
+    for column, n in solve_patterns(lengths[whole] // unit, demand[whole], sequence // unit):
+        full = np.zeros(len(lengths), np.int64)
+        full[whole] = column
+        room = sequence - int((full * lengths).sum())
+        for k in np.flatnonzero(~whole)[::-1]:
+            full[k] = min(left[k] // n, room // lengths[k])
+            room -= int(full[k] * lengths[k])
+        left -= full * n
+        chosen.append((full, n))
+    rests = ~whole & (left > 0)
+    for column, n in solve_patterns(lengths[rests], left[rests], sequence):
+        full = np.zeros(len(lengths), np.int64)
+        full[rests] = column
+        chosen.append((full, n))
     return chosen
 
 
