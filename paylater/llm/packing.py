@@ -24,6 +24,7 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Iterator
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -33,14 +34,14 @@ from pyspark.sql import functions as F
 from paylater.llm import documents
 from paylater.llm.blocks import binary_views, row_blocks
 from paylater.llm.tables import written
-from paylater.llm.vocabulary import (WordTable, encode_words, gather, open_tokenizer, public_path,
+from paylater.llm.vocabulary import (LowerWords, WordTable, gather, open_tokenizer, public_path,
                                      tokenizer_text)
 
 SEQUENCE = 4096
 UNIT = 64
 END_ID = 2
 CLOSE = 2e-4                # share of sequences above the ids' volume at which the program may stop
-WORDS_KEPT = 300_000        # distinct words that one task keeps encoded
+WORDS_KEPT = 500_000        # distinct words that one task keeps encoded
 ROWS_IN_BUCKET = 100_000
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
 
@@ -53,10 +54,9 @@ def cut_lengths(total: int, sequence: int = SEQUENCE, unit: int = UNIT) -> list[
 
 
 def _cutter(tokenizer, end_id: int, sequence: int, unit: int):
-    """Pieces of each document.  Words between ASCII white space, which the
-    tokenizer drops, are independent, so each is encoded once a task."""
+    """Pieces of each document.  Words are independent, so each is encoded once a task."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = open_tokenizer(tokenizer.value)
+        encoder = LowerWords(open_tokenizer(tokenizer.value))
         table, flat, offsets = WordTable(), np.zeros(0, np.uint32), np.zeros(1, np.int64)
         for batch in batches:
             ids = batch.column("doc_id").to_numpy()
@@ -66,12 +66,11 @@ def _cutter(tokenizer, end_id: int, sequence: int, unit: int):
             for first, end in row_blocks(at):
                 if len(table) > WORDS_KEPT:
                     table, flat, offsets = WordTable(), np.zeros(0, np.uint32), np.zeros(1, np.int64)
-                words = [raw[at[i]:at[i + 1]].split() for i in range(first, end)]
+                words = [encoder.keys(raw[at[i]:at[i + 1]]) for i in range(first, end)]
                 known = len(table)
                 places = [table.places(w) for w in words]
                 if len(table) > known:
-                    new = [w.decode() for w in list(table)[known:]]
-                    more, more_at = encode_words(encoder, new)
+                    more, more_at = encoder.encode(list(islice(table, known, None)))
                     offsets = np.concatenate([offsets, more_at[1:] + len(flat)])
                     flat = np.concatenate([flat, more])
                 for i, picks in zip(range(first, end), places):
@@ -216,7 +215,7 @@ def pack(docs: DataFrame, tokenizer_path: str, sequence: int = SEQUENCE, unit: i
 
     Every row is a document: a null or empty text is the end id alone, rows
     that repeat an id are packed once each, rows without an id are left out.  Other columns are not read.  The
-    tokenizer must drop white space and treat words between it independently.
+    tokenizer is a byte-level BPE of lower-case words that drops white space, such as ``word_bpe_49k.json``.
     """
     spark = docs.sparkSession
     tokenizer = spark.sparkContext.broadcast(tokenizer_text(tokenizer_path))

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import json
 import os
+import re
 
 import numpy as np
 
@@ -83,3 +84,54 @@ def byte_pieces(text: str) -> tuple[np.ndarray, np.ndarray]:
         pieces[i] = bytes(byte_of[c] for c in token) if known else token.encode()
     return (np.frombuffer(b"".join(pieces), np.uint8),
             np.concatenate([[0], np.cumsum([len(p) for p in pieces])]).astype(np.int64))
+
+
+class LowerWords:
+    """Texts as keys that are encoded on their own, for byte-level vocabularies of lower-case words.
+
+    Words of Latin letters (U+0020 to U+00FF) and punctuation are cut by the tokenizer's
+    own pattern; such a piece goes to the library's BPE model directly.  All other words between ASCII white
+    space (contractions, special tokens, other alphabets, marks) are keys as a
+    whole, marked by ``WHOLE``, and go through the library's full encoding.
+    """
+
+    WHOLE = "\0"
+    LATIN = "!-&(-~\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff"          # no apostrophe
+    WORD = re.compile(f"[{LATIN}]+")
+    TEXT = re.compile(f"[{LATIN}\t-\r ]*")
+    PIECE = re.compile("[a-z\u00df-\u00f6\u00f8-\u00ff]+|[0-9]|[^a-z\u00df-\u00f6\u00f8-\u00ff0-9\t-\r ]+")
+
+    def __init__(self, tokenizer):
+        self.tokenizer, self.model = tokenizer, tokenizer.model
+        plain = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+        rest = [b for b in range(256) if b not in plain]
+        self.alphabet = {b: chr(256 + i) for i, b in enumerate(rest)}
+
+    def keys(self, body: bytes) -> list[str]:
+        if b"<|" not in body:
+            text = body.decode()
+            if self.TEXT.fullmatch(text):
+                return self.PIECE.findall(text.lower())
+        out: list[str] = []
+        for word in map(bytes.decode, body.split()):
+            if self.WORD.fullmatch(word) and "<|" not in word:
+                out += self.PIECE.findall(word.lower())
+            else:
+                out.append(self.WHOLE + word)
+        return out
+
+    def encode(self, keys: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of distinct keys: flat, with offsets by key."""
+        rest, rest_at = encode_words(self.tokenizer, [k[1:] for k in keys if k[0] == self.WHOLE])
+        rest, at = rest.tolist(), rest_at.tolist()
+        flat: list[int] = []
+        ends, n = [0], 0
+        for key in keys:
+            if key[0] == self.WHOLE:
+                flat += rest[at[n]:at[n + 1]]
+                n += 1
+            else:
+                mapped = key if key.isascii() else key.encode().decode("latin-1").translate(self.alphabet)
+                flat += [t.id for t in self.model.tokenize(mapped)]
+            ends.append(len(flat))
+        return np.array(flat, np.uint32), np.array(ends, np.int64)
