@@ -54,11 +54,20 @@ def _kmers(body: Column) -> Column:
         lambda i: F.xxhash64(F.substring(b, i, F.lit(K))).bitwiseAND(F.lit(~low)).bitwiseOR(i.cast("bigint")))))
 
 
+def _same(x: Column, y: Column) -> Column:
+    """Equal hashes; false beside the array's ends."""
+    return F.shiftrightunsigned(x.bitwiseXOR(y), POSITION_BITS).eqNullSafe(F.lit(0).cast("bigint"))
+
+
+def _low(x: Column, limit: Column) -> Column:
+    """In the lower part of its range; ``limit`` is that part's size, shifted like a hash."""
+    return x.bitwiseAND(F.lit((INNER - 1) << POSITION_BITS)) < limit
+
+
 def _candidates(ordered: Column, limit: Column) -> Column:
     """Of sorted k-mers, those that occur again, and those low in their range."""
     return _let(ordered, lambda s: F.filter(
-        s, lambda x, i: (_hash(x).bitwiseAND(F.lit(INNER - 1)) < limit)
-        | (_hash(x) == _hash(F.get(s, i + 1))) | (_hash(x) == _hash(F.get(s, i - 1)))))
+        s, lambda x, i: _low(x, limit) | _same(x, F.get(s, i + 1)) | _same(x, F.get(s, i - 1))))
 
 
 def _numbered(candidates: Column, limit: Column) -> Column:
@@ -67,22 +76,29 @@ def _numbered(candidates: Column, limit: Column) -> Column:
 
     def number(c: Column) -> Column:
         starts = F.filter(F.sequence(F.lit(0), F.size(c) - 1),
-                          lambda i: (i == 0) | (_hash(F.get(c, i)) != _hash(F.get(c, i - 1))))
+                          lambda i: (i == 0) | ~_same(F.get(c, i), F.get(c, i - 1)))
 
         def runs(s: Column) -> Column:
             return F.flatten(F.transform(s, lambda at, r: F.transform(
                 F.slice(c, at + 1, F.coalesce(F.get(s, r + 1), F.size(c)) - at),
                 lambda x, j: F.when(j == 0, x).otherwise(
                     F.xxhash64(_hash(x), j).bitwiseAND(F.lit(~low)).bitwiseOR(x.bitwiseAND(F.lit(low)))))))
-        return _let(starts, runs)
-    return _let(candidates, lambda c: F.when(F.size(c) == 0, c).otherwise(F.filter(
-        number(c), lambda x: _hash(x).bitwiseAND(F.lit(INNER - 1)) < limit)))
+        return F.filter(_let(starts, runs), lambda x: _low(x, limit))
+
+    def split(c: Column, again: Column) -> Column:
+        single = F.filter(c, lambda x, i: ~(_same(x, F.get(c, i + 1)) | _same(x, F.get(c, i - 1))))
+        return F.when(F.size(again) == 0, c).otherwise(
+            F.concat(single, F.when(F.size(again) == 0, again).otherwise(number(again))))
+    return _let(candidates, lambda c: _let(
+        F.filter(c, lambda x, i: _same(x, F.get(c, i + 1)) | _same(x, F.get(c, i - 1))),
+        lambda again: split(c, again)))
 
 
 def _smallest(elements: Column) -> Column:
     """The two smallest elements of each range, of sorted elements."""
     return _let(elements, lambda e: F.filter(
-        e, lambda x, i: (i < 2) | (_range(x) != _range(F.get(e, i - 2)))))
+        e, lambda x, i: (i < 2) | (F.shiftrightunsigned(
+            x.bitwiseXOR(F.get(e, i - 2)), 64 - BIN_BITS) != 0)))
 
 
 def _components(chosen: Column) -> Column:
@@ -105,11 +121,11 @@ def _components(chosen: Column) -> Column:
 
 def with_fingerprint(df: DataFrame, body: str, name: str) -> DataFrame:
     """``df`` with the components of the binary column ``body`` as an array of strings, ``name``."""
-    every = F.lit(INNER)
+    every = F.lit(INNER << POSITION_BITS)
     # Each step is a projection of its own: an expression under a lambda would be evaluated for each element.
     out = df.withColumn("_s", F.sort_array(_kmers(F.col(body))))
-    out = out.withColumn("_limit", F.least(every, F.ceil(F.lit(float(INNER * EXPECTED * BINS)) / F.greatest(
-        F.size("_s"), F.lit(1)))))
+    share = F.ceil(F.lit(float(INNER * EXPECTED * BINS)) / F.greatest(F.size("_s"), F.lit(1)))
+    out = out.withColumn("_limit", F.shiftleft(F.least(F.lit(INNER), share), POSITION_BITS))
     out = out.withColumn("_e", F.sort_array(_numbered(_candidates(F.col("_s"), F.col("_limit")), F.col("_limit"))))
     out = out.withColumn("_c", _smallest(F.col("_e")))
     again = _smallest(F.sort_array(_numbered(F.col("_s"), every)))

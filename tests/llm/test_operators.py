@@ -158,7 +158,7 @@ def test_fingerprints_keep_all_elements_where_needed(spark, docs):
     body = docs.select("doc_id", F.coalesce("text", F.lit("")).cast("binary").alias("b"))
     short = fingerprints.with_fingerprint(body, "b", "f").select("doc_id", "f")
     every = body.withColumn("s", F.sort_array(fingerprints._kmers(F.col("b"))))
-    every = every.withColumn("e", F.sort_array(fingerprints._numbered(F.col("s"), F.lit(fingerprints.INNER))))
+    every = every.withColumn("e", F.sort_array(fingerprints._numbered(F.col("s"), F.lit(fingerprints.INNER << fingerprints.POSITION_BITS))))
     every = every.withColumn("c", fingerprints._smallest(F.col("e")))
     whole = every.select("doc_id", fingerprints._components(F.col("c")).alias("f"))
     assert sorted(map(tuple, short.collect())) == sorted(map(tuple, whole.collect()))
