@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 import os
+import re
 import tempfile
 import uuid
 from dataclasses import dataclass
@@ -74,6 +75,15 @@ TEST_CONTEXT = RunContext(
 )
 
 
+# Shuffle partitions before AQE merges them: at 128 MB each, 2.5 TB a shuffle.
+INITIAL_PARTITIONS = 20_000
+
+
+def _half_of_memory() -> str:
+    total = os.sysconf("SC_PAGE_SIZE") * os.sysconf("SC_PHYS_PAGES")
+    return f"{max(1, total // 2 >> 30)}g"
+
+
 def build_session(master: str | None = None, app_name: str = "paylater",
                   shuffle_partitions: int | None = None,
                   advisory_partition_bytes: str | None = None) -> SparkSession:
@@ -98,13 +108,14 @@ def build_session(master: str | None = None, app_name: str = "paylater",
     }
     local = bool(master and master.startswith("local"))
     if local:
-        # one JVM: the driver's heap is all there is; about one shuffle
+        # one JVM: its heap gets half of the host's memory; about one shuffle
         # partition per core suits a few MB of test data
-        conf["spark.driver.memory"] = "16g"
+        conf["spark.driver.memory"] = _half_of_memory()
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions or os.cpu_count() or 8)
-    elif shuffle_partitions:
-        # on a cluster: about total shuffle bytes / 128 MB; AQE coalesces down
-        conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+    else:
+        # on a cluster AQE starts from many partitions and merges small ones down
+        conf["spark.sql.adaptive.coalescePartitions.initialPartitionNum"] = str(
+            shuffle_partitions or INITIAL_PARTITIONS)
     if advisory_partition_bytes:
         conf["spark.sql.adaptive.advisoryPartitionSizeInBytes"] = advisory_partition_bytes
         conf["spark.sql.adaptive.coalescePartitions.minPartitionSize"] = advisory_partition_bytes
@@ -119,12 +130,15 @@ def shared_dir(spark: SparkSession, name: str | None = None) -> str:
     """A fresh folder under the cluster's shared checkpoint directory.
 
     The directory is read from the session (``spark.checkpoint.dir`` or the
-    context's checkpoint directory).  Only when neither is set (local tests)
-    is a folder under the system temp area registered as the checkpoint
-    directory; ``spark.checkpoint.dir`` itself cannot be changed at runtime.
+    context's checkpoint directory).  Only when neither is set and Spark runs
+    in one process (local tests) is a folder under the system temp area
+    registered as the checkpoint directory; on a cluster a missing setting is an
+    error, because executors don't share such a folder.
     """
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not base:
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="paylater-ckpt-"))
         base = spark.sparkContext.getCheckpointDir()
     sub = f"{name or 'work'}-{uuid.uuid4().hex[:12]}"

@@ -26,10 +26,9 @@ def keyed_counts(df: DataFrame, by: list[str], key: str, flags: dict[str, Column
     NULL key count in the partials but not in the distinct counts.
     """
     partials = partials or {}
-    level1 = df.groupBy(*by, key).agg(
-        *[F.max(cond.cast("int")).alias(f"_f_{name}") for name, cond in flags.items()],
-        *[agg.alias(f"_p_{name}") for name, (agg, _) in partials.items()],
-    )
+    aggs = [*[F.max(cond.cast("int")).alias(f"_f_{name}") for name, cond in flags.items()],
+            *[agg.alias(f"_p_{name}") for name, (agg, _) in partials.items()]]
+    level1 = df.groupBy(*by, key).agg(*aggs) if aggs else df.select(*by, key).distinct()
     has_key = F.col(key).isNotNull()
     zero = F.lit(0).cast("bigint")
     combine = {"sum": F.sum, "min": F.min, "max": F.max}

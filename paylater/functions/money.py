@@ -27,6 +27,15 @@ def money_avg(x: str | Column) -> Column:
     return F.sum(col.cast(MONEY)).cast("double") / F.count(col).cast("double")
 
 
+RATE = "decimal(20,9)"
+
+
+def rate_avg(x: str | Column) -> Column:
+    """Mean of rates at nine digits, summed exactly and divided once."""
+    col = _c(x)
+    return F.sum(col.cast(RATE)).cast("double") / F.when(F.count(col) > 0, F.count(col).cast("double"))
+
+
 def ratio(num: str | Column, den: str | Column, default: Column | float | None = None) -> Column:
     """``num / den`` as double; ``default`` (NULL if not given) when ``den`` is 0 or NULL."""
     n, d = _c(num), _c(den)

@@ -21,7 +21,6 @@ from paylater.functions.money import MONEY
 # Prefix of the stand-in join key given to NULL keys; the extra join
 # condition keeps such rows from matching anything.
 NULL_SPREAD_PREFIX = "\u0000null:"
-NULL_SPREAD_BUCKETS = 4096
 
 
 def lookup(fact: DataFrame, dim: DataFrame, key: str, cols: list[str],
@@ -35,7 +34,7 @@ def lookup(fact: DataFrame, dim: DataFrame, key: str, cols: list[str],
     In a shuffle join every NULL key hashes to the same partition; anonymous
     events are a fifth to a third of all events.  With ``spread_nulls_by``
     (a column of the fact) NULL keys are replaced, for partitioning only, by
-    one of ``NULL_SPREAD_BUCKETS`` stand-in values derived from that
+    the hash of that
     column, and the join condition still requires a non-NULL key, so they
     never match.  The stand-in is a hash, so a retried task sends each row
     to the same partition.
@@ -45,7 +44,7 @@ def lookup(fact: DataFrame, dim: DataFrame, key: str, cols: list[str],
         cond = F.col(key) == d["_lookup_key"]
     else:
         stand_in = F.concat(F.lit(NULL_SPREAD_PREFIX),
-                            F.pmod(F.xxhash64(spread_nulls_by), F.lit(NULL_SPREAD_BUCKETS)).cast("string"))
+                            F.xxhash64(spread_nulls_by).cast("string"))
         cond = (F.coalesce(F.col(key), stand_in) == d["_lookup_key"]) & F.col(key).isNotNull()
     return fact.join(d, cond, "left").drop("_lookup_key")
 

@@ -1,10 +1,9 @@
 """Incremental batch loads (X1): only rows the target does not hold yet.
 
 ``new_by_key`` is exact for any input: a left-anti join on the natural key.
-``new_since`` narrows both sides to a window behind the target's high-water
-mark first (``ts > mark - lateness``), as a literal predicate that reaches
-the Parquet scan, so only recent files and row groups are read and joined;
-rows older than the window are assumed to be loaded already.
+``new_since`` first narrows the target to the time span of the incoming rows, as
+a literal predicate that reaches the Parquet scan, so only files and row groups
+of that span are read and joined; every incoming row is compared.
 """
 
 from __future__ import annotations
@@ -24,21 +23,19 @@ def new_by_key(incoming: DataFrame, target: DataFrame, keys: list[str]) -> DataF
     return incoming.join(target.select(*keys).where(known), on=keys, how="left_anti")
 
 
-def high_water_mark(target: DataFrame, ts_col: str):
-    """Largest event time in the target (one scalar to the driver), or None if empty."""
-    return target.agg(F.max(ts_col)).first()[0]
+def new_since(incoming: DataFrame, target: DataFrame, keys: list[str], ts_col: str) -> DataFrame:
+    """Incoming rows whose key the target lacks, reading the target over the incoming rows' days only.
 
-
-def new_since(incoming: DataFrame, target: DataFrame, keys: list[str], ts_col: str,
-              lateness: dt.timedelta) -> DataFrame:
-    """Rows newer than ``high_water_mark - lateness`` whose key the target lacks in that window."""
-    mark = high_water_mark(target, ts_col)
-    if mark is None:
-        return incoming
-    lower = F.to_timestamp_ntz(F.lit((mark - lateness).strftime("%Y-%m-%d %H:%M:%S.%f")))
-    recent_in = incoming.where(F.col(ts_col) > lower)
-    recent_target = target.where(F.col(ts_col) > lower)
-    return new_by_key(recent_in, recent_target, keys)
+    An event keeps its day, so a row that is loaded already lies in that span.  No
+    incoming row is left out, however late, and a time in the future only
+    widens the span.  Rows without a time meet the target's rows without one.
+    """
+    first, last = incoming.agg(F.min(ts_col), F.max(ts_col)).first()
+    span = F.col(ts_col).isNull()
+    if first is not None:
+        low, high = (F.to_timestamp_ntz(F.lit(d.strftime("%Y-%m-%d"))) for d in (first, last + dt.timedelta(days=1)))
+        span = span | ((F.col(ts_col) >= low) & (F.col(ts_col) < high))
+    return new_by_key(incoming, target.where(span), keys)
 
 
 def append(df: DataFrame, path: str) -> None:

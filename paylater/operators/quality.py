@@ -14,7 +14,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from paylater import schemas
@@ -164,7 +164,8 @@ CENT = 0.01
 
 
 def installment_total_violations(plans: DataFrame, installments: DataFrame) -> DataFrame:
-    """Plans whose installments do not add up to the plan total within one cent each.
+    """Plans whose installments do not add up to the plan total within one cent
+    each, or are not as many as the plan says (a plan without any is one of these).
 
     The installments are reduced per plan before the join (one row per
     plan), so the join is plan-to-plan.
@@ -172,9 +173,12 @@ def installment_total_violations(plans: DataFrame, installments: DataFrame) -> D
     sums = installments.groupBy("plan_id").agg(
         F.sum(F.col("amount").cast("decimal(18,2)")).alias("installments_total"),
         F.count(F.lit(1)).alias("installment_rows"))
-    j = plans.select("plan_id", "total_amount", "installment_count").join(sums, "plan_id", "inner")
+    j = plans.select("plan_id", "total_amount", "installment_count").join(sums, "plan_id", "left")
+    j = j.withColumns({"installments_total": F.coalesce("installments_total", F.lit(0).cast("decimal(18,2)")),
+                       "installment_rows": F.coalesce("installment_rows", F.lit(0).cast("bigint"))})
     diff = F.abs(F.col("installments_total").cast("double") - F.col("total_amount"))
-    return j.where(diff > F.col("installment_rows") * CENT + 1e-9)
+    return j.where((diff > F.col("installment_rows") * CENT + 1e-9)
+                   | ~F.col("installment_rows").eqNullSafe(F.col("installment_count")))
 
 
 def business_rules_report(tables: dict[str, DataFrame], rules: list[Rule] | None = None) -> DataFrame:
@@ -195,21 +199,45 @@ def business_rules_report(tables: dict[str, DataFrame], rules: list[Rule] | None
 # ---------------------------------------------------------------- X4 outliers
 
 IQR_FACTOR = 1.5
-QUANTILE_ACCURACY = 10000
+QUANTILE_BUCKETS = 1024
 
 
-def outlier_fences(df: DataFrame, by: str, value: str, factor: float = IQR_FACTOR,
-                   accuracy: int = QUANTILE_ACCURACY) -> DataFrame:
-    """Per group: first and third quartile and the ``factor`` * IQR fences.
+def exact_quantiles(df: DataFrame, by: str, value: str, shares: list[float]) -> DataFrame:
+    """Per group the values ``q0, q1, ...`` of rank ``ceil(share * n)``, exact at any size.
 
-    ``percentile_approx`` keeps a sketch of bounded size per group (relative
-    rank error ``1 / accuracy``, exact for groups smaller than that), so a
-    group holding a third of all rows still fits one task's memory; partial
-    sketches are merged map-side.
+    Values are counted per group (map-side combined), the counts per bucket of
+    equal width are added up to find the bucket that holds each rank, and only that
+    bucket's values are put in order.  A window sees the bucket counts of a group, or
+    the distinct values of one bucket of it, never a group's rows.
     """
-    q = df.groupBy(by).agg(
-        F.percentile_approx(value, [0.25, 0.75], accuracy).alias("_q"))
-    q1, q3 = F.col("_q")[0], F.col("_q")[1]
+    counts = (df.where(F.col(value).isNotNull()).select(by, F.col(value).alias("_v"))
+              .groupBy(by, "_v").agg(F.count("*").alias("_n")))
+    ends = counts.groupBy(by).agg(F.min("_v").alias("_low"), F.max("_v").alias("_high"),
+                                  F.sum("_n").alias("_total"))
+    width = F.col("_high") - F.col("_low")
+    bucket = F.when(width > 0, F.least(F.floor((F.col("_v") - F.col("_low")) / F.when(width > 0, width)
+                                               * QUANTILE_BUCKETS), F.lit(QUANTILE_BUCKETS - 1))).otherwise(0)
+    dealt = null_safe_join(counts, ends, [by]).withColumn("_bucket", bucket.cast("int"))
+    before = Window.partitionBy(by).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    sized = (dealt.groupBy(by, "_bucket").agg(F.sum("_n").alias("_size"), F.first("_total").alias("_total"))
+             .withColumn("_ahead", F.coalesce(F.sum("_size").over(before), F.lit(0))))
+    ranks = F.array(*[F.struct(F.lit(i).alias("q"), F.greatest(F.lit(1), F.ceil(F.lit(share) * F.col("_total")))
+                               .cast("bigint").alias("rank")) for i, share in enumerate(shares)])
+    wanted = (sized.withColumn("_w", F.explode(ranks))
+              .where((F.col("_ahead") < F.col("_w.rank")) & (F.col("_w.rank") <= F.col("_ahead") + F.col("_size")))
+              .select(by, "_bucket", F.col("_w.q").alias("_q"), (F.col("_w.rank") - F.col("_ahead")).alias("_rank")))
+    inside = (Window.partitionBy(by, "_q").orderBy("_v")
+              .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    met = (null_safe_join(dealt.select(by, "_bucket", "_v", "_n"), wanted, [by, "_bucket"])
+           .withColumn("_reached", F.sum("_n").over(inside)).where(F.col("_reached") >= F.col("_rank")))
+    return met.groupBy(by).agg(*[F.min(F.when(F.col("_q") == i, F.col("_v"))).alias(f"q{i}")
+                                 for i in range(len(shares))])
+
+
+def outlier_fences(df: DataFrame, by: str, value: str, factor: float = IQR_FACTOR) -> DataFrame:
+    """Per group: first and third quartile and the ``factor`` * IQR fences."""
+    q = exact_quantiles(df, by, value, [0.25, 0.75])
+    q1, q3 = F.col("q0"), F.col("q1")
     iqr = q3 - q1
     return q.select(by, q1.alias("q1"), q3.alias("q3"),
                     (q1 - iqr * factor).alias("lower_fence"), (q3 + iqr * factor).alias("upper_fence"))

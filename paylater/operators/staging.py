@@ -18,7 +18,3 @@ STAGING_COLUMNS: dict[str, list[str]] = {
 def stage(bronze: DataFrame, table: str) -> DataFrame:
     """``stg_<table>``: select the staging columns by name (drops ``_etl_source``)."""
     return bronze.select(*STAGING_COLUMNS[table])
-
-
-def stage_all(bronze: dict[str, DataFrame]) -> dict[str, DataFrame]:
-    return {name: stage(df, name) for name, df in bronze.items()}

@@ -48,18 +48,12 @@ def collect_ranked(ranked: DataFrame, group_cols: list[str], rank_col: str, payl
                     F.transform("_items", lambda s: s.dropFields(rank_col)).alias(out_col)))
 
 
-def top_k_per_group(df: DataFrame, group_cols: list[str], order_cols: list[Column], k: int,
-                    payload_cols: list[str], out_col: str) -> DataFrame:
-    """One row per group with ``out_col``: array of payload structs in rank order."""
-    ranked = top_k_rows(df, group_cols, order_cols, k, payload_cols, "_rank")
-    return collect_ranked(ranked, group_cols, "_rank", payload_cols, out_col)
-
-
-def json_objects(col: str | Column, money_fields: tuple[str, ...] = ("total_amount",)) -> Column:
+def json_objects(col: str | Column, money_fields: tuple[str, ...] = ("total_amount",),
+                 rate_fields: tuple[str, ...] = ()) -> Column:
     """An array of structs as an array of JSON object texts (the reference's ``json_object``).
 
     NULL fields are kept (``"merchant_name":null``), and money fields are
-    written as two-decimal numbers, so large amounts do not turn into
+    written as two-decimal numbers (rates with six), so that no value turns into
     exponent notation.  The marts keep the typed structs; this is for the
     edge where JSON text is wanted.
     """
@@ -68,6 +62,8 @@ def json_objects(col: str | Column, money_fields: tuple[str, ...] = ("total_amou
     def one(s: Column) -> Column:
         for f in money_fields:
             s = s.withField(f, s.getField(f).cast("decimal(18,2)"))
+        for f in rate_fields:
+            s = s.withField(f, s.getField(f).cast("decimal(9,6)"))
         return F.to_json(s, {"ignoreNullFields": "false"})
 
     return F.transform(c, one)

@@ -18,45 +18,58 @@ def sk(*cols: str) -> str:
     return f"md5(concat_ws('-', {parts}))"
 
 
+def pad(prefix: str, number: str, width: int) -> str:
+    """Prefix and number, padded to a least width."""
+    return f"'{prefix}' || lpad(cast({number} AS VARCHAR), CAST(greatest({width}, length(cast({number} AS VARCHAR))) AS INTEGER), '0')"
+
+
+def flawed(value: str, key: str, every: int, instead: str) -> str:
+    """A value that is wrong in one of ``every`` rows."""
+    return f"CASE WHEN ({key}) % {every} = {every // 2} THEN {instead} ELSE {value} END"
+
+
 SOURCES = f"""
 src_customers AS (
-  SELECT 'CUST' || lpad(cast(c.c_custkey AS VARCHAR), 6, '0') AS customer_id,
+  SELECT {pad('CUST', 'c.c_custkey', 6)} AS customer_id,
          lower(split_part(c.c_name, '#', 1)) || split_part(c.c_name, '#', 2) || '@example.com' AS email,
          split_part(c.c_name, '#', 1) AS first_name,
          split_part(c.c_name, '#', 2) AS last_name,
          '+' || cast(c.c_custkey AS VARCHAR) AS phone_number,
-         (['UAE','KSA','Egypt','Kuwait'])[c.c_nationkey % 4 + 1] AS country,
+         {flawed("(['UAE','KSA','Egypt','Kuwait'])[c.c_nationkey % 4 + 1]", 'c.c_custkey', 401, "'Oman'")} AS country,
          n.n_name AS city,
          cast(DATE '1999-09-01' + cast(c.c_custkey % 730 AS INTEGER) AS TIMESTAMP) AS registration_date,
          CASE WHEN c.c_custkey % 5 <> 0
               THEN cast(DATE '1999-09-01' + cast(c.c_custkey % 730 AS INTEGER) AS TIMESTAMP) + INTERVAL 30 DAY
          END AS last_login_date,
-         CASE c.c_custkey % 30 WHEN 0 THEN 'inactive' WHEN 1 THEN 'suspended' ELSE 'active' END AS status
+         {flawed("CASE c.c_custkey % 30 WHEN 0 THEN 'inactive' WHEN 1 THEN 'suspended' ELSE 'active' END", 'c.c_custkey', 409, "'blocked'")} AS status
   FROM customer c LEFT JOIN nation n ON c.c_nationkey = n.n_nationkey
 ),
 src_merchants AS (
-  SELECT 'MERCH' || lpad(cast(s_suppkey AS VARCHAR), 4, '0') AS merchant_id,
+  SELECT {pad('MERCH', 's_suppkey', 4)} AS merchant_id,
          s_name AS merchant_name,
-         (['Fashion','Electronics','Home & Garden','Beauty','Sports','Grocery','Restaurants','Travel'])[s_suppkey % 8 + 1] AS category,
-         (['UAE','KSA','Egypt','Kuwait'])[s_nationkey % 4 + 1] AS country,
-         (['direct','marketplace','platform'])[s_suppkey % 3 + 1] AS integration_type,
+         {flawed("(['Fashion','Electronics','Home & Garden','Beauty','Sports','Grocery','Restaurants','Travel'])[s_suppkey % 8 + 1]", 's_suppkey', 41, "'Other'")} AS category,
+         {flawed("(['UAE','KSA','Egypt','Kuwait'])[s_nationkey % 4 + 1]", 's_suppkey', 43, "'Oman'")} AS country,
+         {flawed("(['direct','marketplace','platform'])[s_suppkey % 3 + 1]", 's_suppkey', 47, "'manual'")} AS integration_type,
          cast(DATE '1998-09-01' + cast((s_suppkey * 37) % 1000 AS INTEGER) AS TIMESTAMP) AS onboarding_date,
-         CASE s_suppkey % 20 WHEN 0 THEN 'inactive' WHEN 1 THEN 'pending' ELSE 'active' END AS status
+         {flawed("CASE s_suppkey % 20 WHEN 0 THEN 'inactive' WHEN 1 THEN 'pending' ELSE 'active' END", 's_suppkey', 37, "'closed'")} AS status
   FROM supplier
 ),
 src_orders AS (
   SELECT o.o_orderkey,
-         cast(round(o.o_totalprice * 100) AS BIGINT) // 500 AS cents,
-         'TXN' || lpad(cast(o.o_orderkey AS VARCHAR), 8, '0') AS transaction_id,
-         'CUST' || lpad(cast(o.o_custkey AS VARCHAR), 6, '0') AS customer_id,
-         CASE WHEN o.o_orderpriority = '1-URGENT' THEN 'MERCH0000'
+         {flawed('cast(round(o.o_totalprice * 100) AS BIGINT) // 500', 'o.o_orderkey', 311, '0')} AS cents,
+         {pad('TXN', 'o.o_orderkey', 8)} AS transaction_id,
+         {flawed(pad('CUST', 'o.o_custkey', 6), 'o.o_orderkey', 293, "'CUST-GONE'")} AS customer_id,
+         CASE WHEN o.o_orderkey % 283 = 141 THEN 'MERCH-GONE'
+              WHEN o.o_orderpriority = '1-URGENT' THEN 'MERCH0000'
               WHEN li.supp IS NULL OR li.supp % 25 = 24 THEN NULL
-              ELSE 'MERCH' || lpad(cast(li.supp AS VARCHAR), 4, '0') END AS merchant_id,
+              ELSE {pad('MERCH', 'li.supp', 4)} END AS merchant_id,
          cast(DATE '2001-08-01' - cast(date_diff('day', DATE '1995-01-01', cast(o.o_orderdate AS DATE)) % 365 AS INTEGER) AS TIMESTAMP)
            + to_seconds(o.o_orderkey % 86400) AS transaction_date,
-         (['AED','SAR','EGP','KWD'])[o.o_orderkey % 4 + 1] AS currency,
-         (['credit_card','debit_card','bank_transfer'])[o.o_orderkey % 3 + 1] AS payment_method,
-         CASE WHEN o.o_orderkey % 100 < 85 THEN 'completed'
+         {flawed("(['AED','SAR','EGP','KWD'])[o.o_orderkey % 4 + 1]", 'o.o_orderkey', 307, "'XXX'")} AS currency,
+         {flawed("(['credit_card','debit_card','bank_transfer'])[o.o_orderkey % 3 + 1]", 'o.o_orderkey', 317, "'cash'")} AS payment_method,
+         CASE WHEN o.o_orderkey % 313 = 156 THEN 'unknown'
+              WHEN o.o_custkey % 50 = 49 THEN 'pending'
+              WHEN o.o_orderkey % 100 < 85 THEN 'completed'
               WHEN o.o_orderkey % 100 < 90 THEN 'pending'
               WHEN o.o_orderkey % 100 < 95 THEN 'failed'
               WHEN o.o_orderkey % 100 < 98 THEN 'cancelled'
@@ -64,7 +77,6 @@ src_orders AS (
   FROM orders o
   LEFT JOIN (SELECT l_orderkey, min(l_suppkey) AS supp FROM lineitem GROUP BY l_orderkey) li
          ON o.o_orderkey = li.l_orderkey
-  WHERE o.o_custkey % 50 <> 49
 ),
 src_transactions AS (
   SELECT transaction_id, customer_id, merchant_id, transaction_date, cents / 100.0 AS amount,
@@ -73,14 +85,14 @@ src_transactions AS (
 ),
 src_plans_k AS (
   SELECT o_orderkey, cents,
-         'PLAN' || lpad(cast(o_orderkey AS VARCHAR), 8, '0') AS plan_id,
-         transaction_id, customer_id, merchant_id,
-         transaction_date AS plan_date,
+         {pad('PLAN', 'o_orderkey', 8)} AS plan_id,
+         {flawed('transaction_id', 'o_orderkey', 337, "'TXN-GONE'")} AS transaction_id,
+         customer_id, merchant_id, transaction_date AS plan_date,
          cents / 100.0 AS total_amount,
-         cast(([3, 6, 12])[o_orderkey % 3 + 1] AS BIGINT) AS installment_count,
-         CASE o_orderkey % 40 WHEN 0 THEN 'completed' WHEN 1 THEN 'defaulted' ELSE 'active' END AS status
+         cast({flawed('([3, 6, 12])[o_orderkey % 3 + 1]', 'o_orderkey', 331, '9')} AS BIGINT) AS installment_count,
+         {flawed("CASE o_orderkey % 40 WHEN 0 THEN 'completed' WHEN 1 THEN 'defaulted' ELSE 'active' END", 'o_orderkey', 347, "'paused'")} AS status
   FROM src_orders
-  WHERE status = 'completed' AND o_orderkey % 7 < 4
+  WHERE status = 'completed'
 ),
 src_payment_plans AS (
   SELECT plan_id, transaction_id, customer_id, merchant_id, plan_date, total_amount, installment_count,
@@ -96,35 +108,36 @@ src_inst_base AS (
 ),
 src_installments AS (
   SELECT 'INST' || substr(plan_id, 5) || '_' || cast(installment_number AS VARCHAR) AS installment_id,
-         plan_id, installment_number,
+         {flawed('plan_id', 'o_orderkey', 359, "'PLAN-GONE'")} AS plan_id, installment_number,
          ((cents * 2 + installment_count) // (installment_count * 2)) / 100.0 AS amount,
          due_date,
          CASE WHEN due_date > {AS_OF_TS} THEN NULL
               WHEN h >= 95 THEN NULL
               WHEN h >= 85 THEN due_date + to_days(cast(1 + h % 30 AS INTEGER))
               ELSE due_date - to_days(cast(h % 6 AS INTEGER)) END AS paid_date,
-         CASE WHEN due_date > {AS_OF_TS} THEN 'scheduled'
+         CASE WHEN (o_orderkey * 12 + installment_number) % 353 = 176 THEN 'lost'
+              WHEN due_date > {AS_OF_TS} THEN 'scheduled'
               WHEN h >= 95 THEN 'defaulted'
               WHEN h >= 85 THEN 'paid_late'
               ELSE 'paid' END AS status
-  FROM src_inst_base
+  FROM src_inst_base,
+       range(CASE WHEN o_orderkey % 367 = 183 AND installment_number = 1 THEN 2 ELSE 1 END) twice
 ),
 src_user_events AS (
   SELECT cast(event_id AS VARCHAR) AS event_id,
          ts AS event_timestamp,
-         CASE WHEN event_id % 5 <> 0 THEN 'CUST' || lpad(cast(user_id AS VARCHAR), 6, '0') END AS customer_id,
-         CASE WHEN event_type = 'click' AND event_id % 3 = 0 THEN 'add_to_cart'
-              WHEN event_type = 'click' THEN 'product_view'
-              WHEN event_type = 'view' THEN 'app_open'
-              WHEN event_type = 'error' THEN 'search'
-              WHEN event_type = 'signup' THEN 'checkout'
-              WHEN event_type = 'purchase' THEN 'purchase' END AS event_type,
-         (['android','ios','web'])[event_id % 3 + 1] AS platform,
-         CASE WHEN (event_id // 10) % 10 >= 3 THEN 'MERCH' || lpad(cast(event_id % 10 AS VARCHAR), 4, '0') END AS merchant_id,
+         CASE WHEN event_id % 5 <> 0 THEN {pad('CUST', 'user_id', 6)} END AS customer_id,
+         {flawed("""CASE WHEN event_type = 'click' AND event_id % 3 = 0 THEN 'add_to_cart'
+              ELSE (MAP {'click': 'product_view', 'view': 'app_open', 'error': 'search',
+                         'signup': 'checkout', 'purchase': 'purchase'})[event_type] END""", 'event_id', 373, "'unknown'")} AS event_type,
+         {flawed("(['android','ios','web'])[event_id % 3 + 1]", 'event_id', 379, "'tv'")} AS platform,
+         CASE WHEN (event_id // 10) % 10 >= 3 THEN {pad('MERCH', 'merchant', 4)} END AS merchant_id,
          cast(user_id AS VARCHAR) || '-' || strftime(cast(ts AS DATE), '%Y-%m-%d') AS session_id,
-         (['mobile','tablet','desktop'])[event_id % 3 + 1] AS device_type,
-         (['UAE','KSA','Egypt','Kuwait'])[event_id % 4 + 1] AS country
-  FROM events
+         {flawed("(['mobile','tablet','desktop'])[event_id % 3 + 1]", 'event_id', 383, "'watch'")} AS device_type,
+         {flawed("(['UAE','KSA','Egypt','Kuwait'])[event_id % 4 + 1]", 'event_id', 389, "'Oman'")} AS country
+  FROM (SELECT * REPLACE (ts - to_days(8216) AS ts),
+               CASE WHEN event_id % 2 = 0 THEN event_id // 2 % 100 ELSE event_id % 5000 END AS merchant
+        FROM events)
 )"""
 
 BRONZE = f"""
@@ -192,33 +205,29 @@ fact_transactions AS (
   LEFT JOIN dim_merchants m ON t.merchant_id = m.merchant_id
 ),
 plan_installment_metrics AS (
-  SELECT plan_id,
-         count(DISTINCT installment_id) AS total_installments,
-         count(DISTINCT installment_id) FILTER (WHERE status IN ('paid', 'paid_late')) AS paid_installments,
-         count(DISTINCT installment_id) FILTER (WHERE status = 'defaulted') AS defaulted_installments,
-         cast(sum(CASE WHEN status IN ('paid', 'paid_late') THEN cast(amount AS DECIMAL(18,2)) ELSE 0 END) AS DOUBLE) AS total_paid_amount,
-         avg(date_diff('day', cast(due_date AS DATE), cast(paid_date AS DATE)))
-           FILTER (WHERE status = 'paid_late' AND due_date IS NOT NULL AND paid_date IS NOT NULL) AS avg_days_late
-  FROM stg_installments
+  SELECT plan_id, count(DISTINCT installment_id) AS total_installments,
+         count(DISTINCT installment_id) FILTER (settled) AS paid_installments,
+         count(DISTINCT installment_id) FILTER (status = 'defaulted') AS defaulted_installments,
+         ifnull(CAST(sum(money) FILTER (settled) AS DOUBLE), 0) AS total_paid_amount,
+         avg(CAST(paid_date AS DATE) - CAST(due_date AS DATE)) FILTER (status = 'paid_late') AS avg_days_late
+  FROM (SELECT *, status IN ('paid', 'paid_late') AS settled, CAST(amount AS DECIMAL(18,2)) AS money
+        FROM stg_installments)
   GROUP BY plan_id
 ),
 fact_payment_plans AS (
-  SELECT {sk('p.plan_id')} AS plan_sk,
-         p.plan_id, t.transaction_sk, c.customer_sk, m.merchant_sk,
-         cast(p.plan_date AS DATE) AS plan_date_key,
-         p.plan_date, p.total_amount, p.installment_count, p.first_installment_amount, p.status,
-         coalesce(pm.total_installments, 0) AS total_installments,
-         coalesce(pm.paid_installments, 0) AS paid_installments,
-         coalesce(pm.defaulted_installments, 0) AS defaulted_installments,
-         coalesce(pm.total_paid_amount, 0) AS total_paid_amount,
-         pm.avg_days_late,
-         CASE WHEN p.total_amount > 0 THEN coalesce(pm.total_paid_amount, 0) / p.total_amount END AS payment_completion_rate,
-         p._etl_extracted_at AS source_extracted_at
-  FROM stg_payment_plans p
-  LEFT JOIN dim_customers c ON p.customer_id = c.customer_id
-  LEFT JOIN dim_merchants m ON p.merchant_id = m.merchant_id
-  LEFT JOIN fact_transactions t ON p.transaction_id = t.transaction_id
-  LEFT JOIN plan_installment_metrics pm ON p.plan_id = pm.plan_id
+  SELECT {sk('plan_id')} AS plan_sk, plan_id, transaction_sk, customer_sk, merchant_sk,
+         CAST(plan_date AS DATE) AS plan_date_key, plan_date, total_amount, installment_count,
+         first_installment_amount, status, ifnull(total_installments, 0) AS total_installments,
+         ifnull(paid_installments, 0) AS paid_installments,
+         ifnull(defaulted_installments, 0) AS defaulted_installments,
+         ifnull(total_paid_amount, 0) AS total_paid_amount, avg_days_late,
+         CASE WHEN total_amount > 0 THEN ifnull(total_paid_amount, 0) / total_amount END AS payment_completion_rate,
+         _etl_extracted_at AS source_extracted_at
+  FROM stg_payment_plans
+       LEFT JOIN plan_installment_metrics USING (plan_id)
+       LEFT JOIN (SELECT transaction_id, transaction_sk FROM fact_transactions) USING (transaction_id)
+       LEFT JOIN (SELECT customer_id, customer_sk FROM dim_customers) USING (customer_id)
+       LEFT JOIN (SELECT merchant_id, merchant_sk FROM dim_merchants) USING (merchant_id)
 ),
 fact_customer_events AS (
   SELECT {sk('e.event_id')} AS event_sk,

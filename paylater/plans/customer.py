@@ -12,7 +12,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from paylater.context import RunContext
-from paylater.functions import day_diff, days_before, money_avg, money_sum
+from paylater.functions import day_diff, days_before, ratio
+from paylater.functions.money import MONEY, rate_avg
 from paylater.functions.distinct import keyed_counts, merge_groups, value_sets
 
 ENGAGEMENT_TYPES = {  # output column -> event type
@@ -27,15 +28,17 @@ RECENCY_DAYS = [(30, "Active"), (90, "Recent"), (180, "Lapsed")]
 def purchase_metrics(fact_txn: DataFrame, by: str = "customer_sk") -> DataFrame:
     """Completed transactions per customer (NULL customer is its own group)."""
     done = fact_txn.where(F.col("status") == "completed")
-    main = done.groupBy(by).agg(
-        F.count_distinct("transaction_sk").alias("total_transactions"),
-        money_sum("amount").alias("total_spent"),
-        money_avg("amount").alias("avg_transaction_amount"),
-        F.min("transaction_date").alias("first_transaction_date"),
-        F.max("transaction_date").alias("last_transaction_date"),
-        F.count_distinct("merchant_sk").alias("unique_merchants_count"),
-    )
-    return merge_groups([main, value_sets(done, [by], "currency", "currencies_used")], [by])
+    per_txn = keyed_counts(done, [by], "transaction_sk", {}, "total_transactions", partials={
+        "_sum": (F.sum(F.col("amount").cast(MONEY)), "sum"), "_n": (F.count("amount"), "sum"),
+        "first_transaction_date": (F.min("transaction_date"), "min"),
+        "last_transaction_date": (F.max("transaction_date"), "max")})
+    shops = keyed_counts(done, [by], "merchant_sk", {}, "unique_merchants_count")
+    out = merge_groups([per_txn, shops, value_sets(done, [by], "currency", "currencies_used")], [by])
+    total = F.col("_sum").cast("double")
+    return out.select(by, "total_transactions", total.alias("total_spent"),
+                      ratio(total, F.col("_n")).alias("avg_transaction_amount"),
+                      "first_transaction_date", "last_transaction_date", "unique_merchants_count",
+                      "currencies_used")
 
 
 def plan_metrics(fact_plans: DataFrame, by: str = "customer_sk",
@@ -47,7 +50,7 @@ def plan_metrics(fact_plans: DataFrame, by: str = "customer_sk",
         F.count_if(st == "active").alias("active_payment_plans"),
         F.count_if(st == "completed").alias("completed_payment_plans"),
         F.count_if(st == "defaulted").alias("defaulted_payment_plans"),
-        F.avg("payment_completion_rate").alias("avg_payment_completion_rate"),
+        rate_avg("payment_completion_rate").alias("avg_payment_completion_rate"),
         *(extra or []),
     )
 

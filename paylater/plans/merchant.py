@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from paylater.context import RunContext
 from paylater.functions import day_diff, days_before, money_avg, money_sum, ratio
 from paylater.functions.distinct import keyed_counts, merge_groups, value_sets
+from paylater.functions.money import MONEY
 from paylater.plans.customer import plan_metrics
 
 ENGAGEMENT_TYPES = {"product_views": "product_view", "add_to_carts": "add_to_cart",
@@ -28,16 +29,17 @@ RECENT_DAYS = 30
 def sales_metrics(fact_txn: DataFrame) -> DataFrame:
     """Completed transactions per merchant (NULL merchant is its own group)."""
     done = fact_txn.where(F.col("status") == "completed")
-    main = done.groupBy("merchant_sk").agg(
-        F.count_distinct("transaction_sk").alias("total_transactions"),
-        F.count_distinct("customer_sk").alias("unique_customers"),
-        money_sum("amount").alias("total_sales_amount"),
-        money_avg("amount").alias("avg_transaction_amount"),
-        F.min("transaction_date").alias("first_transaction_date"),
-        F.max("transaction_date").alias("last_transaction_date"),
-    )
-    return merge_groups([main, value_sets(done, ["merchant_sk"], "currency", "currencies_used")],
-                        ["merchant_sk"])
+    key = ["merchant_sk"]
+    per_txn = keyed_counts(done, key, "transaction_sk", {}, "total_transactions", partials={
+        "_sum": (F.sum(F.col("amount").cast(MONEY)), "sum"), "_n": (F.count("amount"), "sum"),
+        "first_transaction_date": (F.min("transaction_date"), "min"),
+        "last_transaction_date": (F.max("transaction_date"), "max")})
+    out = merge_groups([per_txn, keyed_counts(done, key, "customer_sk", {}, "unique_customers"),
+                        value_sets(done, key, "currency", "currencies_used")], key)
+    total = F.col("_sum").cast("double")
+    return out.select("merchant_sk", "total_transactions", "unique_customers", total.alias("total_sales_amount"),
+                      ratio(total, F.col("_n")).alias("avg_transaction_amount"),
+                      "first_transaction_date", "last_transaction_date", "currencies_used")
 
 
 def merchant_plan_metrics(fact_plans: DataFrame) -> DataFrame:

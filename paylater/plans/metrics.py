@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from paylater.functions import money_sum, ratio
+from paylater.functions.money import rate_avg
 
 TOP_N = 10
 MIN_PLANS = 5
@@ -94,7 +95,7 @@ def completion_trend(fact_plans: DataFrame, start=None, end=None) -> DataFrame:
     """Mean completion rate per month (first day of the month)."""
     p = in_range(fact_plans, "plan_date_key", start, end)
     return (p.groupBy(F.trunc("plan_date_key", "MM").alias("month"))
-            .agg(F.avg("payment_completion_rate").alias("avg_completion_rate"))
+            .agg(rate_avg("payment_completion_rate").alias("avg_completion_rate"))
             .orderBy("month"))
 
 

@@ -35,7 +35,8 @@ def daily_payment_plans(fact_plans: DataFrame) -> DataFrame:
             "_amount_n": (F.count(amount), "sum"),
             "_inst_sum": (F.sum("installment_count"), "sum"),
             "_inst_n": (F.count("installment_count"), "sum"),
-            "_weighted": (F.sum(F.col("payment_completion_rate") * amount), "sum"),
+            # rate times amount is the paid amount: a sum of cents, which is exact
+            "_weighted": (F.sum((F.col("payment_completion_rate") * amount).cast(MONEY)), "sum"),
         })
     people = fact_plans.groupBy(DATE).agg(
         F.count_distinct("customer_sk").alias("customer_count"),
@@ -48,7 +49,7 @@ def daily_payment_plans(fact_plans: DataFrame) -> DataFrame:
         ratio(total, F.col("_amount_n")).alias("avg_plan_amount"),
         ratio(F.col("_inst_sum"), F.col("_inst_n")).alias("avg_installment_count"),
         *PLAN_STATUS_FLAGS,
-        ratio(F.col("_weighted"), total).alias("weighted_completion_rate"),
+        ratio(F.col("_weighted").cast("double"), total).alias("weighted_completion_rate"),
     )
 
 
@@ -115,11 +116,11 @@ def gold_payment_analytics(fact_plans: DataFrame, dim_merchants: DataFrame, dim_
              k, "_rank"), [DATE], "_rank", DEFAULT_PAYLOAD, "top_defaulting_merchants")
     top_vol = collect_ranked(_top(mp, dim_merchants, volume_order(), VOLUME_PAYLOAD, k, "_rank"),
                              [DATE], "_rank", VOLUME_PAYLOAD, "top_merchants_by_volume")
-    cal = F.broadcast(dim_dates.select(
+    cal = dim_dates.select(
         F.col("date_key").alias(DATE), F.col("calendar_date").alias("plan_date"),
         F.col("year").alias("plan_year"), F.col("month").alias("plan_month"),
         F.col("month_name").alias("plan_month_name"), F.col("quarter").alias("plan_quarter"),
-        F.col("year_month").alias("plan_year_month")))
+        F.col("year_month").alias("plan_year_month"))
     # plain equi-joins on the day: a NULL day gets empty top-k arrays, as the
     # reference's correlated `date_key = date_key` subqueries give
     out = (daily_payment_plans(fact_plans).join(cal, DATE, "left")

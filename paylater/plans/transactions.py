@@ -4,7 +4,7 @@ Grouping is by day (few, large groups): every aggregate has map-side
 partial aggregation, and distinct counts shuffle by ``(day, value)``, so a
 day's rows are spread over all tasks.  The status breakdown is a pivot over
 the small ``(day, status)`` aggregate, joined back on the day.  The
-calendar has a row count fixed by its date range, so it is broadcast.
+calendar has a row count fixed by its date range; Spark broadcasts it by its size.
 """
 
 from __future__ import annotations
@@ -13,8 +13,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from paylater import schemas
-from paylater.functions import money_avg, money_sum
-from paylater.functions.distinct import merge_groups, value_sets
+from paylater.functions import money_avg, money_sum, ratio
+from paylater.functions.distinct import keyed_counts, merge_groups, value_sets
+from paylater.functions.money import MONEY
 from paylater.operators.topk import collect_ranked, top_k_with_lookup
 
 DATE = "transaction_date_key"
@@ -23,16 +24,15 @@ TOP_K = 5
 
 def daily_transactions(fact_txn: DataFrame) -> DataFrame:
     """All statuses per day."""
-    main = fact_txn.groupBy(DATE).agg(
-        F.count_distinct("transaction_sk").alias("transaction_count"),
-        F.count_distinct("customer_sk").alias("customer_count"),
-        F.count_distinct("merchant_sk").alias("merchant_count"),
-        money_sum("amount").alias("total_amount"),
-        money_avg("amount").alias("avg_amount"),
-        F.min("amount").alias("min_amount"),
-        F.max("amount").alias("max_amount"),
-    )
-    return merge_groups([main, value_sets(fact_txn, [DATE], "currency", "currencies")], [DATE])
+    per_txn = keyed_counts(fact_txn, [DATE], "transaction_sk", {}, "transaction_count", partials={
+        "_sum": (F.sum(F.col("amount").cast(MONEY)), "sum"), "_n": (F.count("amount"), "sum"),
+        "min_amount": (F.min("amount"), "min"), "max_amount": (F.max("amount"), "max")})
+    out = merge_groups([per_txn, keyed_counts(fact_txn, [DATE], "customer_sk", {}, "customer_count"),
+                        keyed_counts(fact_txn, [DATE], "merchant_sk", {}, "merchant_count"),
+                        value_sets(fact_txn, [DATE], "currency", "currencies")], [DATE])
+    total = F.col("_sum").cast("double")
+    return out.select(DATE, "transaction_count", "customer_count", "merchant_count", total.alias("total_amount"),
+                      ratio(total, F.col("_n")).alias("avg_amount"), "min_amount", "max_amount", "currencies")
 
 
 def daily_merchant_transactions(fact_txn: DataFrame) -> DataFrame:
@@ -65,12 +65,6 @@ def daily_status_pivot(fact_txn: DataFrame) -> DataFrame:
     return piv.select(DATE, *cols)
 
 
-def top_merchant_candidates(fact_txn: DataFrame, dim_merchants: DataFrame) -> DataFrame:
-    """D2 rows with the merchant name (NULL for the NULL or unknown merchant)."""
-    dm = daily_merchant_transactions(fact_txn)
-    return dm.join(dim_merchants.select("merchant_sk", "merchant_name"), "merchant_sk", "left")
-
-
 def _ranked_top_merchants(fact_txn: DataFrame, dim_merchants: DataFrame, k: int,
                           rank_col: str = "rank") -> DataFrame:
     """Top-k merchants per day; names are looked up for the top rows only."""
@@ -97,7 +91,7 @@ def gold_transaction_analytics(fact_txn: DataFrame, dim_merchants: DataFrame,
     """Daily totals, calendar attributes, status pivot and the top-k merchant array."""
     top = collect_ranked(_ranked_top_merchants(fact_txn, dim_merchants, k, "_rank"), [DATE], "_rank",
                          TOP_PAYLOAD, "top_merchants")
-    cal = F.broadcast(dim_dates.select(
+    cal = dim_dates.select(
         F.col("date_key").alias(DATE),
         F.col("calendar_date").alias("transaction_date"),
         F.col("year").alias("transaction_year"),
@@ -105,7 +99,7 @@ def gold_transaction_analytics(fact_txn: DataFrame, dim_merchants: DataFrame,
         F.col("month_name").alias("transaction_month_name"),
         F.col("day_of_month").alias("transaction_day"),
         F.col("day_name").alias("transaction_day_name"),
-        "is_weekend", "quarter", "year_month"))
+        "is_weekend", "quarter", "year_month")
     daily = daily_transactions(fact_txn)
     # plain equi-joins on the day: a NULL day keeps its totals but, as in the
     # reference's `date_key = date_key` joins, gets zero status counts and no

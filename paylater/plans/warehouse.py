@@ -168,7 +168,7 @@ def write_by_day(df: DataFrame, path: str, date_col: str) -> None:
 
 
 def build_warehouse(spark: SparkSession, bronze: dict[str, DataFrame], base_path: str,
-                    ctx: RunContext, parallel_jobs: int = 4, partition_facts_by_day: bool = False
+                    ctx: RunContext, parallel_jobs: int = 4, partition_facts_by_day: bool = True
                     ) -> tuple[dict[str, DataFrame], StoredSilver]:
     """Full refresh in dependency order: bronze, dimensions, then facts.
 

@@ -61,19 +61,40 @@ def register_tables(spark: SparkSession, namespace: str, paths: dict[str, str])
         name = f"`{namespace}`.`{table}`"
         spark.sql(f"DROP TABLE IF EXISTS {name}")
         spark.sql(f"CREATE TABLE {name} USING parquet LOCATION '{path}'")
+        if any(c.isPartition for c in spark.catalog.listColumns(f"{namespace}.{table}")):
+            spark.catalog.recoverPartitions(name)
         names.append(f"{namespace}.{table}")
     return names
 
 
+def replace_folder(df: DataFrame, path: str) -> None:
+    """Write ``df`` to ``path`` in place of what is there, by renames after the write has ended.
+
+    Between the two renames the table has no folder; the old load then lies in ``<path>.old``.
+    """
+    spark = df.sparkSession
+    fresh, old = f"{path.rstrip('/')}.new", f"{path.rstrip('/')}.old"
+    df.write.mode("overwrite").parquet(fresh)
+    jvm = spark.sparkContext._jvm
+    at = {p: jvm.org.apache.hadoop.fs.Path(p) for p in (path, fresh, old)}
+    fs = at[path].getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if fs.exists(at[path]):
+        fs.delete(at[old], True)
+        fs.rename(at[path], at[old])
+    fs.rename(at[fresh], at[path])
+    fs.delete(at[old], True)
+
+
 def load_table(df: DataFrame, path: str, table: str) -> DataFrame:
     """Full refresh of one bronze table; returns the written table, re-read.
 
-    Columns are written by name in the declared order (not by position), and
-    ``overwrite`` replaces the previous load atomically per file commit.
+    Columns are written by name in the declared order (not by position).  The
+    new load is written beside the old one and takes its place only when
+    it is complete, so a load that fails leaves the old table as it was.
     """
     cols = schemas.SOURCE_SCHEMAS[table].fieldNames() + [schemas.ETL_EXTRACTED_AT, schemas.ETL_SOURCE]
     out = df.select(*cols)
-    out.write.mode("overwrite").parquet(path)
+    replace_folder(out, path)
     # the schema is known: reading it back needs no footer-inference job
     return df.sparkSession.read.schema(out.schema).parquet(path)
 

@@ -14,18 +14,28 @@ from paylater import schemas
 CSV_TIMESTAMP_FORMAT = "yyyy-MM-dd[ HH:mm:ss[.SSSSSS]]"
 
 
-def read_jdbc(spark: SparkSession, url: str, table: str, *, partition_column: str,
-              lower_bound: int, upper_bound: int, num_partitions: int,
+def range_predicates(column: str, cuts: list[str]) -> list[str]:
+    """Conditions that split a text, date or number column at ``cuts`` into ranges without overlap.
+
+    Together they hold every row once; rows where the column is NULL are in the first.
+    """
+    quoted = ["'" + c.replace("'", "''") + "'" for c in sorted(set(cuts))]
+    if not quoted:
+        return ["1 = 1"]
+    first = f"{column} < {quoted[0]} OR {column} IS NULL"
+    inner = [f"{column} >= {low} AND {column} < {high}" for low, high in zip(quoted, quoted[1:])]
+    return [first, *inner, f"{column} >= {quoted[-1]}"]
+
+
+def read_jdbc(spark: SparkSession, url: str, table: str, *, predicates: list[str],
               properties: dict[str, str] | None = None) -> DataFrame:
-    """B1: full-table extract, split into ``num_partitions`` range reads.
+    """B1: full-table extract, one concurrent read for each predicate (see ``range_predicates``).
 
-    Without partition bounds a JDBC read is a single task, so the bounds are
-    required.  The driver jar and network access must be provided by the
-    cluster; nothing here opens a connection until an action runs.
+    The source keys are text, which Spark cannot split by numeric bounds.
+    The driver jar and network access must be provided by the cluster;
+    nothing here opens a connection until an action runs.
     """
-    return spark.read.jdbc(url, table, column=partition_column, lowerBound=lower_bound,
-                           upperBound=upper_bound, numPartitions=num_partitions,
-                           properties=properties or {})
+    return spark.read.jdbc(url, table, predicates=predicates, properties=properties or {})
 
 
 def read_csv(spark: SparkSession, path: str, table: str) -> DataFrame:

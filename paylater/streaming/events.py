@@ -1,29 +1,27 @@
 """Incremental ingest of user-event files (X2) with Structured Streaming.
 
 New CSV files in a folder are read once each (the checkpoint records which
-files were committed), duplicates of an ``event_id`` are dropped while the
-first copy is within the watermark, and rows are appended to a Parquet
-bronze table with the lineage columns.  ``availableNow`` processes what is
-there and stops, so the same job runs as a scheduled batch.
-
-The watermark needs a zoned timestamp, so the event time is parsed twice
-from the text: as ``timestamp`` for the watermark (only its ordering
-matters) and as ``timestamp_ntz`` for the stored column, which keeps the
-wall-clock value whatever the session time zone.
+files were committed).  Each micro-batch keeps one copy of an ``event_id``,
+leaves out the ids that the sink holds already (over the batch's time span),
+and writes the rest, with lineage columns, to a folder of its own: a repeated batch
+replaces that folder.  No row is late: how old an event is does not matter.
+``availableNow`` processes what is there and stops, so the same job
+runs as a scheduled batch.
 """
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from paylater import schemas
 from paylater.context import RunContext
+from paylater.operators.incremental import new_since
 from paylater.sources.bronze import add_lineage
 
-DEFAULT_WATERMARK = "1 day"
-EVENT_TIME = "_event_time"
+BATCH = "load_batch"
 
 
 def file_schema() -> T.StructType:
@@ -43,15 +41,10 @@ def event_file_stream(spark: SparkSession, source_dir: str,
     return reader.csv(source_dir)
 
 
-def deduplicated_events(stream: DataFrame, ctx: RunContext,
-                        watermark: str = DEFAULT_WATERMARK) -> DataFrame:
-    """Watermarked dedup on ``event_id``; output has the bronze ``user_events`` columns."""
-    with_time = stream.withColumn(EVENT_TIME, F.to_timestamp("event_timestamp"))
-    deduped = (with_time.withWatermark(EVENT_TIME, watermark)
-               .dropDuplicatesWithinWatermark(["event_id"]))
-    typed = deduped.select(*[
-        F.to_timestamp_ntz(F.col(n)).alias(n) if n == "event_timestamp" else F.col(n)
-        for n in schemas.USER_EVENTS.fieldNames()])
+def typed_events(rows: DataFrame, ctx: RunContext) -> DataFrame:
+    """Bronze ``user_events`` columns from the files' text."""
+    typed = rows.select(*[F.to_timestamp_ntz(F.col(n)).alias(n) if n == "event_timestamp" else F.col(n)
+                          for n in schemas.USER_EVENTS.fieldNames()])
     return add_lineage(typed, "user_events", ctx)
 
 
@@ -62,20 +55,35 @@ def bronze_schema() -> T.StructType:
         T.StructField(schemas.ETL_SOURCE, T.StringType(), True)])
 
 
+def read_events(spark: SparkSession, sink_dir: str) -> DataFrame | None:
+    """The ingested table, with the number of the batch that loaded each row; None before the first load."""
+    schema = bronze_schema().add(BATCH, T.LongType())
+    try:
+        return spark.read.schema(schema).parquet(sink_dir)
+    except AnalysisException as missing:
+        if "PATH_NOT_FOUND" not in str(missing):
+            raise
+        return None
+
+
+def load_batch(rows: DataFrame, batch: int, sink_dir: str, ctx: RunContext) -> None:
+    """Write the events of one micro-batch that the sink lacks."""
+    spark = rows.sparkSession
+    fresh = typed_events(rows, ctx).dropDuplicates(["event_id"])
+    held = read_events(spark, sink_dir)
+    if held is not None:
+        fresh = new_since(fresh, held.where(F.col(BATCH) != batch).select("event_id", "event_timestamp"),
+                          ["event_id"], "event_timestamp")
+    fresh.write.mode("overwrite").parquet(f"{sink_dir.rstrip('/')}/{BATCH}={batch}")
+
+
 def ingest_event_files(spark: SparkSession, source_dir: str, sink_dir: str, checkpoint_dir: str,
-                       ctx: RunContext, watermark: str = DEFAULT_WATERMARK,
-                       max_files_per_trigger: int | None = None) -> None:
-    """Process every file not yet committed, append to ``sink_dir``, and stop.
-
-    Read the result with ``spark.read.schema(bronze_schema()).parquet(sink_dir)``:
-    the sink's commit log lists only committed files.
-    """
-    out = deduplicated_events(event_file_stream(spark, source_dir, max_files_per_trigger), ctx,
-                              watermark)
-    q = (out.writeStream.format("parquet").outputMode("append")
+                       ctx: RunContext, max_files_per_trigger: int | None = None) -> None:
+    """Process every file not yet committed, append to ``sink_dir``, and stop."""
+    q = (event_file_stream(spark, source_dir, max_files_per_trigger).writeStream
+         .foreachBatch(lambda rows, batch: load_batch(rows, batch, sink_dir, ctx))
          .option("checkpointLocation", checkpoint_dir)
-         .trigger(availableNow=True)
-         .start(sink_dir))
+         .trigger(availableNow=True).start())
     q.awaitTermination()
     if q.exception() is not None:
         raise RuntimeError(f"event ingest failed: {q.exception()}")

@@ -75,6 +75,8 @@ def test_shared_dir_reads_session_and_falls_back_without_setting_conf():
             self.sets.append(key)
 
     class Ctx:
+        master = "local[4]"
+
         def __init__(self):
             self.dir = None
 

@@ -142,13 +142,12 @@ def test_null_day_gets_totals_but_no_breakdown_or_top_list(spark, ctx):
 
 
 def test_top_lists_as_json_objects(spark, ctx):
-    from paylater.operators.topk import json_objects, top_k_per_group
+    from paylater.operators.topk import collect_ranked, json_objects
     d = ts("2001-08-01 10:00:00")
     rows = [("c", "m1", d, 12345678.5, "completed"), ("c", None, d, 2.0, "completed")]
     dim_m = spark.createDataFrame([("m1", "One")], "merchant_sk string, merchant_name string")
-    top = top_k_per_group(
-        transactions.top_merchant_candidates(_txn(spark, rows), dim_m), [transactions.DATE],
-        transactions.top_order(), 5, transactions.TOP_PAYLOAD, "top")
+    ranked = transactions.daily_top_merchants(_txn(spark, rows), dim_m)
+    top = collect_ranked(ranked, [transactions.DATE], "rank", transactions.TOP_PAYLOAD, "top")
     got = top.select(json_objects("top").alias("j")).first().j
     assert got == ['{"merchant_sk":"m1","merchant_name":"One","transaction_count":1,"total_amount":12345678.50}',
                    '{"merchant_sk":null,"merchant_name":null,"transaction_count":1,"total_amount":2.00}']

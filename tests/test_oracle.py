@@ -8,9 +8,11 @@ from paylater.oracle.check import compare_one, duck
 from tests.conftest import SF_SMALL
 
 import __spark_entry__ as entry_mod
+from paylater.oracle.sql import oracle_sql as reference_sql
+from paylater.queries import REGISTRY
 
-QUERIES = entry_mod.queries()
-SQL = entry_mod.oracle_sql()
+QUERIES = REGISTRY
+SQL = reference_sql()
 
 
 @pytest.fixture(scope="module")
@@ -20,6 +22,7 @@ def con():
 
 def test_every_query_has_an_oracle():
     assert set(QUERIES) == set(SQL)
+    assert set(QUERIES) <= set(entry_mod.queries()) and set(SQL) <= set(entry_mod.oracle_sql())
 
 
 def test_entry_smoke(spark):
