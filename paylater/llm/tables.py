@@ -7,9 +7,20 @@ from pyspark.sql import DataFrame
 from paylater.context import shared_dir
 
 
+# Rows of an Arrow batch while a table is written: with texts of some KB, a batch
+# then is some MB, in the JVM's and in Python's memory.
+BATCH_SETTING = "spark.sql.execution.arrow.maxRecordsPerBatch"
+BATCH_ROWS = 2000
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """``df`` written as Parquet under the session's checkpoint folder and read back."""
     spark = df.sparkSession
     path = shared_dir(spark, name)
-    df.write.parquet(path)
+    before = spark.conf.get(BATCH_SETTING)
+    spark.conf.set(BATCH_SETTING, str(min(int(before), BATCH_ROWS) if int(before) > 0 else BATCH_ROWS))
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(BATCH_SETTING, before)
     return spark.read.schema(df.schema).parquet(path)

@@ -40,7 +40,7 @@ LEAST_DOCS = 8           # documents of the sample that hold a feature, at least
 LEAST_Z = 6.0
 NEIGHBOURS = 16
 BLOCK = 64
-CACHED_WORDS = 500_000
+CACHED_WORDS = 250_000
 THRESHOLD = 0.7
 WORD = re.compile(r"\w+")
 
