@@ -496,6 +496,26 @@ def test_prefix_tree_finds_all_links():
     assert (prefix_tree.linked(sets).roots() == forest.roots()).all()
 
 
+def test_linked_equals_brute_force_on_few_sets():
+    rng = np.random.default_rng(9)
+    groups = [[np.arange(96), np.arange(40, 140), np.arange(1, 97)]]     # the longest links with nothing
+    for _ in range(1500):
+        whole = np.arange(rng.integers(8, 40))       # near misses: two cuts of one set overlap by about the need
+        groups.append([np.append(whole[rng.random(len(whole)) > rng.random() * 0.35],
+                                 100 + rng.integers(0, 50)) for _ in range(rng.integers(2, 6))])
+    several = 0
+    for group in groups:
+        group = [np.asarray(s, np.uint64) for s in group]
+        forest = prefix_tree.Forest(len(group))
+        for i in range(len(group)):
+            for j in range(i):
+                if prefix_tree.fits(len(np.intersect1d(group[i], group[j])), len(group[i]), len(group[j])):
+                    forest.join(i, j)
+        assert (prefix_tree.linked(group).roots() == forest.roots()).all(), group
+        several += 1 < len(set(forest.roots().tolist())) < len(group)
+    assert several > 100
+
+
 def test_components_of_paths_and_stars(spark):
     edges = [(i, i + 1) for i in range(40)] + [(100, 100 + i) for i in range(30)] + [(200, 201), (201, 200), (7, 7)]
     got = {r.node: r.root for r in components.components(spark.createDataFrame(edges, "a long, b long")).collect()}
