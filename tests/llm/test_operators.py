@@ -473,6 +473,49 @@ def test_similar_components_of_edited_copies(spark, seed):
     assert got == brute_components(dict(data))
 
 
+def edited_family(seed):
+    """Copies of few texts with many edits: nearly all share shingles, not all link."""
+    rng = random.Random(seed)
+    base = [prose(rng, 50).split() for _ in range(2)]
+    texts = {}
+    for i in range(150):
+        w = list(base[i % 5 == 0])
+        for _ in range(rng.randint(0, 5)):
+            w[rng.randrange(len(w))] = prose(rng, 1) + str(rng.randint(0, 9))
+        texts[i] = " ".join(w + "all of these texts end with one line of words".split())
+    return texts
+
+
+@pytest.mark.parametrize("block", [400, 2500])
+def test_wide_groups_are_cut_into_blocks(spark, monkeypatch, block):
+    monkeypatch.setattr(ngram_join, "BLOCK", block)
+    texts = edited_family(block)
+    df = spark.createDataFrame(list(texts.items()), "doc_id long, text string").repartition(3)
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in ngram_join.similar_components(df).collect()}
+    assert got == brute_components(texts)
+
+
+def test_blocks_are_bounded_and_every_pair_meets(spark, monkeypatch):
+    monkeypatch.setattr(ngram_join, "BLOCK", 20 * 164)
+    sets = [(i, i % 2 * (i % 9 == 0), 100, b"") for i in range(900)]        # home 0: 850 sets, home 1: 50
+    placed = ngram_join._home_blocks(spark.createDataFrame(sets, "sid long, home long, size int, tokens binary")).collect()
+    assert Counter(r.sid for r in placed if r.own == r.block) == Counter(range(900))
+    assert max(Counter((r.home, r.block) for r in placed).values()) < 3 * 20 + ngram_join.LEADERS
+    for shares in ([1, 0, 0, 0], [0.9, 0.05, 0.03, 0.02], [0.4, 0.3, 0.2, 0.1]):
+        rng = random.Random(1)
+        label = [rng.choices(range(4), shares)[0] for _ in range(300)]
+        label[0] = 3
+        rows = [(5, i, label[i], 100, 300 * 164) for i in range(300)] + [(6, i, i, 100, 3 * 164) for i in range(3)]
+        rows = spark.createDataFrame(rows, "rep long, sid long, label long, size int, weight long")
+        groups = defaultdict(set)
+        for r in ngram_join._block_pairs(rows).collect():
+            groups[r.rep, r.i, r.j].add(r.sid)
+        assert groups[6, 0, 0] == {0, 1, 2}
+        assert max(map(len, groups.values())) < 2 * 3 * 20
+        met = {(a, b) for (rep, *_), g in groups.items() if rep == 5 for a in g for b in g}
+        assert all((a, b) in met for a in range(300) for b in range(300) if label[a] != label[b])
+
+
 def test_repeated_ids_are_entries_of_their_own(spark):
     a, b = "one two three four five six seven", "eight nine ten eleven twelve thirteen"
     df = spark.createDataFrame([(5, a), (5, b), (7, b), (9, a), (None, a)], "doc_id long, text string")
