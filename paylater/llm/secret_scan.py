@@ -133,6 +133,14 @@ def _mixed(value: str) -> bool:
     return (any(c.isdigit() for c in value) + any(c.islower() for c in value) + any(c.isupper() for c in value)) > 1
 
 
+def _covered(start: int, end: int, spans: list[tuple[int, int]]) -> bool:
+    """Whether the spans, in order, hold all of ``start`` to ``end``."""
+    for s, e in spans:
+        if s <= start < e:
+            start = e
+    return start >= end
+
+
 def find(text: str) -> list[tuple[str, int, int, float | None]]:
     """Kind, start, end (code points) and guess cost of the secrets of a text, in order."""
     lower = text.lower()
@@ -146,7 +154,7 @@ def find(text: str) -> list[tuple[str, int, int, float | None]]:
             start, end = m.span(1)
             value = m[1].rstrip(".!?:)]}*#%$&")
             end = start + len(value)
-            if len(value) < LEAST_VALUE or not _mixed(value) or any(s < end and start < e for s, e in taken):
+            if len(value) < LEAST_VALUE or not _mixed(value) or _covered(start, end, taken):
                 continue
             cost = guess_cost(value)
             if cost >= LEAST_COST:

@@ -305,6 +305,15 @@ def test_values_in_context_and_redaction(spark, docs, rows, empty):
     assert secret_scan.find_secrets(empty).count() == 0 and secret_scan.redact(empty).count() == 0
 
 
+def test_values_that_base_spans_cover_in_part_are_whole():
+    redact, find = secret_scan.redact_text, secret_scan.find
+    text = "a password: Tr0ub4dorXYZ9!kQ#8zzLm b"
+    assert [(k, text[s:e]) for k, s, e, _ in find(text)] == [("assign", "password: Tr0ub4dorXYZ9"), ("value", text[12:-2])]
+    assert redact(text, "[S]") == "a [S] b"
+    assert redact("pwd: G7#deadbeefdeadbeef!Qz9xWk, c", "[S]") == "pwd: [S], c"
+    assert [k for k, *_ in find("token=0123456789abcdef0")] == ["assign", "hex"]      # covered as a whole
+
+
 # ------------------------------------------------------------------ 7 lines
 
 def test_boilerplate_lines(spark, empty):
