@@ -4,20 +4,25 @@ Patterns find assignments, access ids and hexadecimal strings.  The method adds
 values in a credential's context (``pwd: ...``, ``auth=...``) whose guess cost
 is high: a dynamic program finds the cheapest way to compose the value of
 common words, dates, repeats, sequences, keyboard walks and brute-force spans.
-Placeholders and everyday passwords are cheap, and stay unmarked.
+Placeholders and everyday passwords are cheap, and stay unmarked.  Values of one
+class (digits, small or capital letters, with symbols or without) are prose
+more often: their cost counts a large word list, and they must be spelled unlike words.
 """
 
 from __future__ import annotations
 
+import functools
 import math
 import re
-from collections.abc import Iterator
+from collections import Counter
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from paylater.llm import documents
+from paylater.llm.vocabulary import byte_pieces, public_path, tokenizer_text
 
 # The base patterns and least lengths.
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""",
@@ -38,6 +43,8 @@ CONTEXT_HINTS = ("pass", "pwd", "pin", "secret", "token", "credential", "login",
 
 LEAST_VALUE = 8
 LEAST_COST = 9.0          # log10 of the guesses that make a value a secret
+LEAST_STRANGE = 1.4       # of values of one class: spelled unlike words
+VOCABULARY = "word_bpe_49k.json"
 LONGEST_SPAN = 64
 JOIN_COST = math.log10(4)  # for each further span
 
@@ -78,24 +85,34 @@ def _case_cost(text: str) -> float:
     return math.log10(sum(math.comb(len(text), i) for i in range(1, min(upper, len(text) - upper) + 1)) + 1)
 
 
-def spans_of(value: str) -> Iterator[tuple[int, int, float]]:
+def spans_of(value: str, ranks: dict[str, int] = RANK, longest: int = 12) -> Iterator[tuple[int, int, float]]:
     """Start, end and log10 guesses of every known pattern in a value."""
     lower = value.lower()
     plain = lower.translate(LEET) if len(lower.translate(LEET)) == len(lower) else lower
     n = len(value)
+    again = [[0] * (n + 1) for _ in range(9)]                 # how far a value equals itself, a unit on
+    for unit in range(1, 9):
+        for i in range(n - unit - 1, -1, -1):
+            again[unit][i] = again[unit][i + 1] + 1 if lower[i] == lower[i + unit] else 0
+    far = list(range(1, n + 1))                               # where a keyboard walk ends
+    turned, capital = [0] * (n + 1), [0] * (n + 1)
+    for i in range(n - 2, -1, -1):
+        if (lower[i], lower[i + 1]) in NEXT_KEYS:
+            far[i] = far[i + 1]
     for i in range(n):
-        for j in range(i + 3, min(n, i + 12) + 1):
+        turned[i + 1] = turned[i] + (i > 1 and ord(lower[i]) - ord(lower[i - 1]) != ord(lower[i - 1]) - ord(lower[i - 2]))
+        capital[i + 1] = capital[i] + value[i].isupper()
+    for i in range(n):
+        for j in range(i + 3, min(n, i + longest) + 1):
             for form, extra in ((lower, 0.0), (plain, 0.5)):
                 for word, more in ((form[i:j], 0.0), (form[i:j][::-1], 0.3)):
-                    if word in RANK and (form is lower or plain[i:j] != lower[i:j]):
-                        yield i, j, math.log10(RANK[word]) + extra + more + _case_cost(value[i:j])
+                    if word in ranks and (form is lower or plain[i:j] != lower[i:j]):
+                        yield i, j, math.log10(ranks[word]) + extra + more + _case_cost(value[i:j])
         date = DATE.match(value, i)
         if date:
             yield i, date.end(), math.log10(365 * 60) if date.end() - i > 4 else math.log10(60)
         for unit in range(1, 9):                              # repeats of a unit
-            j = i + unit
-            while lower[j:j + unit] == lower[i:i + unit] and j + unit <= n:
-                j += unit
+            j = i + unit + again[unit][i] // unit * unit
             if j - i >= 2 * unit and j - i >= 3:
                 yield i, j, unit + math.log10((j - i) // unit)
         for delta in (1, -1):                                 # abc, 321
@@ -104,21 +121,17 @@ def spans_of(value: str) -> Iterator[tuple[int, int, float]]:
                 j += 1
             if j - i >= 3:
                 yield i, j, math.log10(26 * (j - i)) + (delta < 0) * math.log10(2)
-        j = i + 1                                             # keyboard walk
-        turns = 0
-        while j < n and (lower[j - 1], lower[j]) in NEXT_KEYS:
-            step = ord(lower[j]) - ord(lower[j - 1])
-            turns += j > i + 1 and step != ord(lower[j - 1]) - ord(lower[j - 2])
-            j += 1
+        j = far[i]                                            # keyboard walk
         if j - i >= 4:
-            yield i, j, math.log10(47 * 5 * (j - i)) + 0.4 * turns + _case_cost(value[i:j])
+            case = _case_cost(value[i:j]) if capital[j] > capital[i] else 0.0
+            yield i, j, math.log10(47 * 5 * (j - i)) + 0.4 * (turned[j] - turned[i + 2]) + case
 
 
-def guess_cost(value: str) -> float:
+def guess_cost(value: str, ranks: dict[str, int] = RANK, longest: int = 12) -> float:
     """log10 of the guesses for the cheapest composition of a value."""
     best = [0.0] + [math.inf] * len(value)
     ending: dict[int, list[tuple[int, float]]] = {}
-    for i, j, cost in spans_of(value):
+    for i, j, cost in spans_of(value, ranks, longest):
         ending.setdefault(j, []).append((i, cost))
     for j in range(1, len(value) + 1):
         for i in range(max(0, j - LONGEST_SPAN), j):          # brute force: ten guesses a character
@@ -128,8 +141,52 @@ def guess_cost(value: str) -> float:
     return best[-1]
 
 
+class Words:
+    """The words of a public tokenizer's vocabulary by rank, after the common ones, and their spelling."""
+
+    LONGEST = 20
+    LETTERS = re.compile("[a-z\u00df-\u00f6\u00f8-\u024f]+")
+
+    def __init__(self, tokenizer: str):
+        flat, at = byte_pieces(tokenizer)
+        self.ranks = dict(RANK)
+        for low, high in zip(at[:-1].tolist(), at[1:].tolist()):
+            word = flat[low:high].tobytes().removesuffix(b"</w>").decode("utf-8", "ignore").lower()
+            if len(word) >= 3 and word.isalpha():
+                self.ranks.setdefault(word, len(self.ranks) + 1)
+        self.grams: Counter[str] = Counter()
+        for word in self.ranks:
+            if len(word) >= 4 and self.LETTERS.fullmatch(word):
+                self.grams.update(g for i in range(len(word)) for g in ("", word[i], word[max(0, i - 1):i + 1],
+                                                                        word[max(0, i - 2):i + 1])[:i + 2])
+
+    def strange(self, value: str) -> float:
+        """Mean -log10 of the odds of each letter after the two before it; infinite without letters.
+
+        Letters of other scripts, whose words the list doesn't hold, count as ordinary.
+        """
+        costs = [0.0 for c in value if c.isalpha() and not self.LETTERS.fullmatch(c.lower())]
+        for run in self.LETTERS.findall(value.lower()):
+            for i in range(len(run)):
+                odds = 0.001
+                for n, share in ((0, 0.1), (1, 0.3), (2, 0.6)):
+                    before = run[max(0, i - n):i]
+                    odds += share * self.grams[before + run[i]] / max(1, self.grams[before])
+                costs.append(-math.log10(odds))
+        return sum(costs) / len(costs) if costs else math.inf
+
+
+@functools.cache
+def words_of(tokenizer: str) -> Words:
+    return Words(tokenizer)
+
+
+def public_words() -> Words:
+    return words_of(tokenizer_text(public_path(VOCABULARY)))
+
+
 def _mixed(value: str) -> bool:
-    """Letters of one case, or digits alone, are prose or numbers."""
+    """Two of digits, small and capital letters; all others are held against words and spelling, too."""
     return (any(c.isdigit() for c in value) + any(c.islower() for c in value) + any(c.isupper() for c in value)) > 1
 
 
@@ -141,7 +198,18 @@ def _covered(start: int, end: int, spans: list[tuple[int, int]]) -> bool:
     return start >= end
 
 
-def find(text: str) -> list[tuple[str, int, int, float | None]]:
+def secret_cost(value: str, words: Callable[[], Words] = public_words) -> float | None:
+    """The guess cost of a value that is a secret; none of others."""
+    cost = guess_cost(value)
+    if cost >= LEAST_COST and not _mixed(value):
+        known = words()
+        if known.strange(value) < LEAST_STRANGE:
+            return None
+        cost = guess_cost(value, known.ranks, known.LONGEST)
+    return cost if cost >= LEAST_COST else None
+
+
+def find(text: str, words: Callable[[], Words] = public_words) -> list[tuple[str, int, int, float | None]]:
     """Kind, start, end (code points) and guess cost of the secrets of a text, in order."""
     lower = text.lower()
     found = [("access", *m.span(), None) for m in ACCESS.finditer(text)] if "AKIA" in text else []
@@ -154,10 +222,10 @@ def find(text: str) -> list[tuple[str, int, int, float | None]]:
             start, end = m.span(1)
             value = m[1].rstrip(".!?:)]}*#%$&")
             end = start + len(value)
-            if len(value) < LEAST_VALUE or not _mixed(value) or _covered(start, end, taken):
+            if len(value) < LEAST_VALUE or _covered(start, end, taken):
                 continue
-            cost = guess_cost(value)
-            if cost >= LEAST_COST:
+            cost = secret_cost(value, words)
+            if cost is not None:
                 found.append(("value", start, end, cost))
     return sorted(found, key=lambda x: (x[1], KINDS.index(x[0])))
 
@@ -167,11 +235,19 @@ SPAN_TYPE = pa.list_(pa.struct([("kind", pa.string()), ("begin", pa.int64()), ("
                                 ("cost", pa.float64())]))
 
 
-def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        spans = [[dict(zip(("kind", "begin", "finish", "cost"), x)) for x in find(text or "")]
-                 for text in batch.column("text").to_pylist()]
-        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(spans, SPAN_TYPE)], ["doc_id", "spans"])
+def _sent_words(docs: DataFrame) -> Callable[[], Words]:
+    """The word list for tasks; read where the first value needs it."""
+    text = docs.sparkSession.sparkContext.broadcast(tokenizer_text(public_path(VOCABULARY)))
+    return lambda: words_of(text.value)
+
+
+def _scan(words: Callable[[], Words]):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            spans = [[dict(zip(("kind", "begin", "finish", "cost"), x)) for x in find(text or "", words)]
+                     for text in batch.column("text").to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(spans, SPAN_TYPE)], ["doc_id", "spans"])
+    return run
 
 
 def find_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -181,12 +257,12 @@ def find_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     their ids; other columns are not read.
     """
     return (docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-            .mapInArrow(_scan, f"doc_id long, spans {SPANS}"))
+            .mapInArrow(_scan(_sent_words(docs)), f"doc_id long, spans {SPANS}"))
 
 
-def redact_text(text: str, mark: str) -> str:
+def redact_text(text: str, mark: str, words: Callable[[], Words] = public_words) -> str:
     out, at = [], 0
-    for _, start, end, _ in find(text):
+    for _, start, end, _ in find(text, words):
         if end > at:
             out += [text[at:max(start, at)], mark if start >= at else ""]
             at = end
@@ -196,10 +272,11 @@ def redact_text(text: str, mark: str) -> str:
 def redact(docs: DataFrame, mark: str = "[SECRET]", text_col: str = "text") -> DataFrame:
     """``docs`` with ``mark`` in place of each secret of the text; all rows and columns stay."""
     column = docs.columns.index(text_col)
+    words = _sent_words(docs)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = [None if t is None else redact_text(t, mark) for t in batch.column(column).to_pylist()]
+            texts = [None if t is None else redact_text(t, mark, words) for t in batch.column(column).to_pylist()]
             yield batch.set_column(column, batch.schema.field(column), pa.array(texts, batch.schema.field(column).type))
     return docs.mapInArrow(run, docs.schema)
 

@@ -314,6 +314,24 @@ def test_values_that_base_spans_cover_in_part_are_whole():
     assert [k for k, *_ in find("token=0123456789abcdef0")] == ["assign", "hex"]      # covered as a whole
 
 
+def test_values_of_one_class(spark):
+    secret = ["pwd: xq#zv!kw$jp&hm", "auth=kxqzvbwjmfhtrwpl", "pin: 839201746625", "bearer: QXZKVWJPGHTBNRML"]
+    prose = ["login: understanding", "password: forgot-your-password", "auth: https://www.example.com/login/register",
+             "secret: Geschwindigkeitsbegrenzung", "token: UNSPECIFIED", "password: contrase\u00f1a-incorrecta",
+             "password: \u8bf7\u8f93\u5165\u60a8\u7684\u5bc6\u7801\u5e76\u786e\u8ba4\u767b\u5f55",
+             "pin: 00000000", "login: 20190304", "auth=" + "as" * 3000]
+    texts = [f"a {x} b" for x in secret + prose]
+    got = {i: secret_scan.redact_text(t, "[S]") for i, t in enumerate(texts)}
+    assert [t for i, t in got.items() if t == re.sub("[:=] ?.* b", lambda m: m[0][:1 + (m[0][1] == " ")] + "[S] b", texts[i])
+            ] == [got[i] for i in range(len(secret))]
+    for i in range(len(secret), len(texts)):
+        assert "value" not in [k for k, *_ in secret_scan.find(texts[i])], texts[i]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert {r.doc_id: r.text for r in secret_scan.redact(df, "[S]").collect()} == got
+    spans = {r.doc_id: [tuple(x) for x in r.spans] for r in secret_scan.find_secrets(df).collect()}
+    assert spans == {i: secret_scan.find(t) for i, t in enumerate(texts)}
+
+
 # ------------------------------------------------------------------ 7 lines
 
 def test_boilerplate_lines(spark, empty):
