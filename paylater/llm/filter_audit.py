@@ -205,7 +205,7 @@ def _local(ranges):
                 for i, part, body in zip(ids, parts, bodies):
                     mask = text_mask(body)
                     if i is None:                    # no id: neither a duplicate nor an original
-                        rows.append((None, part, mask, -1, None))
+                        rows.append((None, part, mask, -1 - len(rows), None))
                         continue
                     lost = trie.insert(body, i, [(part, mask)])
                     if lost is not None:
@@ -213,7 +213,7 @@ def _local(ranges):
                         if key == trie.smallest(body):       # the same id again
                             _at(trie, body).extend(rest)
                         else:
-                            rows += [(key, p, m | DUPLICATE_BIT, -1, None) for p, m in rest]
+                            rows += [(key, p, m | DUPLICATE_BIT, -1 - len(rows), None) for p, m in rest]
                 for body, key, rest in trie.terminals():
                     k = where.of(body)
                     rows += [(key, p, m, k, body) for p, m in rest]
@@ -287,10 +287,8 @@ def failed_filters(docs: DataFrame, part_col: str = "source", id_col: str = "doc
     sample, total = sample_texts(rows)
     ranges = choose_ranges(sample, max(1, min(RANGES, total // TEXTS_IN_RANGE)))
     local = rows.mapInArrow(_local(spark.sparkContext.broadcast(ranges)), NARROW_DDL)
-    # decided rows (narrow) go anywhere
-    dealt = local.repartition(F.when(F.col("range_id") < 0, -1 - F.pmod(F.xxhash64("doc_id", "part", "mask"), F.lit(1 << 20)))
-                              .otherwise(F.col("range_id")))
-    return dealt.mapInArrow(_ranged, FLAGGED_DDL)
+    # decided rows (narrow, negative numbers by their place in a block) go anywhere
+    return local.repartition("range_id").mapInArrow(_ranged, FLAGGED_DDL)
 
 
 def orders() -> list[tuple[str, int, str, int, int]]:

@@ -13,7 +13,7 @@ SF = "/root/testdata/sf0.001"
 
 
 def test_one_query_for_each_operator():
-    assert sorted(int(name[2:].split("_")[0]) for name in QUERIES) == list(range(1, 11))
+    assert sorted(int(name[2:].split("_")[0]) for name in QUERIES) == list(range(1, 14))
 
 
 @pytest.mark.parametrize("name", sorted(ORACLE_SQL))
@@ -21,7 +21,7 @@ def test_query_matches_sql(spark, name):
     assert compare_one(spark, duck(SF), name, QUERIES[name], ORACLE_SQL[name], SF)["status"] == "ok"
 
 
-@pytest.mark.parametrize("name", sorted(QUERIES))
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - {"op13_filter_audit"}))
 def test_query_covers_its_table(spark, name):
     out = QUERIES[name](spark, SF)
     table, key = {"op2": ("embeddings", "query_id"), "op8": ("pages", "page_id")}.get(
@@ -32,7 +32,7 @@ def test_query_covers_its_table(spark, name):
 
 
 def test_line_dedup_and_fingerprints_run_no_python(spark):
-    for name in ("op3_fingerprints", "op7_line_dedup"):
+    for name in ("op3_fingerprints", "op7_line_dedup", "op11_sharding"):
         plan = QUERIES[name](spark, SF)._jdf.queryExecution().executedPlan().toString()
         assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan
 
