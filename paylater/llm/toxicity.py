@@ -29,6 +29,7 @@ import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from paylater.llm import documents
 from paylater.llm.blocks import binary_views
@@ -41,6 +42,7 @@ LEAST_Z = 6.0
 NEIGHBOURS = 16
 BLOCK = 64
 CACHED_WORDS = 250_000
+SUMS = 32                # tasks that add up document frequencies
 THRESHOLD = 0.7
 WORD = re.compile(r"\w+")
 
@@ -84,19 +86,45 @@ def _presence(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _vectors(vocabulary):
+    """Features and counts of every row; one more row for each task counts the rows that hold a feature.
+
+    That row's ``seen`` has a count for each feature, and the number of rows at the end.
+    """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids = FeatureIds(vocabulary.value)
+        seen = np.zeros(len(vocabulary.value) + 1, np.int64)
+        kinds = [pa.list_(pa.int32()), pa.list_(pa.int32()), pa.list_(pa.int64())]
+        names = ["doc", "features", "counts", "seen"]
+        kind = None
         for batch in batches:
-            data, at = binary_views(batch.column("body"))
+            doc = batch.column("doc")
+            kind = doc.type
+            data, at = binary_views(doc.flatten()[-1])
             raw = data.tobytes()
-            found = [count_features(raw[at[i]:at[i + 1]].decode(), ids) for i in range(len(batch))]
-            pairs = [sorted(x.items()) for x in found]
+            pairs = [sorted(count_features(raw[at[i]:at[i + 1]].decode(), ids).items()) for i in range(len(batch))]
+            for p in pairs:
+                seen[[f for f, _ in p]] += 1
+            seen[-1] += len(pairs)
+            yield pa.RecordBatch.from_arrays(
+                [doc, pa.array([[f for f, _ in p] for p in pairs], kinds[0]),
+                 pa.array([[n for _, n in p] for p in pairs], kinds[1]), pa.nulls(len(pairs), kinds[2])], names)
+        if kind is not None:
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array([[f for f, _ in p] for p in pairs], pa.list_(pa.int32())),
-                 pa.array([[n for _, n in p] for p in pairs], pa.list_(pa.int32()))], ["doc_id", "features", "counts"])
+                [pa.nulls(1, kind), *(pa.nulls(1, k) for k in kinds[:2]), pa.array([seen], kinds[2])], names)
     return run
 
 
+def _added(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The sum of a task's ``seen`` rows."""
+    total = None
+    for batch in batches:
+        for row in batch.column("seen"):
+            values = row.values.to_numpy()
+            total = values.copy() if total is None else total + values
+    if total is not None:
+        yield pa.RecordBatch.from_arrays([pa.array([total], pa.list_(pa.int64()))], ["seen"])
+
+
 class BlockMaxIndex:
     """Unit vectors of the examples in feature postings with block maxima."""
 
@@ -200,7 +228,8 @@ class Model:
         return float(np.interp(vote, self.steps, self.fitted)), who, cosine
 
 
-EVIDENCE = "array<struct<doc_id:bigint,cosine:double,toxic:int>>"
+EVIDENCE = T.ArrayType(T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("cosine", T.DoubleType()),
+                                     T.StructField("toxic", T.IntegerType())]))
 
 
 def _scorer(model):
@@ -215,8 +244,8 @@ def _scorer(model):
                                  for i, c in zip(who[:3], cosine[:3])])
             kind = pa.list_(pa.struct([("doc_id", pa.int64()), ("cosine", pa.float64()), ("toxic", pa.int32())]))
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(scores, pa.float64()), pa.array(evidence, kind)],
-                ["doc_id", "score", "evidence"])
+                [batch.column("doc"), pa.array(scores, pa.float64()), pa.array(evidence, kind)],
+                ["doc", "score", "evidence"])
     return run
 
 
@@ -232,16 +261,20 @@ def _choose(presence: DataFrame, n: int, n_toxic: int, features: int) -> dict[st
     return {r.feature: i for i, r in enumerate(rows)}
 
 
-def score_documents(docs: DataFrame, labelled: DataFrame, examples: int = EXAMPLES,
-                    features: int = FEATURES, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``doc_id, score, evidence`` of every row with an id: probability of the
-    label, and the three nearest examples.
+def score_rows(docs: DataFrame, labelled: DataFrame, examples: int = EXAMPLES, features: int = FEATURES,
+               id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``doc, score, evidence`` of every row: the row itself as a struct (its text as the last field), the
+    probability of the label, and the three nearest examples.
 
     ``labelled``: ``doc_id, toxic`` of the rows to learn from; ids and labels must not be
-    null to count, of a repeated id the greater label counts.  Of more than
+    null to count, of a repeated id the greater label counts, with the text of the smallest features.  Of more than
     ``examples``, those of the smallest id hash are taken.  Null and empty texts,
     and texts without a known feature, get the rate of such examples.  Without any
-    example all scores are 0.
+    example all scores are 0.  Rows are scored one for one by their own texts, rows without an id, too.
+    Examples are scored like all rows, so a learned row is its own nearest neighbour; of equal cosines
+    the smaller ids are neighbours.
+
+    The rows travel with their vectors through one written table, and are never joined or shuffled.
     """
     spark = docs.sparkSession
     rows = documents.bodies(docs, id_col, text_col)
@@ -255,16 +288,34 @@ def score_documents(docs: DataFrame, labelled: DataFrame, examples: int = EXAMPL
     size = chosen.agg(F.count("*").alias("n"), F.sum("toxic").alias("t")).first()
     vocabulary = _choose(presence, size.n or 0, size.t or 0, features) if size.n else {}
 
-    vectors = written(rows.mapInArrow(_vectors(spark.sparkContext.broadcast(vocabulary)),
-                                      "doc_id long, features array<int>, counts array<int>"), "toxicity-vectors")
-    frequency = (vectors.select(F.explode("features").alias("f")).groupBy("f").agg(F.count("*").alias("n")).collect())
-    idf = np.full(len(vocabulary), np.log(1.0 + vectors.count()))
-    for r in frequency:
-        idf[r.f] -= np.log(r.n)
-    known = {(r.doc_id): r for r in vectors.join(chosen, "doc_id").dropDuplicates(["doc_id"]).collect()}
-    model = Model([(i, list(known[i].features), list(known[i].counts), known[i].toxic) for i in sorted(known)], idf)
+    order = [c for c in docs.columns if c != text_col] + [text_col]
+    packed = docs.select(F.struct(*[F.col(f"`{c}`") for c in order]).alias("doc"))
+    doc, numbers = packed.schema["doc"], T.ArrayType(T.IntegerType())
+    table = written(packed.mapInArrow(
+        _vectors(spark.sparkContext.broadcast(vocabulary)),
+        T.StructType([T.StructField("doc", doc.dataType), T.StructField("features", numbers),
+                      T.StructField("counts", numbers), T.StructField("seen", T.ArrayType(T.LongType()))])),
+        "toxicity-vectors")
+    vectors = table.where("seen is null").select("doc", "features", "counts")
+    sums = (table.where("seen is not null").select("seen").repartition(SUMS)
+            .mapInArrow(_added, "seen array<bigint>").collect())              # ``SUMS`` rows at most
+    seen = np.sum([np.array(r.seen, np.int64) for r in sums] or [np.zeros(len(vocabulary) + 1, np.int64)], axis=0)
+    idf = np.log(1.0 + seen[-1]) - np.log(np.maximum(seen[:-1], 1))
+    learned = (vectors.select(F.col(f"doc.`{id_col}`").cast("bigint").alias("doc_id"), "features", "counts")
+               .join(chosen, "doc_id").groupBy("doc_id")
+               .agg(F.min(F.struct("features", "counts", "toxic")).alias("v")).orderBy("doc_id").collect())
+    model = Model([(r.doc_id, list(r.v.features), list(r.v.counts), r.v.toxic) for r in learned], idf)
     return vectors.mapInArrow(_scorer(spark.sparkContext.broadcast(cloudpickle.dumps(model))),
-                              f"doc_id long, score double, evidence {EVIDENCE}")
+                              T.StructType([T.StructField("doc", doc.dataType), T.StructField("score", T.DoubleType()),
+                                            T.StructField("evidence", EVIDENCE)]))
+
+
+def score_documents(docs: DataFrame, labelled: DataFrame, examples: int = EXAMPLES, features: int = FEATURES,
+                    id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``doc_id, score, evidence`` of every row with an id, as ``score_rows`` gives them."""
+    return (score_rows(docs.where(F.col(id_col).isNotNull()).select(id_col, text_col), labelled, examples, features,
+                       id_col, text_col)
+            .select(F.col(f"doc.`{id_col}`").cast("bigint").alias("doc_id"), "score", "evidence"))
 
 
 def training_rows(labels: DataFrame) -> DataFrame:

@@ -208,6 +208,23 @@ def test_toxicity_learns_from_labels_only(spark):
     assert got[2000].score == got[2001].score < 0.3
 
 
+def test_toxicity_keeps_rows_and_judges_repeated_ids_by_their_texts(spark):
+    clean, bad = "fine words of the day " * 6, "vilest slimeball words of the day " * 6
+    data = [(i, bad if i % 5 == 0 else clean + f"w{i % 9}", "d", i) for i in range(300)]
+    data += [(7, bad, "again", 1), (7, bad, "again", 1), (None, bad, "x", 2), (None, None, None, None)]
+    schema = "doc_id long, text string, `seen` string, `odd name` int"
+    docs = spark.createDataFrame(data, schema)
+    labels = spark.createDataFrame([(i, int(i % 5 == 0)) for i in range(300)], "doc_id long, toxic int")
+    results = []
+    for order in (docs, docs.orderBy(F.desc("seen"), F.desc("doc_id")).repartition(7)):
+        out = toxicity.score_rows(order, labels)
+        results.append(sorted((str(r.doc), round(r.score, 9)) for r in out.collect()))
+    assert results[0] == results[1] and len(results[0]) == len(data)
+    kept = toxicity.score_rows(docs, labels).where("score < 0.7").select("doc.*")
+    assert sorted(kept.columns) == sorted(docs.columns)
+    assert {r.text for r in kept.collect()} == {t for _, t, *_ in data if t != bad}
+
+
 def test_toxicity_without_labels_or_documents(spark, docs, empty):
     none = spark.createDataFrame([], "doc_id long, toxic int")
     assert {r.score for r in toxicity.score_documents(docs, none).collect()} == {0.0}
@@ -592,6 +609,16 @@ def test_components_of_paths_and_stars(spark):
     assert got == {**{i: 0 for i in range(41)}, **{100 + i: 100 for i in range(30)}, 200: 200, 201: 200}
 
 
+def test_constructed_words_do_not_collide(spark):
+    # the Thue-Morse word and its complement have equal polynomial hashes modulo 2**64 for every base
+    bits = [bin(i).count("1") % 2 for i in range(4096)]
+    a, b = ("".join("ab"[x ^ flip] for x in bits) for flip in (0, 1))
+    texts = [a, b, f"{a} w x y z", f"{b} w x y z", f"{a} w x y z", a.upper()]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r.component_id for r in ngram_join.similar_components(docs).collect()}
+    assert got == {0: 0, 1: 1, 2: 2, 3: 3, 4: 2, 5: 0}
+
+
 def test_hash_of_shingles_follows_the_words():
     from paylater.llm.blocks import shingle_hashes, word_hashes
     texts = ["A b  C\td e f", "a B c d\x0be F", "a b c d e", "", "  ", "a b", "a b", "e f a b"]
