@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from paylater.llm import documents, line_dedup, ngram_join, packing, secret_scan, toxicity
-from paylater.llm.tables import written
+from paylater.llm.tables import delete, tracked, written
 from paylater.llm.vocabulary import public_path
 
 
@@ -33,29 +33,30 @@ def _with_length(docs: DataFrame) -> DataFrame:
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents below the toxicity threshold; scored by whole text, learned from the training labels.
-
-    The score belongs to the id: rows that repeat an id go together, if any of them is toxic.
-    """
+    """Documents below the toxicity threshold; each row is scored by its own whole text, learned from the training labels."""
     labels = documents.read(spark, sf_dir, "labels")
-    scores = toxicity.score_documents(docs, toxicity.training_rows(labels))
-    toxic = scores.where(F.col("score") >= toxicity.THRESHOLD).select("doc_id").distinct()
-    return docs.join(toxic, "doc_id", "left_anti").select(*docs.columns)
+    scores = toxicity.score_rows(docs, toxicity.training_rows(labels))
+    return (scores.where(F.col("score") < toxicity.THRESHOLD)
+            .select(*[F.col(f"doc.`{c}`").alias(c) for c in docs.columns]))
 
 
 def drop_boilerplate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without the lines that many sources share."""
-    return _with_length(line_dedup.remove_boilerplate(docs).drop("line_counts"))
+    cut = line_dedup.remove_boilerplate(docs)
+    # the last column is the operator's; a table may have one of the same name
+    named = cut.toDF(*docs.columns, "_line_counts") if "line_counts" in docs.columns else cut
+    return _with_length(named.select(*docs.columns))
 
 
 def keep_one_copy(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document of the smallest id of each group of near copies.
 
     Rows that repeat an id are one document here, and stay or go together; rows without an id stay.
+    The ids of the copies grow with the corpus, so they are joined by a shuffle at every size.
     """
     groups = ngram_join.similar_components(docs)
     copies = groups.where("doc_id <> component_id").select("doc_id").distinct()
-    return docs.join(copies, "doc_id", "left_anti").select(*docs.columns)
+    return docs.join(copies.hint("merge"), "doc_id", "left_anti").select(*docs.columns)
 
 
 def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -81,8 +82,14 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages on ``documents``; what is between two stages lies in the shared folder."""
-    docs = documents.read(spark, sf_dir, "documents")
+    """All stages on ``documents``; what is between two stages lies in the shared folder.
+
+    A stage's own tables, and the output of the stage before, are deleted when its output is written.
+    """
+    docs, before = documents.read(spark, sf_dir, "documents"), []
     for name, stage in STAGES[:-1]:
-        docs = written(stage(spark, docs, sf_dir), f"stage-{name}")
+        with tracked() as paths:
+            docs = written(stage(spark, docs, sf_dir), f"stage-{name}")
+        delete(spark, before + paths[:-1])
+        before = paths[-1:]
     return STAGES[-1][1](spark, docs, sf_dir)

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import DataFrame
 
 from paylater.context import shared_dir
@@ -13,6 +16,28 @@ BATCH_SETTING = "spark.sql.execution.arrow.maxRecordsPerBatch"
 BATCH_ROWS = 2000
 
 
+_TRACKED: list[list[str]] = []
+
+
+@contextmanager
+def tracked() -> Iterator[list[str]]:
+    """Collects the paths of the tables that are written inside."""
+    paths: list[str] = []
+    _TRACKED.append(paths)
+    try:
+        yield paths
+    finally:
+        _TRACKED[:] = [held for held in _TRACKED if held is not paths]       # not another list that is equal
+
+
+def delete(spark, paths: list[str]) -> None:
+    """Deletes tables that ``written`` made and that nothing reads any more."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+    for path in paths:
+        at = hadoop.Path(path)
+        at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """``df`` written as Parquet under the session's checkpoint folder and read back."""
     spark = df.sparkSession
@@ -23,4 +48,6 @@ def written(df: DataFrame, name: str) -> DataFrame:
         df.write.parquet(path)
     finally:
         spark.conf.set(BATCH_SETTING, before)
+    for paths in _TRACKED:
+        paths.append(path)
     return spark.read.schema(df.schema).parquet(path)

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import os
+
 import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
+from paylater.llm import tables
 from paylater.llm.queries import ORACLE_SQL, QUERIES
 from paylater.oracle.check import compare_one, duck
 
@@ -49,6 +52,21 @@ def test_pipeline_stages(spark):
     assert {r.doc_id for r in out.collect()} == {r.doc_id for r in docs.collect()}
 
 
+def test_pipeline_deletes_spent_tables_and_keeps_odd_columns(spark, tmp_path):
+    sf = str(tmp_path / "sf")
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    docs.withColumns({"line_counts": F.lit(3), "doc": F.lit("d")}).write.parquet(f"{sf}/documents.parquet")
+    spark.read.parquet(f"{SF}/labels.parquet").write.parquet(f"{sf}/labels.parquet")
+    with tables.tracked() as paths:
+        out = corpus_pipeline.run(spark, sf)
+    left = {os.path.basename(p).rpartition("-")[0] for p in paths if os.path.exists(p)}
+    assert "stage-secret_scan" in left and not left & {"toxicity-vectors", "shared-shingles", "stage-toxicity",
+                                                       "stage-line_dedup", "stage-ngram_jaccard_join"}
+    assert out.count() > 0
+    cut = corpus_pipeline.drop_boilerplate(spark, spark.read.parquet(f"{sf}/documents.parquet"), sf)
+    assert {r[0] for r in cut.select("line_counts").distinct().collect()} == {3}
+
+
 def test_pipeline_on_empty_table(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet").where(F.lit(False))
     for _, stage in corpus_pipeline.STAGES:
