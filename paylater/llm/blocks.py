@@ -7,6 +7,7 @@ cut into blocks of about ``BLOCK_BYTES``; a longer document is a block alone.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
@@ -111,14 +112,31 @@ _SPACE[[0x20, *range(0x09, 0x0E)]] = True
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[ord("A"):ord("Z") + 1] += 32
 
+KNOWN_WORDS = 200_000
+SHORT = 7                 # bytes of a word that are its hash, but for mixing
+_MASKS = np.array([(1 << 8 * n) - 1 for n in range(SHORT + 1)], np.uint64)
+_TOP = 1 << 63
+
+
+class LongWords(dict):
+    """63 bits of the BLAKE2b digests of words, computed once while the table is small."""
+
+    def __missing__(self, word: bytes) -> int:
+        found = int.from_bytes(blake2b(word, digest_size=8).digest(), "little") & _TOP - 1
+        if len(self) < KNOWN_WORDS and len(word) <= 64:
+            self[word] = found
+        return found
+
 
 def word_hashes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Hash of every word of each document (ASCII lower case), and word offsets by document.
 
-    ``offsets`` are the documents' byte offsets in ``data``; words never cross them.
+    ``offsets`` are the documents' byte offsets in ``data``; words never cross them.  Words of ``SHORT`` bytes never
+    collide; longer ones have a cryptographic hash, as a polynomial modulo 2**64 collides on
+    words that anyone can construct (Thue-Morse), whatever its base.
     """
-    low = _LOWER[data]
-    inside = ~_SPACE[low]
+    low = np.concatenate([_LOWER[data], np.zeros(8, np.uint8)])
+    inside = ~_SPACE[low[:-8]]
     first = inside.copy()
     first[1:] &= ~inside[:-1]
     edges = offsets[:-1][np.diff(offsets) > 0]
@@ -128,8 +146,23 @@ def word_hashes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.n
     last[:-1] &= ~inside[1:]
     last[edges[1:] - 1] = inside[edges[1:] - 1]
     ends = np.flatnonzero(last) + 1
-    hashes = SpanHash(low).spans(starts, ends) if len(starts) else np.zeros(0, np.uint64)
-    return hashes, np.searchsorted(starts, offsets)
+    size = ends - starts
+    loads = np.ndarray((len(low) - 7,), np.dtype("<u8"), low, strides=(1,))
+    value = (loads[starts] & _MASKS[np.minimum(size, SHORT)]) | np.uint64(_TOP)
+    # a zero byte could not be told from the end of a short word
+    other = size > SHORT
+    if (low[:-8] == 0).any():
+        held = np.cumsum(np.concatenate([[0], low[:-8] == 0]))
+        other |= held[ends] > held[starts]
+    rest = np.flatnonzero(other)
+    if len(rest):
+        raw = low.tobytes()
+        words = [raw[a:b] for a, b in zip(starts[rest].tolist(), ends[rest].tolist())]
+        value[rest] = np.fromiter(map(_LONG.__getitem__, words), np.uint64, len(rest))
+    return mix(value), np.searchsorted(starts, offsets)
+
+
+_LONG = LongWords()
 
 
 def shingle_hashes(words: np.ndarray, word_offsets: np.ndarray, size: int
