@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from paylater.context import RunContext
 from paylater.functions import day_diff, days_before, ratio
 from paylater.functions.money import MONEY, rate_avg
-from paylater.functions.distinct import keyed_counts, merge_groups, value_sets
+from paylater.functions.distinct import multi_counts
 
 ENGAGEMENT_TYPES = {  # output column -> event type
     "app_opens": "app_open", "product_views": "product_view", "searches": "search",
@@ -28,12 +28,12 @@ RECENCY_DAYS = [(30, "Active"), (90, "Recent"), (180, "Lapsed")]
 def purchase_metrics(fact_txn: DataFrame, by: str = "customer_sk") -> DataFrame:
     """Completed transactions per customer (NULL customer is its own group)."""
     done = fact_txn.where(F.col("status") == "completed")
-    per_txn = keyed_counts(done, [by], "transaction_sk", {}, "total_transactions", partials={
-        "_sum": (F.sum(F.col("amount").cast(MONEY)), "sum"), "_n": (F.count("amount"), "sum"),
-        "first_transaction_date": (F.min("transaction_date"), "min"),
-        "last_transaction_date": (F.max("transaction_date"), "max")})
-    shops = keyed_counts(done, [by], "merchant_sk", {}, "unique_merchants_count")
-    out = merge_groups([per_txn, shops, value_sets(done, [by], "currency", "currencies_used")], [by])
+    out = multi_counts(
+        done, [by], {"total_transactions": "transaction_sk", "unique_merchants_count": "merchant_sk"},
+        partials={"_sum": (F.col("amount").cast(MONEY), "sum"), "_n": (F.col("amount"), "count"),
+                  "first_transaction_date": (F.col("transaction_date"), "min"),
+                  "last_transaction_date": (F.col("transaction_date"), "max")},
+        sets={"currencies_used": "currency"})
     total = F.col("_sum").cast("double")
     return out.select(by, "total_transactions", total.alias("total_spent"),
                       ratio(total, F.col("_n")).alias("avg_transaction_amount"),
@@ -58,18 +58,13 @@ def plan_metrics(fact_plans: DataFrame, by: str = "customer_sk",
 def engagement_metrics(fact_events: DataFrame, by: str = "customer_sk") -> DataFrame:
     """Distinct events, sessions, active days and distinct events per type.
 
-    Typed distinct counts come from one ``(customer, event)`` reduction
-    (see ``keyed_counts``); sessions and days are the two remaining true
-    distincts.  The NULL customer (anonymous events) is its own group.
+    All distinct counts come from one scan (see ``multi_counts``).  The NULL customer
+    (anonymous events) is its own group.
     """
     et = F.col("event_type")
-    typed = keyed_counts(fact_events, [by], "event_sk",
-                         {name: et == t for name, t in ENGAGEMENT_TYPES.items()}, "total_events")
-    spread = fact_events.groupBy(by).agg(
-        F.count_distinct("session_id").alias("total_sessions"),
-        F.count_distinct("event_date_key").alias("active_days"),
-    )
-    out = merge_groups([typed, spread], [by])
+    out = multi_counts(fact_events, [by], {"total_events": "event_sk", "total_sessions": "session_id",
+                                           "active_days": "event_date_key"},
+                       flags={name: ("total_events", et == t) for name, t in ENGAGEMENT_TYPES.items()})
     return out.select(by, "total_events", "total_sessions", "active_days", *ENGAGEMENT_TYPES)
 
 

@@ -13,8 +13,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from paylater.context import RunContext
-from paylater.functions import day_diff, days_before, money_avg, money_sum, ratio
-from paylater.functions.distinct import keyed_counts, merge_groups, value_sets
+from paylater.functions import day_diff, days_before, ratio
+from paylater.functions.distinct import multi_counts
 from paylater.functions.money import MONEY
 from paylater.plans.customer import plan_metrics
 
@@ -26,20 +26,31 @@ ACTIVITY_DAYS = [(7, "Very Active"), (30, "Active"), (90, "Moderately Active")]
 RECENT_DAYS = 30
 
 
-def sales_metrics(fact_txn: DataFrame) -> DataFrame:
-    """Completed transactions per merchant (NULL merchant is its own group)."""
+def all_sales(fact_txn: DataFrame, ctx: RunContext | None = None, days: int = RECENT_DAYS) -> DataFrame:
+    """R1 and, with ``ctx``, R4 from one scan: completed transactions per merchant (NULL is its own group)."""
     done = fact_txn.where(F.col("status") == "completed")
-    key = ["merchant_sk"]
-    per_txn = keyed_counts(done, key, "transaction_sk", {}, "total_transactions", partials={
-        "_sum": (F.sum(F.col("amount").cast(MONEY)), "sum"), "_n": (F.count("amount"), "sum"),
-        "first_transaction_date": (F.min("transaction_date"), "min"),
-        "last_transaction_date": (F.max("transaction_date"), "max")})
-    out = merge_groups([per_txn, keyed_counts(done, key, "customer_sk", {}, "unique_customers"),
-                        value_sets(done, key, "currency", "currencies_used")], key)
+    flags, more = {}, {}
+    if ctx is not None:
+        recent = F.coalesce(F.col("transaction_date") >= days_before(ctx.as_of, days), F.lit(False))
+        flags = {"transactions_last_30d": ("total_transactions", recent),
+                 "customers_last_30d": ("unique_customers", recent)}
+        more = {"_recent_sum": (F.when(recent, F.col("amount").cast(MONEY)), "sum")}
+    out = multi_counts(
+        done, ["merchant_sk"], {"total_transactions": "transaction_sk", "unique_customers": "customer_sk"}, flags,
+        {"_sum": (F.col("amount").cast(MONEY), "sum"), "_n": (F.col("amount"), "count"),
+         "first_transaction_date": (F.col("transaction_date"), "min"),
+         "last_transaction_date": (F.col("transaction_date"), "max"), **more},
+        {"currencies_used": "currency"})
     total = F.col("_sum").cast("double")
     return out.select("merchant_sk", "total_transactions", "unique_customers", total.alias("total_sales_amount"),
                       ratio(total, F.col("_n")).alias("avg_transaction_amount"),
-                      "first_transaction_date", "last_transaction_date", "currencies_used")
+                      "first_transaction_date", "last_transaction_date", "currencies_used", *flags,
+                      *[F.col(c).cast("double").alias("sales_amount_last_30d") for c in more])
+
+
+def sales_metrics(fact_txn: DataFrame) -> DataFrame:
+    """Completed transactions per merchant (NULL merchant is its own group)."""
+    return all_sales(fact_txn)
 
 
 def merchant_plan_metrics(fact_plans: DataFrame) -> DataFrame:
@@ -52,10 +63,8 @@ def merchant_engagement(fact_events: DataFrame) -> DataFrame:
     """Events with a merchant: distinct events, engaged customers, typed counts."""
     ev = fact_events.where(F.col("merchant_sk").isNotNull())
     et = F.col("event_type")
-    typed = keyed_counts(ev, ["merchant_sk"], "event_sk",
-                         {name: et == t for name, t in ENGAGEMENT_TYPES.items()}, "total_events")
-    cust = ev.groupBy("merchant_sk").agg(F.count_distinct("customer_sk").alias("engaged_customers"))
-    out = merge_groups([typed, cust], ["merchant_sk"])
+    out = multi_counts(ev, ["merchant_sk"], {"total_events": "event_sk", "engaged_customers": "customer_sk"},
+                       flags={name: ("total_events", et == t) for name, t in ENGAGEMENT_TYPES.items()})
     return out.select("merchant_sk", "total_events", "engaged_customers", *ENGAGEMENT_TYPES)
 
 
@@ -63,11 +72,11 @@ def recent_metrics(fact_txn: DataFrame, ctx: RunContext, days: int = RECENT_DAYS
     """Completed transactions of the last ``days`` days (midnight cutoff, inclusive)."""
     recent = fact_txn.where((F.col("status") == "completed")
                             & (F.col("transaction_date") >= days_before(ctx.as_of, days)))
-    return recent.groupBy("merchant_sk").agg(
-        F.count_distinct("transaction_sk").alias("transactions_last_30d"),
-        F.count_distinct("customer_sk").alias("customers_last_30d"),
-        money_sum("amount").alias("sales_amount_last_30d"),
-    )
+    out = multi_counts(recent, ["merchant_sk"], {"transactions_last_30d": "transaction_sk",
+                                                 "customers_last_30d": "customer_sk"},
+                       partials={"_sum": (F.col("amount").cast(MONEY), "sum")})
+    return out.select("merchant_sk", "transactions_last_30d", "customers_last_30d",
+                      F.col("_sum").cast("double").alias("sales_amount_last_30d"))
 
 
 def volume_segment(total_sales) -> F.Column:
@@ -91,12 +100,11 @@ def gold_merchant_analytics(dim_merchants: DataFrame, fact_txn: DataFrame, fact_
                             fact_events: DataFrame, ctx: RunContext) -> DataFrame:
     """One row per merchant of the dimension (R5 joins, R6 ratios, R7/R8 segments)."""
     known = F.col("merchant_sk").isNotNull()
-    sm = sales_metrics(fact_txn.where(known))
+    sm = all_sales(fact_txn.where(known), ctx)
     pm = merchant_plan_metrics(fact_plans.where(known))
     em = merchant_engagement(fact_events)
-    rm = recent_metrics(fact_txn.where(known), ctx)
     j = (dim_merchants.join(sm, "merchant_sk", "left").join(pm, "merchant_sk", "left")
-         .join(em, "merchant_sk", "left").join(rm, "merchant_sk", "left"))
+         .join(em, "merchant_sk", "left"))
     z = F.lit(0).cast("bigint")
 
     def n(c):

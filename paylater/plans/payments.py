@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from paylater.functions import ratio
-from paylater.functions.distinct import keyed_counts, merge_groups
+from paylater.functions.distinct import join_days, multi_counts
 from paylater.functions.money import MONEY
-from paylater.operators.topk import collect_ranked, top_k_with_lookup
+from paylater.operators.topk import top_k_with_lookup
 
 DATE = "plan_date_key"
 TOP_K = 5
@@ -18,30 +18,18 @@ PLAN_STATUS_FLAGS = {"active_plans": "active", "completed_plans": "completed",
 
 
 def daily_payment_plans(fact_plans: DataFrame) -> DataFrame:
-    """F1 + F2: plans per day.
-
-    Distinct plans per status come from one ``(day, plan)`` reduction that
-    also carries the additive partials (amount sums, installment counts,
-    weighted completion), so plan rows are shuffled once for all of them;
-    distinct customers and merchants are a second aggregate.
-    """
-    amount = F.col("total_amount")
-    st = F.col("status")
-    per_plan = keyed_counts(
-        fact_plans, [DATE], "plan_sk",
-        {name: st == s for name, s in PLAN_STATUS_FLAGS.items()}, "plan_count",
+    """F1 + F2: plans per day, from one scan (see ``multi_counts``)."""
+    amount, st = F.col("total_amount"), F.col("status")
+    out = multi_counts(
+        fact_plans, [DATE],
+        {"plan_count": "plan_sk", "customer_count": "customer_sk", "merchant_count": "merchant_sk"},
+        flags={name: ("plan_count", st == s) for name, s in PLAN_STATUS_FLAGS.items()},
         partials={
-            "_amount_sum": (F.sum(amount.cast(MONEY)), "sum"),
-            "_amount_n": (F.count(amount), "sum"),
-            "_inst_sum": (F.sum("installment_count"), "sum"),
-            "_inst_n": (F.count("installment_count"), "sum"),
+            "_amount_sum": (amount.cast(MONEY), "sum"), "_amount_n": (amount, "count"),
+            "_inst_sum": (F.col("installment_count"), "sum"), "_inst_n": (F.col("installment_count"), "count"),
             # rate times amount is the paid amount: a sum of cents, which is exact
-            "_weighted": (F.sum((F.col("payment_completion_rate") * amount).cast(MONEY)), "sum"),
+            "_weighted": ((F.col("payment_completion_rate") * amount).cast(MONEY), "sum"),
         })
-    people = fact_plans.groupBy(DATE).agg(
-        F.count_distinct("customer_sk").alias("customer_count"),
-        F.count_distinct("merchant_sk").alias("merchant_count"))
-    out = merge_groups([per_plan, people], [DATE])
     total = F.col("_amount_sum").cast("double")
     return out.select(
         DATE, "plan_count", "customer_count", "merchant_count",
@@ -55,14 +43,11 @@ def daily_payment_plans(fact_plans: DataFrame) -> DataFrame:
 
 def merchant_daily_plans(fact_plans: DataFrame) -> DataFrame:
     """per merchant and day, with default rate (NULL group kept)."""
-    per_plan = keyed_counts(
-        fact_plans, ["merchant_sk", DATE], "plan_sk",
-        {"defaulted_plans": F.col("status") == "defaulted"}, "plan_count",
-        partials={"_amount_sum": (F.sum(F.col("total_amount").cast(MONEY)), "sum"),
-                  "_amount_n": (F.count("total_amount"), "sum")})
-    cust = fact_plans.groupBy("merchant_sk", DATE).agg(
-        F.count_distinct("customer_sk").alias("customer_count"))
-    out = merge_groups([per_plan, cust], ["merchant_sk", DATE])
+    out = multi_counts(
+        fact_plans, ["merchant_sk", DATE], {"plan_count": "plan_sk", "customer_count": "customer_sk"},
+        flags={"defaulted_plans": ("plan_count", F.col("status") == "defaulted")},
+        partials={"_amount_sum": (F.col("total_amount").cast(MONEY), "sum"),
+                  "_amount_n": (F.col("total_amount"), "count")})
     total = F.col("_amount_sum").cast("double")
     return out.select(
         "merchant_sk", DATE, "plan_count", "customer_count",
@@ -107,15 +92,39 @@ def daily_top_plan_merchants(fact_plans: DataFrame, dim_merchants: DataFrame,
     return _top(merchant_daily_plans(fact_plans), dim_merchants, volume_order(), VOLUME_PAYLOAD, k)
 
 
+def daily_top_lists(mp: DataFrame, dim_merchants: DataFrame, k: int = TOP_K, min_plans: int = MIN_PLANS) -> DataFrame:
+    """F5 and F6 as lists, one row per day, from one pass over the merchants of a day (``mp``, F3).
+
+    Both orders are ranked over the same rows, names are looked up for the rows that either
+    order keeps, and these are ranked again (a merchant that the dimension repeats takes two places).
+    """
+    eligible = F.col("plan_count") >= min_plans
+
+    def ranked(df: DataFrame, more: list) -> DataFrame:
+        day = Window.partitionBy(DATE)
+        # merchants below the least number of plans come last and are not kept
+        by_default = day.orderBy(F.when(eligible, 0).otherwise(1), *default_order(), *more)
+        return df.withColumns({
+            "_d": F.when(eligible, F.row_number().over(by_default)),
+            "_v": F.row_number().over(day.orderBy(*volume_order(), *more)),
+        }).where((F.col("_d") <= k) | (F.col("_v") <= k))
+
+    first = ranked(mp.select(DATE, "merchant_sk", "plan_count", "defaulted_plans", "default_rate", "total_amount"), [])
+    named = first.drop("_d", "_v").join(dim_merchants.select("merchant_sk", "merchant_name"), "merchant_sk", "left")
+    last = ranked(named, [F.col("merchant_name").asc_nulls_last()])
+
+    def listed(rank: str, payload: list[str], out: str):
+        kept = F.collect_list(F.when(F.col(rank) <= k, F.struct(rank, *payload)))
+        return F.transform(F.sort_array(kept), lambda s: s.dropFields(rank)).alias(out)
+
+    return last.groupBy(DATE).agg(listed("_d", DEFAULT_PAYLOAD, "top_defaulting_merchants"),
+                                  listed("_v", VOLUME_PAYLOAD, "top_merchants_by_volume"))
+
+
 def gold_payment_analytics(fact_plans: DataFrame, dim_merchants: DataFrame, dim_dates: DataFrame,
                            ctx, k: int = TOP_K, min_plans: int = MIN_PLANS) -> DataFrame:
-    """F8: daily plan metrics, default rate, calendar and the two top-k arrays."""
-    mp = merchant_daily_plans(fact_plans)
-    top_def = collect_ranked(
-        _top(mp.where(F.col("plan_count") >= min_plans), dim_merchants, default_order(), DEFAULT_PAYLOAD,
-             k, "_rank"), [DATE], "_rank", DEFAULT_PAYLOAD, "top_defaulting_merchants")
-    top_vol = collect_ranked(_top(mp, dim_merchants, volume_order(), VOLUME_PAYLOAD, k, "_rank"),
-                             [DATE], "_rank", VOLUME_PAYLOAD, "top_merchants_by_volume")
+    """F8: daily plan metrics, default rate, calendar and the two top-k arrays; two scans of the fact."""
+    tops = daily_top_lists(merchant_daily_plans(fact_plans), dim_merchants, k, min_plans)
     cal = dim_dates.select(
         F.col("date_key").alias(DATE), F.col("calendar_date").alias("plan_date"),
         F.col("year").alias("plan_year"), F.col("month").alias("plan_month"),
@@ -123,8 +132,7 @@ def gold_payment_analytics(fact_plans: DataFrame, dim_merchants: DataFrame, dim_
         F.col("year_month").alias("plan_year_month"))
     # plain equi-joins on the day: a NULL day gets empty top-k arrays, as the
     # reference's correlated `date_key = date_key` subqueries give
-    out = (daily_payment_plans(fact_plans).join(cal, DATE, "left")
-           .join(top_def, DATE, "left").join(top_vol, DATE, "left"))
+    out = join_days(daily_payment_plans(fact_plans), DATE, cal, tops)
     return out.select(
         DATE, "plan_date", "plan_year", "plan_month", "plan_month_name", "plan_quarter",
         "plan_year_month", "plan_count", "customer_count", "merchant_count", "total_amount",

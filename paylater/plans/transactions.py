@@ -2,8 +2,8 @@
 
 Grouping is by day (few, large groups): every aggregate has map-side
 partial aggregation, and distinct counts shuffle by ``(day, value)``, so a
-day's rows are spread over all tasks.  The status breakdown is a pivot over
-the small ``(day, status)`` aggregate, joined back on the day.  The
+day's rows are spread over all tasks.  The mart scans its fact twice: for the
+totals of a day with their status breakdown, and for its merchants.  The
 calendar has a row count fixed by its date range; Spark broadcasts it by its size.
 """
 
@@ -13,8 +13,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from paylater import schemas
-from paylater.functions import money_avg, money_sum, ratio
-from paylater.functions.distinct import keyed_counts, merge_groups, value_sets
+from paylater.functions import money_sum, ratio
+from paylater.functions.distinct import join_days, multi_counts
 from paylater.functions.money import MONEY
 from paylater.operators.topk import collect_ranked, top_k_with_lookup
 
@@ -22,27 +22,40 @@ DATE = "transaction_date_key"
 TOP_K = 5
 
 
+def daily_totals(fact_txn: DataFrame) -> DataFrame:
+    """D1 and D4 from one scan: totals of a day, and its ``<status>_count`` / ``<status>_amount``."""
+    status, money = F.col("status"), F.col("amount").cast(MONEY)
+    every = multi_counts(
+        fact_txn, [DATE],
+        {"transaction_count": "transaction_sk", "customer_count": "customer_sk", "merchant_count": "merchant_sk"},
+        flags={f"{s}_count": ("transaction_count", status == s) for s in schemas.TRANSACTION_STATUSES},
+        partials={"_sum": (money, "sum"), "_n": (F.col("amount"), "count"), "min_amount": (F.col("amount"), "min"),
+                  "max_amount": (F.col("amount"), "max"),
+                  **{f"{s}_amount": (F.when(status == s, money), "sum") for s in schemas.TRANSACTION_STATUSES}},
+        sets={"currencies": "currency"})
+    total = F.col("_sum").cast("double")
+    return every.select(
+        DATE, "transaction_count", "customer_count", "merchant_count", total.alias("total_amount"),
+        ratio(total, F.col("_n")).alias("avg_amount"), "min_amount", "max_amount", "currencies",
+        *[c for s in schemas.TRANSACTION_STATUSES
+          for c in (f"{s}_count", F.coalesce(F.col(f"{s}_amount").cast("double"), F.lit(0.0)).alias(f"{s}_amount"))])
+
+
 def daily_transactions(fact_txn: DataFrame) -> DataFrame:
     """All statuses per day."""
-    per_txn = keyed_counts(fact_txn, [DATE], "transaction_sk", {}, "transaction_count", partials={
-        "_sum": (F.sum(F.col("amount").cast(MONEY)), "sum"), "_n": (F.count("amount"), "sum"),
-        "min_amount": (F.min("amount"), "min"), "max_amount": (F.max("amount"), "max")})
-    out = merge_groups([per_txn, keyed_counts(fact_txn, [DATE], "customer_sk", {}, "customer_count"),
-                        keyed_counts(fact_txn, [DATE], "merchant_sk", {}, "merchant_count"),
-                        value_sets(fact_txn, [DATE], "currency", "currencies")], [DATE])
-    total = F.col("_sum").cast("double")
-    return out.select(DATE, "transaction_count", "customer_count", "merchant_count", total.alias("total_amount"),
-                      ratio(total, F.col("_n")).alias("avg_amount"), "min_amount", "max_amount", "currencies")
+    return daily_totals(fact_txn).select(
+        DATE, "transaction_count", "customer_count", "merchant_count", "total_amount", "avg_amount", "min_amount",
+        "max_amount", "currencies")
 
 
 def daily_merchant_transactions(fact_txn: DataFrame) -> DataFrame:
     """Per day and merchant; the NULL merchant is its own group."""
-    return fact_txn.groupBy(DATE, "merchant_sk").agg(
-        F.count_distinct("transaction_sk").alias("transaction_count"),
-        F.count_distinct("customer_sk").alias("customer_count"),
-        money_sum("amount").alias("total_amount"),
-        money_avg("amount").alias("avg_amount"),
-    )
+    every = multi_counts(fact_txn, [DATE, "merchant_sk"],
+                         {"transaction_count": "transaction_sk", "customer_count": "customer_sk"},
+                         partials={"_sum": (F.col("amount").cast(MONEY), "sum"), "_n": (F.col("amount"), "count")})
+    total = F.col("_sum").cast("double")
+    return every.select(DATE, "merchant_sk", "transaction_count", "customer_count", total.alias("total_amount"),
+                        ratio(total, F.col("_n")).alias("avg_amount"))
 
 
 def daily_status_transactions(fact_txn: DataFrame) -> DataFrame:
@@ -100,21 +113,18 @@ def gold_transaction_analytics(fact_txn: DataFrame, dim_merchants: DataFrame,
         F.col("day_of_month").alias("transaction_day"),
         F.col("day_name").alias("transaction_day_name"),
         "is_weekend", "quarter", "year_month")
-    daily = daily_transactions(fact_txn)
     # plain equi-joins on the day: a NULL day keeps its totals but, as in the
     # reference's `date_key = date_key` joins, gets zero status counts and no
     # top merchants
-    out = (daily.join(cal, DATE, "left")
-           .join(daily_status_pivot(fact_txn), DATE, "left")
-           .join(top, DATE, "left"))
+    out = join_days(daily_totals(fact_txn), DATE, cal, top)
+    known = F.col(DATE).isNotNull()
     return out.select(
         DATE, "transaction_date", "transaction_year", "transaction_month", "transaction_month_name",
         "transaction_day", "transaction_day_name", "is_weekend", "quarter", "year_month",
         "transaction_count", "customer_count", "merchant_count", "total_amount", "avg_amount",
         "min_amount", "max_amount", "currencies",
-        *[F.coalesce(F.col(f"{s}_count"), F.lit(0).cast("bigint")).alias(f"{s}_count")
-          if m == "count" else F.coalesce(F.col(f"{s}_amount"), F.lit(0.0)).alias(f"{s}_amount")
-          for s in schemas.TRANSACTION_STATUSES for m in ("count", "amount")],
+        *[F.when(known, F.col(f"{s}_{m}")).otherwise(F.lit(0).cast("bigint") if m == "count" else F.lit(0.0))
+          .alias(f"{s}_{m}") for s in schemas.TRANSACTION_STATUSES for m in ("count", "amount")],
         F.coalesce(F.col("top_merchants"), F.array()).alias("top_merchants"),
         ctx.updated_at_col.alias("dbt_updated_at"),
     )
