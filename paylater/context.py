@@ -9,6 +9,7 @@ import tempfile
 import uuid
 from dataclasses import dataclass
 
+from pyspark import SparkContext
 from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
@@ -93,8 +94,14 @@ def build_session(master: str | None = None, app_name: str = "paylater",
     under the threshold), coalesces small shuffle partitions and splits
     skewed ones (one merchant may hold a third of all rows).  On a cluster
     keep the default advisory partition size (64 MB); for a few MB of local
-    test data a smaller one keeps all cores busy after a shuffle.
+    test data a smaller one keeps all cores busy after a shuffle.  With more
+    than 2,000 partitions Spark reports only mean block sizes of a map task, which hides a hot
+    partition; ``accurateBlockSkewedFactor`` has it report the large blocks.
+
+    A session that runs already is returned as it is.
     """
+    if SparkContext._active_spark_context is not None:
+        return SparkSession.builder.getOrCreate()
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
@@ -104,6 +111,7 @@ def build_session(master: str | None = None, app_name: str = "paylater",
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.shuffle.accurateBlockSkewedFactor": "5",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
     }
     local = bool(master and master.startswith("local"))

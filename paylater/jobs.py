@@ -1,6 +1,6 @@
 """Full refresh of the warehouse as one batch job.
 
-    python -m paylater.jobs --target DIR (--sources DIR [--format csv|parquet]
+    python -m paylater.jobs --target DIR (--sources DIR [--format csv|parquet|jdbc]
                                           | --test-tables SF_DIR)
                             [--as-of YYYY-MM-DD] [--calendar-start YYYY-MM-DD]
                             [--shuffle-partitions N] [--no-partition-by-day] [--register] [--strict]
@@ -18,15 +18,38 @@ import argparse
 import datetime as dt
 import json
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 from paylater import schemas
 from paylater.context import DEFAULT_CALENDAR_START, RunContext, build_session
-from paylater.operators import incremental, quality
+from paylater.operators import quality
 from paylater.plans import warehouse
+from paylater.plans.increment import KEYS, append_new, increment
 from paylater.sources import bronze, fixtures, readers
 
 
+def read_database(spark: SparkSession, url: str, target: str, ranges: int,
+                  properties: dict[str, str] | None = None) -> dict[str, DataFrame]:
+    """The source tables of a database, each by as many concurrent reads as ``ranges``.
+
+    The cuts come from the keys of the last bronze load under ``target``; the first load reads each table at once.
+    """
+    out = {}
+    for table in schemas.SOURCE_SCHEMAS:
+        try:
+            held = spark.read.parquet(f"{target.rstrip('/')}/bronze/{table}")
+        except AnalysisException as missing:
+            if "PATH_NOT_FOUND" not in str(missing):
+                raise
+            cuts = []
+        else:
+            cuts = readers.cut_points(held, KEYS[table], ranges)
+        out[table] = readers.read_jdbc(spark, url, table, properties=properties,
+                                       predicates=readers.range_predicates(KEYS[table], cuts))
+    return out
+
+
 def read_sources(spark: SparkSession, sources: str, fmt: str) -> dict[str, DataFrame]:
     out = {}
     for table, schema in schemas.SOURCE_SCHEMAS.items():
@@ -50,9 +73,8 @@ def refresh(spark: SparkSession, sources: dict[str, DataFrame], target: str, ctx
                                             parallel_jobs, partition_by_day)
     gold = warehouse.build_gold(spark, silver, target, ctx, parallel_jobs)
     root = target.rstrip("/")
-    quality.dq_report(stg).write.mode("overwrite").parquet(f"{root}/reports/dq_report")
-    bronze.row_counts({t: spark.read.parquet(f"{root}/bronze/{t}") for t in sources}) \
-        .write.mode("overwrite").parquet(f"{root}/reports/bronze_row_counts")
+    bronze.replace_folder(quality.dq_report(stg), f"{root}/reports/dq_report")
+    bronze.replace_folder(bronze.observed_row_counts(spark, silver.bronze_counts), f"{root}/reports/bronze_row_counts")
     dq = spark.read.parquet(f"{root}/reports/dq_report")
     failing = [f"{r['table']}.{r['column']}:{r['test']}={r['failures']}"
                for r in dq.where("failures > 0").collect()]      # at most 33 report rows
@@ -66,38 +88,15 @@ def refresh(spark: SparkSession, sources: dict[str, DataFrame], target: str, ctx
     return summary
 
 
-KEYS = {"customers": "customer_id", "merchants": "merchant_id", "transactions": "transaction_id",
-        "payment_plans": "plan_id", "installments": "installment_id", "user_events": "event_id"}
-TIMES = {"transactions": "transaction_date", "user_events": "event_timestamp", "payment_plans": "plan_date"}
-
-
-def append_new(spark: SparkSession, sources: dict[str, DataFrame], target: str, ctx: RunContext) -> dict[str, int]:
-    """Rows that the bronze tables under ``target`` lack, appended to them; returns the number by table.
-
-    A repeated run appends nothing.  Tables with an event time compare over
-    the incoming rows' time span only, the others with all keys.
-    """
-    added = {}
-    for table, rows in sources.items():
-        path = f"{target.rstrip('/')}/bronze/{table}"
-        incoming = bronze.add_lineage(rows, table, ctx)
-        held = spark.read.schema(incoming.schema).parquet(path)
-        key, time = KEYS[table], TIMES.get(table)
-        new = (incremental.new_since(incoming, held, [key], time) if time
-               else incremental.new_by_key(incoming, held, [key]))
-        before = held.count()
-        incremental.append(new, path)
-        added[table] = spark.read.schema(incoming.schema).parquet(path).count() - before
-    return added
-
-
 def main(argv=None) -> int:
     ap = argparse.ArgumentParser()
     ap.add_argument("--target", required=True)
     src = ap.add_mutually_exclusive_group(required=True)
     src.add_argument("--sources")
     src.add_argument("--test-tables")
-    ap.add_argument("--format", choices=["csv", "parquet"], default="parquet")
+    ap.add_argument("--format", choices=["csv", "parquet", "jdbc"], default="parquet",
+                    help="with jdbc, --sources is the database's URL")
+    ap.add_argument("--jdbc-ranges", type=int, default=16, help="concurrent reads of one table")
     ap.add_argument("--as-of", type=dt.date.fromisoformat, default=dt.date.today())
     ap.add_argument("--calendar-start", type=dt.date.fromisoformat, default=DEFAULT_CALENDAR_START,
                     help="first day of the calendar dimension")
@@ -106,7 +105,7 @@ def main(argv=None) -> int:
     ap.add_argument("--no-partition-by-day", action="store_true",
                     help="write facts in one folder, not partitioned by their date key")
     ap.add_argument("--incremental", action="store_true",
-                    help="append new rows to bronze.* under the target instead of a full refresh")
+                    help="load new rows into all layers under the target instead of a full refresh")
     ap.add_argument("--shuffle-partitions", type=int, default=None,
                     help="about total shuffle bytes / 128 MB; AQE coalesces down")
     args = ap.parse_args(argv)
@@ -114,12 +113,14 @@ def main(argv=None) -> int:
     ctx = RunContext(as_of=args.as_of, updated_at=dt.datetime.now().replace(microsecond=0),
                      extracted_at=dt.datetime.now().replace(microsecond=0),
                      calendar_start=args.calendar_start)
-    if args.sources:
+    if args.sources and args.format == "jdbc":
+        sources = read_database(spark, args.sources, args.target, args.jdbc_ranges)
+    elif args.sources:
         sources = read_sources(spark, args.sources, args.format)
     else:
         sources = fixtures.source_tables(spark, args.test_tables)
     if args.incremental:
-        print(json.dumps(append_new(spark, sources, args.target, ctx)))
+        print(json.dumps(increment(spark, sources, args.target, ctx)))
         return 0
     summary = refresh(spark, sources, args.target, ctx, register=args.register,
                       partition_by_day=not args.no_partition_by_day)
@@ -127,5 +128,8 @@ def main(argv=None) -> int:
     return 1 if (args.strict and summary["failing_tests"]) else 0
 
 
+__all__ = ["refresh", "increment", "append_new", "read_sources", "read_database", "main"]
+
+
 if __name__ == "__main__":
     raise SystemExit(main())

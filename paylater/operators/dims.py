@@ -10,13 +10,6 @@ from pyspark.sql import functions as F
 from paylater.context import RunContext
 from paylater.functions import day_diff, day_of_week0, surrogate_key, text_null_concat
 
-# Calendar names, indexed by month (1-12) and by day of week
-# (0 = Sunday).
-MONTH_NAMES = ["January", "February", "March", "April", "May", "June", "July",
-               "August", "September", "October", "November", "December"]
-DAY_NAMES = ["Sunday", "Monday", "Tuesday", "Wednesday", "Thursday", "Friday", "Saturday"]
-
-
 def dim_customers(stg_customers: DataFrame, ctx: RunContext) -> DataFrame:
     """Hashed key, source columns, ``full_name`` (NULL parts as empty text)."""
     return stg_customers.select(
@@ -54,13 +47,6 @@ def date_spine(spark: SparkSession, start: dt.date, end_exclusive: dt.date) -> D
         F.explode(F.sequence(F.lit(start), F.lit(last), F.expr("INTERVAL 1 DAY"))).alias("date_day"))
 
 
-def _name_at(index, names: list[str], base: int):
-    out = None
-    for i, n in enumerate(names):
-        out = F.when(index == i + base, n) if out is None else out.when(index == i + base, n)
-    return out
-
-
 def calendar_attributes(spine: DataFrame, ctx: RunContext) -> DataFrame:
     """Calendar attributes for each ``date_day``."""
     d = F.col("date_day")
@@ -73,8 +59,8 @@ def calendar_attributes(spine: DataFrame, ctx: RunContext) -> DataFrame:
         F.dayofmonth(d).cast("bigint").alias("day_of_month"),
         dow.alias("day_of_week"),
         F.dayofyear(d).cast("bigint").alias("day_of_year"),
-        _name_at(F.month(d), MONTH_NAMES, 1).alias("month_name"),
-        _name_at(dow, DAY_NAMES, 0).alias("day_name"),
+        F.date_format(d, "MMMM").alias("month_name"),
+        F.date_format(d, "EEEE").alias("day_name"),
         dow.isin(0, 6).alias("is_weekend"),
         F.concat(F.lit("Q"), F.quarter(d).cast("string")).alias("quarter"),
         F.date_format(d, "yyyy-MM").alias("year_month"),

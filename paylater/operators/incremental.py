@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -30,12 +30,54 @@ def new_since(incoming: DataFrame, target: DataFrame, keys: list[str], ts_col: s
     incoming row is left out, however late, and a time in the future only
     widens the span.  Rows without a time meet the target's rows without one.
     """
+    return new_by_key(incoming, target.where(_span(incoming, ts_col)), keys)
+
+
+def _span(incoming: DataFrame, ts_col: str) -> Column:
+    """Target rows without a time, and those between the first and the last day of the incoming rows."""
     first, last = incoming.agg(F.min(ts_col), F.max(ts_col)).first()
     span = F.col(ts_col).isNull()
     if first is not None:
         low, high = (F.to_timestamp_ntz(F.lit(d.strftime("%Y-%m-%d"))) for d in (first, last + dt.timedelta(days=1)))
         span = span | ((F.col(ts_col) >= low) & (F.col(ts_col) < high))
-    return new_by_key(incoming, target.where(span), keys)
+    return span
+
+
+IDENTITY = "_identity"
+
+
+def with_identity(rows: DataFrame, keys: list[str], columns: list[str]) -> DataFrame:
+    """``rows`` with what names a row: its key, or a digest of ``columns`` where a part of the key is NULL."""
+    known = F.col(keys[0]).isNotNull()
+    for k in keys[1:]:
+        known = known & F.col(k).isNotNull()
+    text = F.to_json(F.struct(*[F.col(c).cast("string").alias(c) for c in columns]), {"ignoreNullFields": "false"})
+    key = F.to_json(F.struct(*[F.col(k).cast("string").alias(k) for k in keys]))
+    return rows.withColumn(IDENTITY, F.when(known, F.concat(F.lit("k"), key))
+                           .otherwise(F.concat(F.lit("d"), F.sha2(text, 256))))
+
+
+def new_rows(incoming: DataFrame, target: DataFrame, keys: list[str], columns: list[str],
+             ts_col: str | None = None) -> DataFrame:
+    """Incoming rows that the target lacks, each once: a load that is repeated adds nothing.
+
+    A row is named by its key, or by all its ``columns`` where the key is NULL.  Of incoming rows with
+    one key the smallest (by columns) is taken.  With ``ts_col`` the target is read over the
+    incoming rows' days only.
+    """
+    if ts_col is not None:
+        target = target.where(_span(incoming, ts_col))
+    once = (with_identity(incoming, keys, columns).groupBy(IDENTITY)
+            .agg(F.min(F.struct(*columns, *[c for c in incoming.columns if c not in columns])).alias("_row"))
+            .select(IDENTITY, "_row.*"))
+    null_key = F.lit(False)
+    for k in keys:
+        null_key = null_key | F.col(k).isNull()
+    # only rows without a key are read whole
+    held = (with_identity(target.where(~null_key).select(*keys), keys, keys)
+            .unionByName(with_identity(target.where(null_key).select(*columns), keys, columns)
+                         .select(*keys, IDENTITY)).select(IDENTITY))
+    return once.join(held, IDENTITY, "left_anti").select(*incoming.columns)
 
 
 def append(df: DataFrame, path: str) -> None:

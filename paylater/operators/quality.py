@@ -3,7 +3,8 @@
 A check is a function returning its *violating rows*; the suite returns one
 row per declared test ``(table, column, test, failures)``.
 
-Scale notes: ``not_null`` is one pass per table with one ``count_if`` per
+Scale notes: the whole suite (``dq_report``) is one scan and one keyed reduction of each table.
+Of the single checks, ``not_null`` is one pass per table with one ``count_if`` per
 column; ``unique`` is one aggregate per key; ``relationships`` first
 reduces the child to one row per key with its row count (map-side
 combined, so a key holding a third of the rows is one row per task), then
@@ -109,10 +110,53 @@ def relationships_report(tables: dict[str, DataFrame], checks=RELATIONSHIPS) ->
     return out
 
 
+def _role(child: str, column: str) -> str:
+    return f"{child}.{column}"
+
+
 def dq_report(tables: dict[str, DataFrame]) -> DataFrame:
-    """Q4: one row per declared test (6 unique + 23 not_null + 4 relationships)."""
-    return (unique_report(tables).unionByName(not_null_report(tables))
-            .unionByName(relationships_report(tables)))
+    """Q4: one row per declared test (6 unique + 23 not_null + 4 relationships), from one scan of each table.
+
+    A row gives one narrow row for each of its keys (its own id in the domain of its table, each foreign key in
+    the domain of the parent) and one for each NULL in a tested column.  These are counted before
+    the shuffle, so a key that a third of all rows hold is one row for each task.  Ids and foreign keys of one
+    domain meet by key, where repeated ids and missing parents show.
+    """
+    parts = []
+    for table, df in tables.items():
+        tags = [(table, "", c) for t, c in UNIQUE if t == table]
+        tags += [(parent, _role(table, c), c) for t, c, parent, _ in RELATIONSHIPS if t == table]
+        kind = "struct<domain:string,role:string,key:string>"
+        entries = [F.when(F.col(c).isNotNull(), F.struct(F.lit(d).alias("domain"), F.lit(r).alias("role"),
+                                                        F.col(c).cast("string").alias("key"))).cast(kind)
+                   for d, r, c in tags]
+        entries += [F.when(F.col(c).isNull(), F.struct(F.lit("").alias("domain"), F.lit("").alias("role"),
+                                                      F.lit(f"{table}.{c}").alias("key"))).cast(kind)
+                    for t, c in NOT_NULL if t == table]
+        if entries:
+            parts.append(df.select(F.explode(F.filter(F.array(*entries), lambda e: e.isNotNull())).alias("e"))
+                         .select("e.*"))
+    every = parts[0]
+    for p in parts[1:]:
+        every = every.unionByName(p)
+    counted = every.groupBy("domain", "key", "role").agg(F.count(F.lit(1)).alias("n"))
+    # at most one row for each role of a domain
+    met = counted.groupBy("domain", "key").agg(F.max(F.when(F.col("role") == "", F.col("n"))).alias("own"),
+                                               F.collect_list(F.struct("role", "n")).alias("roles"))
+    each = met.select("domain", "key", "own", F.explode("roles").alias("r"))
+    is_null, is_own = F.col("domain") == "", F.col("r.role") == ""
+    test = (F.when(is_null, F.concat(F.lit("not_null:"), F.col("key")))
+            .when(is_own, F.concat(F.lit("unique:"), F.col("domain")))
+            .otherwise(F.concat(F.lit("relationships:"), F.col("r.role"))))
+    failures = (F.when(is_null, F.col("r.n")).when(is_own, (F.col("own") > 1).cast("bigint"))
+                .otherwise(F.when(F.col("own").isNull(), F.col("r.n")).otherwise(F.lit(0))))
+    found = each.groupBy(test.alias("name")).agg(F.sum(failures).alias("failures"))
+    names = ([(t, c, "unique", f"unique:{t}") for t, c in UNIQUE]
+             + [(t, c, "not_null", f"not_null:{t}.{c}") for t, c in NOT_NULL]
+             + [(t, c, f"relationships:{p}.{f}", f"relationships:{_role(t, c)}") for t, c, p, f in RELATIONSHIPS])
+    declared = every.sparkSession.createDataFrame(names, "`table` string, `column` string, test string, name string")
+    return (declared.join(found, "name", "left")
+            .select("table", "column", "test", F.coalesce("failures", F.lit(0).cast("bigint")).alias("failures")))
 
 
 # ---------------------------------------------------------------- X3 business rules
@@ -199,39 +243,59 @@ def business_rules_report(tables: dict[str, DataFrame], rules: list[Rule] | None
 # ---------------------------------------------------------------- X4 outliers
 
 IQR_FACTOR = 1.5
-QUANTILE_BUCKETS = 1024
+DIGIT_BITS, DIGITS = 16, 4      # a double in digits: a window sees at most 2 ** 16 of them
+
+
+def sortable_bits(value: str) -> Column:
+    """The bits of a double as an integer whose digits, read as unsigned, are in the order of the values."""
+    bits = F.expr(f"CAST(java_method('java.lang.Double', 'doubleToLongBits', CAST(`{value}` AS DOUBLE)) AS BIGINT)")
+    # a negative value's bits fall as it rises; the sign bit is turned so that unsigned order holds
+    return F.when(bits < 0, F.bitwise_not(bits)).otherwise(bits.bitwiseXOR(F.lit(-(1 << 63))))
 
 
 def exact_quantiles(df: DataFrame, by: str, value: str, shares: list[float]) -> DataFrame:
-    """Per group the values ``q0, q1, ...`` of rank ``ceil(share * n)``, exact at any size.
+    """Per group the values ``q0, q1, ...`` of rank ``ceil(share * n)``, exact at any size and for any spread.
 
-    Values are counted per group (map-side combined), the counts per bucket of
-    equal width are added up to find the bucket that holds each rank, and only that
-    bucket's values are put in order.  A window sees the bucket counts of a group, or
-    the distinct values of one bucket of it, never a group's rows.
+    Radix selection: values are counted per group (map-side combined).  The counts by the first 16 bits
+    of the values (in an order-preserving form) tell which digit holds each rank; among the values with that digit
+    the next one does, and four digits are the value.  A window sees the digits of one group and
+    prefix, at most 65,536 whatever the values are, never a group's rows or values.
     """
     counts = (df.where(F.col(value).isNotNull()).select(by, F.col(value).alias("_v"))
-              .groupBy(by, "_v").agg(F.count("*").alias("_n")))
-    ends = counts.groupBy(by).agg(F.min("_v").alias("_low"), F.max("_v").alias("_high"),
-                                  F.sum("_n").alias("_total"))
-    width = F.col("_high") - F.col("_low")
-    bucket = F.when(width > 0, F.least(F.floor((F.col("_v") - F.col("_low")) / F.when(width > 0, width)
-                                               * QUANTILE_BUCKETS), F.lit(QUANTILE_BUCKETS - 1))).otherwise(0)
-    dealt = null_safe_join(counts, ends, [by]).withColumn("_bucket", bucket.cast("int"))
-    before = Window.partitionBy(by).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    sized = (dealt.groupBy(by, "_bucket").agg(F.sum("_n").alias("_size"), F.first("_total").alias("_total"))
-             .withColumn("_ahead", F.coalesce(F.sum("_size").over(before), F.lit(0))))
-    ranks = F.array(*[F.struct(F.lit(i).alias("q"), F.greatest(F.lit(1), F.ceil(F.lit(share) * F.col("_total")))
-                               .cast("bigint").alias("rank")) for i, share in enumerate(shares)])
-    wanted = (sized.withColumn("_w", F.explode(ranks))
-              .where((F.col("_ahead") < F.col("_w.rank")) & (F.col("_w.rank") <= F.col("_ahead") + F.col("_size")))
-              .select(by, "_bucket", F.col("_w.q").alias("_q"), (F.col("_w.rank") - F.col("_ahead")).alias("_rank")))
-    inside = (Window.partitionBy(by, "_q").orderBy("_v")
-              .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    met = (null_safe_join(dealt.select(by, "_bucket", "_v", "_n"), wanted, [by, "_bucket"])
-           .withColumn("_reached", F.sum("_n").over(inside)).where(F.col("_reached") >= F.col("_rank")))
-    return met.groupBy(by).agg(*[F.min(F.when(F.col("_q") == i, F.col("_v"))).alias(f"q{i}")
-                                 for i in range(len(shares))])
+              .groupBy(by, "_v").agg(F.count("*").alias("_n"))
+              .select(by, "_v", "_n", sortable_bits("_v").alias("_u")))
+    wanted = None
+    for digit in range(1, DIGITS + 1):
+        prefix = F.shiftrightunsigned("_u", 64 - DIGIT_BITS * digit).alias("_prefix")
+        if wanted is None:
+            within = counts.withColumn("_before", F.lit(0).cast("bigint"))
+        else:
+            within = null_safe_join(
+                counts.withColumn("_before", F.shiftrightunsigned("_u", 64 - DIGIT_BITS * (digit - 1))),
+                wanted, [by, "_before"])
+        keep = [] if wanted is None else [F.first("_ranks").alias("_ranks")]
+        sized = within.groupBy(by, "_before", prefix).agg(F.sum("_n").alias("_size"), F.min("_v").alias("_least"), *keep)
+        whole = Window.partitionBy(by, "_before")
+        ahead = whole.orderBy("_order").rowsBetween(Window.unboundedPreceding, -1)
+        # digits of one prefix, in unsigned order
+        sized = sized.withColumn("_order", F.col("_prefix").bitwiseAND(F.lit((1 << DIGIT_BITS) - 1)))
+        sized = sized.withColumn("_ahead", F.coalesce(F.sum("_size").over(ahead), F.lit(0)))
+        if wanted is None:
+            total = F.sum("_size").over(whole)
+            sized = sized.withColumn("_ranks", F.array(*[
+                F.struct(F.lit(i).alias("q"), F.greatest(F.lit(1), F.ceil(F.lit(share) * total)).cast("bigint")
+                         .alias("rank")) for i, share in enumerate(shares)]))
+        inside = F.transform(
+            F.filter("_ranks", lambda r: (r["rank"] > F.col("_ahead")) & (r["rank"] <= F.col("_ahead") + F.col("_size"))),
+            lambda r: F.struct(r["q"].alias("q"), (r["rank"] - F.col("_ahead")).alias("rank")))
+        wanted = (sized.select(by, F.col("_prefix").alias("_before"), inside.alias("_ranks"), "_least")
+                  .where(F.size("_ranks") > 0))
+        if digit < DIGITS:
+            wanted = wanted.drop("_least")
+    # all bits are known: a prefix is one value
+    found = wanted.select(by, "_least", F.transform("_ranks", lambda r: r["q"]).alias("_q"))
+    return found.groupBy(by).agg(*[F.max(F.when(F.array_contains("_q", i), F.col("_least"))).alias(f"q{i}")
+                                   for i in range(len(shares))])
 
 
 def outlier_fences(df: DataFrame, by: str, value: str, factor: float = IQR_FACTOR) -> DataFrame:

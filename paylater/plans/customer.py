@@ -93,31 +93,45 @@ def plan_segment(defaulted, completed, active) -> F.Column:
             .otherwise("No Plans"))
 
 
-def gold_customer_analytics(dim_customers: DataFrame, fact_txn: DataFrame, fact_plans: DataFrame,
-                            fact_events: DataFrame, ctx: RunContext) -> DataFrame:
-    """One row per customer of the dimension.
+COUNTS = ["total_transactions", "unique_merchants_count", "total_payment_plans", "active_payment_plans",
+          "completed_payment_plans", "defaulted_payment_plans", "total_events", "total_sessions", "active_days",
+          *ENGAGEMENT_TYPES]
+METRICS = [*COUNTS, "total_spent", "avg_transaction_amount", "first_transaction_date", "last_transaction_date",
+           "currencies_used", "avg_payment_completion_rate"]
+DIMENSION = ["customer_sk", "customer_id", "full_name", "email", "phone_number", "country", "city",
+             "registration_date", "last_login_date", "status"]
+
+
+def with_metrics(dim_customers: DataFrame, fact_txn: DataFrame, fact_plans: DataFrame,
+                 fact_events: DataFrame) -> DataFrame:
+    """Customers of the dimension with their metrics (C4): nothing here depends on the run date.
 
     Rows without a customer key cannot match the dimension, so they are
     dropped before aggregating (the anonymous-event group never reaches a
     shuffle here).
     """
     known = F.col("customer_sk").isNotNull()
-    pm = purchase_metrics(fact_txn.where(known))
-    pp = plan_metrics(fact_plans.where(known))
-    em = engagement_metrics(fact_events.where(known))
-    j = (dim_customers.join(pm, "customer_sk", "left")
-         .join(pp, "customer_sk", "left")
-         .join(em, "customer_sk", "left"))
+    j = (dim_customers.select(*DIMENSION).join(purchase_metrics(fact_txn.where(known)), "customer_sk", "left")
+         .join(plan_metrics(fact_plans.where(known)), "customer_sk", "left")
+         .join(engagement_metrics(fact_events.where(known)), "customer_sk", "left"))
+    return j.select(*DIMENSION, *METRICS)
+
+
+def held_metrics(mart: DataFrame, dim_customers: DataFrame) -> DataFrame:
+    """``with_metrics`` of customers whose metrics the last version of the mart holds."""
+    held = (mart.withColumnRenamed("purchase_events", "purchases").select("customer_sk", *METRICS)
+            .dropDuplicates(["customer_sk"]))          # rows of a repeated customer have the same metrics
+    return dim_customers.select(*DIMENSION).join(held, "customer_sk", "left").select(*DIMENSION, *METRICS)
+
+
+def from_metrics(j: DataFrame, ctx: RunContext) -> DataFrame:
+    """C8 from customers with their metrics: defaults, days since, segments."""
     z = F.lit(0).cast("bigint")
     spent = F.coalesce(F.col("total_spent"), F.lit(0.0))
     last_seen = F.coalesce(F.col("last_transaction_date"), F.col("registration_date"))
-    n = {c: F.coalesce(F.col(c), z) for c in [
-        "total_transactions", "unique_merchants_count", "total_payment_plans",
-        "active_payment_plans", "completed_payment_plans", "defaulted_payment_plans",
-        "total_events", "total_sessions", "active_days", *ENGAGEMENT_TYPES]}
+    n = {c: F.coalesce(F.col(c), z) for c in COUNTS}
     return j.select(
-        "customer_sk", "customer_id", "full_name", "email", "phone_number", "country", "city",
-        "registration_date", "last_login_date", "status",
+        *DIMENSION,
         n["total_transactions"].alias("total_transactions"),
         spent.alias("total_spent"),
         "avg_transaction_amount", "first_transaction_date", "last_transaction_date",
@@ -138,3 +152,9 @@ def gold_customer_analytics(dim_customers: DataFrame, fact_txn: DataFrame, fact_
         ctx.as_of_col.alias("snapshot_date"),
         ctx.updated_at_col.alias("dbt_updated_at"),
     )
+
+
+def gold_customer_analytics(dim_customers: DataFrame, fact_txn: DataFrame, fact_plans: DataFrame,
+                            fact_events: DataFrame, ctx: RunContext) -> DataFrame:
+    """One row per customer of the dimension."""
+    return from_metrics(with_metrics(dim_customers, fact_txn, fact_plans, fact_events), ctx)

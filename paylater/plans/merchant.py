@@ -70,8 +70,10 @@ def merchant_engagement(fact_events: DataFrame) -> DataFrame:
 
 def recent_metrics(fact_txn: DataFrame, ctx: RunContext, days: int = RECENT_DAYS) -> DataFrame:
     """Completed transactions of the last ``days`` days (midnight cutoff, inclusive)."""
-    recent = fact_txn.where((F.col("status") == "completed")
-                            & (F.col("transaction_date") >= days_before(ctx.as_of, days)))
+    since = days_before(ctx.as_of, days)
+    # the day key as well, so that only the folders of these days are read
+    recent = fact_txn.where((F.col("status") == "completed") & (F.col("transaction_date") >= since)
+                            & (F.col("transaction_date_key") >= since.cast("date")))
     out = multi_counts(recent, ["merchant_sk"], {"transactions_last_30d": "transaction_sk",
                                                  "customers_last_30d": "customer_sk"},
                        partials={"_sum": (F.col("amount").cast(MONEY), "sum")})
@@ -96,15 +98,38 @@ def activity_segment(last_seen, ctx: RunContext) -> F.Column:
     return out.otherwise("Inactive")
 
 
-def gold_merchant_analytics(dim_merchants: DataFrame, fact_txn: DataFrame, fact_plans: DataFrame,
-                            fact_events: DataFrame, ctx: RunContext) -> DataFrame:
-    """One row per merchant of the dimension (R5 joins, R6 ratios, R7/R8 segments)."""
+RECENT = ["transactions_last_30d", "customers_last_30d", "sales_amount_last_30d"]
+METRICS = ["total_transactions", "unique_customers", "total_sales_amount", "avg_transaction_amount",
+           "first_transaction_date", "last_transaction_date", "currencies_used", "total_payment_plans",
+           "active_payment_plans", "completed_payment_plans", "defaulted_payment_plans",
+           "total_defaulted_installments", "avg_payment_completion_rate", "total_events", "engaged_customers",
+           *ENGAGEMENT_TYPES]
+DIMENSION = ["merchant_sk", "merchant_id", "merchant_name", "category", "country", "integration_type",
+             "onboarding_date", "status", "days_since_onboarding"]
+
+
+def with_metrics(dim_merchants: DataFrame, fact_txn: DataFrame, fact_plans: DataFrame, fact_events: DataFrame,
+                 ctx: RunContext) -> DataFrame:
+    """Merchants of the dimension with their metrics."""
     known = F.col("merchant_sk").isNotNull()
-    sm = all_sales(fact_txn.where(known), ctx)
-    pm = merchant_plan_metrics(fact_plans.where(known))
-    em = merchant_engagement(fact_events)
-    j = (dim_merchants.join(sm, "merchant_sk", "left").join(pm, "merchant_sk", "left")
-         .join(em, "merchant_sk", "left"))
+    j = (dim_merchants.select(*DIMENSION).join(all_sales(fact_txn.where(known), ctx), "merchant_sk", "left")
+         .join(merchant_plan_metrics(fact_plans.where(known)), "merchant_sk", "left")
+         .join(merchant_engagement(fact_events), "merchant_sk", "left"))
+    return j.select(*DIMENSION, *METRICS, *RECENT)
+
+
+def held_metrics(mart: DataFrame, dim_merchants: DataFrame, fact_txn: DataFrame, ctx: RunContext) -> DataFrame:
+    """``with_metrics`` of merchants whose metrics the last version of the mart holds; only the sales of the
+    last 30 days are read again, from the folders of these days."""
+    held = (mart.withColumnRenamed("purchase_events", "purchases").select("merchant_sk", *METRICS)
+            .dropDuplicates(["merchant_sk"]))          # rows of a repeated merchant have the same metrics
+    recent = recent_metrics(fact_txn.where(F.col("merchant_sk").isNotNull()), ctx)
+    return (dim_merchants.select(*DIMENSION).join(held, "merchant_sk", "left").join(recent, "merchant_sk", "left")
+            .select(*DIMENSION, *METRICS, *RECENT))
+
+
+def from_metrics(j: DataFrame, ctx: RunContext) -> DataFrame:
+    """R9 from merchants with their metrics: defaults, ratios (R6), segments."""
     z = F.lit(0).cast("bigint")
 
     def n(c):
@@ -113,8 +138,7 @@ def gold_merchant_analytics(dim_merchants: DataFrame, fact_txn: DataFrame, fact_
     sales = F.coalesce(F.col("total_sales_amount"), F.lit(0.0))
     last_seen = F.coalesce(F.col("last_transaction_date"), F.col("onboarding_date"))
     return j.select(
-        "merchant_sk", "merchant_id", "merchant_name", "category", "country", "integration_type",
-        "onboarding_date", "status", "days_since_onboarding",
+        *DIMENSION,
         n("total_transactions").alias("total_transactions"),
         n("unique_customers").alias("unique_customers"),
         sales.alias("total_sales_amount"),
@@ -143,3 +167,9 @@ def gold_merchant_analytics(dim_merchants: DataFrame, fact_txn: DataFrame, fact_
         ctx.as_of_col.alias("snapshot_date"),
         ctx.updated_at_col.alias("dbt_updated_at"),
     )
+
+
+def gold_merchant_analytics(dim_merchants: DataFrame, fact_txn: DataFrame, fact_plans: DataFrame,
+                            fact_events: DataFrame, ctx: RunContext) -> DataFrame:
+    """One row per merchant of the dimension."""
+    return from_metrics(with_metrics(dim_merchants, fact_txn, fact_plans, fact_events, ctx), ctx)

@@ -11,7 +11,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from paylater.functions import money_sum, ratio
@@ -37,6 +37,17 @@ def date_bounds(fact_txn: DataFrame) -> DataFrame:
                         F.max("transaction_date_key").alias("max_date"))
 
 
+def stored_date_bounds(spark: SparkSession, path: str, column: str = "transaction_date_key") -> DataFrame:
+    """K1 of a fact that is stored by day: from the names of its folders, no file is opened."""
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    names = [f.getPath().getName() for f in fs.listStatus(at)]
+    days = sorted(n.partition("=")[2] for n in names
+                  if n.startswith(f"{column}=") and not n.endswith("__HIVE_DEFAULT_PARTITION__"))
+    bounds = tuple(dt.date.fromisoformat(d) for d in (days[0], days[-1])) if days else (None, None)
+    return spark.createDataFrame([bounds], "min_date date, max_date date")
+
+
 def totals(fact_txn: DataFrame, start=None, end=None) -> DataFrame:
     """K3-K5: transactions, value, active customers in one pass."""
     t = in_range(fact_txn, "transaction_date_key", start, end)

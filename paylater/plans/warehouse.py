@@ -15,12 +15,14 @@ from concurrent.futures import ThreadPoolExecutor
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 from paylater.context import RunContext
 from paylater.operators import dims, facts
 from paylater.operators.staging import stage
 from paylater.sources import fixtures
-from paylater.sources.bronze import BronzeLoadError, LoadReport, add_lineage, load_table
+from paylater.sources.bronze import (BronzeLoadError, LoadReport, add_lineage, fresh_folder, load_table,
+                                     publish_folder, restore_folder)
 from paylater import schemas
 
 SILVER_TABLES = ["dim_customers", "dim_merchants", "dim_dates",
@@ -153,7 +155,7 @@ FACT_DATES = {"fact_transactions": "transaction_date_key",
               "fact_customer_events": "event_date_key"}
 
 
-def write_by_day(df: DataFrame, path: str, date_col: str) -> None:
+def write_by_day(df: DataFrame, path: str, date_col: str, only_days: bool = False) -> None:
     """Write one folder per day, with output partitions sized by AQE.
 
     The ``REBALANCE`` hint clusters rows by day and lets AQE size the
@@ -161,10 +163,45 @@ def write_by_day(df: DataFrame, path: str, date_col: str) -> None:
     over as many tasks (and files) as its size needs, small days are
     coalesced, so file size stays near the advisory partition size whatever
     the skew.  A date filter on the key then prunes whole folders
-    (``PartitionFilters``).
+    (``PartitionFilters``).  With ``only_days`` the folders of days that ``df`` doesn't hold stay as they are.
     """
-    (df.hint("rebalance", date_col)
-     .write.mode("overwrite").partitionBy(date_col).parquet(path))
+    (df.hint("rebalance", date_col).write.mode("overwrite")
+     .option("partitionOverwriteMode", "dynamic" if only_days else "static")
+     .partitionBy(date_col).parquet(path))
+
+
+class Publication:
+    """Tables of a layer: each is written beside its last version, and all are switched at the end.
+
+    A write that fails leaves every table of the layer as it was.
+    """
+
+    def __init__(self, spark: SparkSession, root: str, partition_facts_by_day: bool = True):
+        self.spark, self.root, self.by_day = spark, root.rstrip("/"), partition_facts_by_day
+        self._schemas: dict[str, tuple] = {}
+
+    def _read(self, name: str, path: str) -> DataFrame:
+        schema, columns = self._schemas[name]
+        # the schema is known: reading it back needs no footer-inference job; partition
+        # columns come last in the relation, so the order is restored
+        return self.spark.read.schema(schema).parquet(path).select(*columns)
+
+    def write(self, name: str, df: DataFrame) -> DataFrame:
+        """Writes the next version; the frame returned reads it until ``publish``."""
+        path = f"{self.root}/{name}"
+        restore_folder(self.spark, path)
+        self._schemas[name] = df.schema, df.columns
+        if self.by_day and name in FACT_DATES:
+            write_by_day(df, fresh_folder(path), FACT_DATES[name])
+        else:
+            df.write.mode("overwrite").parquet(fresh_folder(path))
+        return self._read(name, fresh_folder(path))
+
+    def publish(self) -> dict[str, DataFrame]:
+        """Switches all tables written; frames over the published files."""
+        for name in self._schemas:
+            publish_folder(self.spark, f"{self.root}/{name}")
+        return {name: self._read(name, f"{self.root}/{name}") for name in self._schemas}
 
 
 def build_warehouse(spark: SparkSession, bronze: dict[str, DataFrame], base_path: str,
@@ -179,24 +216,18 @@ def build_warehouse(spark: SparkSession, bronze: dict[str, DataFrame], base_path
     written as concurrent jobs (``parallel_jobs``), so small tables do not
     leave the cluster idle.  With ``partition_facts_by_day`` the facts are
     written partitioned by their date key (see ``write_by_day``), for
-    date-filtered reads at scale.  Returns the staging frames (over bronze files) and the
-    silver tables.
+    date-filtered reads at scale.  The silver tables are switched to their new versions together at the end
+    (``Publication``).  Returns the staging frames (over bronze files) and the
+    silver tables, with ``bronze_counts`` taken by the loads.
     """
     root = base_path.rstrip("/")
-
-    def write(name: str, df: DataFrame) -> DataFrame:
-        path = f"{root}/silver/{name}"
-        if partition_facts_by_day and name in FACT_DATES:
-            write_by_day(df, path, FACT_DATES[name])
-            # partition columns come last in the relation; restore the order
-            return spark.read.schema(df.schema).parquet(path).select(*df.columns)
-        df.write.mode("overwrite").parquet(path)
-        # the schema is known: reading it back needs no footer-inference job
-        return spark.read.schema(df.schema).parquet(path)
+    layer = Publication(spark, f"{root}/silver", partition_facts_by_day)
+    write = layer.write
+    counts: dict[str, dict] = {}
 
     try:
         stored_bronze = _run_parallel(
-            {t: (lambda t=t, df=df: load_table(df, f"{root}/bronze/{t}", t)) for t, df in bronze.items()},
+            {t: (lambda t=t, df=df: load_table(df, f"{root}/bronze/{t}", t, counts)) for t, df in bronze.items()},
             parallel_jobs)
     except ParallelJobsError as err:   # B7: report every table, loaded or not
         raise BronzeLoadError(LoadReport(
@@ -210,19 +241,19 @@ def build_warehouse(spark: SparkSession, bronze: dict[str, DataFrame], base_path
     }, parallel_jobs)
     dc, dm = d["dim_customers"], d["dim_merchants"]
 
-    def plans_after_transactions() -> dict[str, DataFrame]:
+    def plans_after_transactions() -> None:
         ft = write("fact_transactions", facts.fact_transactions(stg["transactions"], dc, dm, ctx))
-        fp = write("fact_payment_plans", facts.fact_payment_plans(
+        write("fact_payment_plans", facts.fact_payment_plans(
             stg["payment_plans"], stg["installments"], dc, dm, ft, ctx))
-        return {"fact_transactions": ft, "fact_payment_plans": fp}
 
-    f = _run_parallel({
+    _run_parallel({
         "txn_and_plans": plans_after_transactions,
         "fact_customer_events": lambda: write("fact_customer_events", facts.fact_customer_events(
             stg["user_events"], dc, dm, ctx)),
     }, parallel_jobs)
-    return stg, StoredSilver({**d, **f["txn_and_plans"],
-                              "fact_customer_events": f["fact_customer_events"]})
+    silver = StoredSilver(layer.publish())
+    silver.bronze_counts = counts
+    return stg, silver
 
 
 GOLD_TABLES = ["gold_customer_analytics", "gold_merchant_analytics",
@@ -247,19 +278,28 @@ def gold_marts(silver, ctx: RunContext) -> dict[str, Callable[[], DataFrame]]:
 
 def build_gold(spark: SparkSession, silver, base_path: str, ctx: RunContext,
                parallel_jobs: int = 4) -> dict[str, DataFrame]:
-    """Write the four marts (independent, so as concurrent jobs); frames over the files."""
-    root = base_path.rstrip("/")
+    """Write the four marts (independent, so as concurrent jobs), then publish them; frames over the files."""
+    layer = Publication(spark, f"{base_path.rstrip('/')}/gold")
+    _run_parallel({n: (lambda n=n, b=b: layer.write(n, b())) for n, b in gold_marts(silver, ctx).items()},
+                  parallel_jobs)
+    return layer.publish()
+
+
+def table_schemas(spark: SparkSession, ctx: RunContext) -> dict[str, StructType]:
+    """Schemas of the silver and gold tables, from plans over empty sources."""
+    empty = {t: add_lineage(spark.createDataFrame([], schema), t, ctx) for t, schema in schemas.SOURCE_SCHEMAS.items()}
+    silver = from_bronze(spark, empty, ctx).silver
+    return ({t: getattr(silver, t).schema for t in SILVER_TABLES}
+            | {t: build().schema for t, build in gold_marts(silver, ctx).items()})
 
-    def write(name: str, build: Callable[[], DataFrame]) -> DataFrame:
-        path = f"{root}/gold/{name}"
-        df = build()
-        df.write.mode("overwrite").parquet(path)
-        return spark.read.schema(df.schema).parquet(path)
 
-    return _run_parallel({n: (lambda n=n, b=b: write(n, b)) for n, b in gold_marts(silver, ctx).items()},
-                         parallel_jobs)
+def read_silver(spark: SparkSession, base_path: str, ctx: RunContext) -> StoredSilver:
+    """The published silver tables (a fact without any row has a folder without files)."""
+    known = table_schemas(spark, ctx)
+    return StoredSilver({t: spark.read.schema(known[t]).parquet(f"{base_path.rstrip('/')}/silver/{t}")
+                         for t in SILVER_TABLES})
 
 
 __all__ = ["Warehouse", "Silver", "StoredSilver", "from_test_tables", "from_bronze",
            "build_warehouse", "build_gold", "gold_marts", "SILVER_TABLES",
-           "GOLD_TABLES"]
+           "GOLD_TABLES", "Publication", "read_silver", "table_schemas"]

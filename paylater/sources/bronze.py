@@ -8,18 +8,14 @@ failures are raised together at the end instead of being hidden.
 
 from __future__ import annotations
 
-import logging
-from collections.abc import Callable
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from paylater import schemas
 from paylater.context import RunContext
 
-log = logging.getLogger("paylater.bronze")
-
 # Lineage source names.
 DATABASE_SOURCE = "postgres.{table}"
 EVENTS_FILE_SOURCE = "file.user_events"
@@ -67,38 +63,85 @@ def register_tables(spark: SparkSession, namespace: str, paths: dict[str, str])
     return names
 
 
-def replace_folder(df: DataFrame, path: str) -> None:
-    """Write ``df`` to ``path`` in place of what is there, by renames after the write has ended.
+def _files(spark: SparkSession, path: str):
+    """Hadoop's file system of a path, and a function that makes path objects."""
+    make = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    return make(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), make
+
+
+def _move(fs, source, target) -> None:
+    """A rename that raises where Hadoop's only returns false."""
+    if not fs.rename(source, target):
+        raise OSError(f"could not rename {source} to {target}")
+
 
-    Between the two renames the table has no folder; the old load then lies in ``<path>.old``.
+def fresh_folder(path: str) -> str:
+    """Where the next version of a table is written before it is published."""
+    return f"{path.rstrip('/')}.new"
+
+
+def publish_folder(spark: SparkSession, path: str) -> None:
+    """Puts ``fresh_folder(path)`` in place of ``path``.
+
+    The old version is moved aside, and deleted only after the new one is in place.  If the
+    switch fails the old version is moved back; if the driver dies between the two renames
+    it lies in ``<path>.old``, from where ``restore_folder`` brings it back.
     """
-    spark = df.sparkSession
-    fresh, old = f"{path.rstrip('/')}.new", f"{path.rstrip('/')}.old"
-    df.write.mode("overwrite").parquet(fresh)
-    jvm = spark.sparkContext._jvm
-    at = {p: jvm.org.apache.hadoop.fs.Path(p) for p in (path, fresh, old)}
-    fs = at[path].getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if fs.exists(at[path]):
-        fs.delete(at[old], True)
-        fs.rename(at[path], at[old])
-    fs.rename(at[fresh], at[path])
-    fs.delete(at[old], True)
-
-
-def load_table(df: DataFrame, path: str, table: str) -> DataFrame:
+    fs, make = _files(spark, path)
+    at, fresh, old = make(path), make(fresh_folder(path)), make(f"{path.rstrip('/')}.old")
+    held = fs.exists(at)
+    if held:
+        fs.delete(old, True)
+        _move(fs, at, old)
+    try:
+        _move(fs, fresh, at)
+    except Exception:
+        if held and not fs.exists(at):
+            _move(fs, old, at)
+        raise
+    fs.delete(old, True)
+
+
+def restore_folder(spark: SparkSession, path: str) -> None:
+    """Brings back a version that a broken-off switch has left aside."""
+    fs, make = _files(spark, path)
+    at, old = make(path), make(f"{path.rstrip('/')}.old")
+    if not fs.exists(at) and fs.exists(old):
+        _move(fs, old, at)
+
+
+def replace_folder(df: DataFrame, path: str) -> None:
+    """Write ``df`` beside ``path``, and publish it when the write has ended."""
+    restore_folder(df.sparkSession, path)
+    df.write.mode("overwrite").parquet(fresh_folder(path))
+    publish_folder(df.sparkSession, path)
+
+
+def load_table(df: DataFrame, path: str, table: str, counts: dict[str, dict] | None = None) -> DataFrame:
     """Full refresh of one bronze table; returns the written table, re-read.
 
     Columns are written by name in the declared order (not by position).  The
     new load is written beside the old one and takes its place only when
     it is complete, so a load that fails leaves the old table as it was.
+    ``counts`` receives the table's ``rows`` and its NULLs by column, counted by the write itself.
     """
     cols = schemas.SOURCE_SCHEMAS[table].fieldNames() + [schemas.ETL_EXTRACTED_AT, schemas.ETL_SOURCE]
     out = df.select(*cols)
-    replace_folder(out, path)
+    seen = Observation()
+    nulls = [F.count_if(F.col(c).isNull()).alias(c) for c in cols]
+    replace_folder(out.observe(seen, F.count(F.lit(1)).alias("rows"), *nulls) if counts is not None else out, path)
+    if counts is not None:
+        counts[table] = seen.get
     # the schema is known: reading it back needs no footer-inference job
     return df.sparkSession.read.schema(out.schema).parquet(path)
 
 
+def observed_row_counts(spark: SparkSession, counts: dict[str, dict]) -> DataFrame:
+    """B6 from the counts that the loads have taken: no table is read again."""
+    rows = [(source_label(t), int(c["rows"])) for t, c in counts.items() if c["rows"]]
+    return spark.createDataFrame(rows, f"{schemas.ETL_SOURCE} string, row_count bigint")
+
+
 def row_counts(tables: dict[str, DataFrame]) -> DataFrame:
     """One row per table ``(_etl_source, row_count)``, computed by Spark.
 
@@ -122,21 +165,3 @@ class BronzeLoadError(RuntimeError):
     def __init__(self, report: LoadReport):
         self.report = report
         super().__init__(f"bronze load failed for {sorted(report.failed)}: {report.failed}")
-
-
-def load_all(extractors: dict[str, Callable[[], DataFrame]], base_path: str,
-             ctx: RunContext) -> LoadReport:
-    """Extract and load every table; collect failures and raise at the end."""
-    report = LoadReport()
-    for table, extract in extractors.items():
-        path = f"{base_path.rstrip('/')}/{table}"
-        try:
-            load_table(add_lineage(extract(), table, ctx), path, table)
-            report.loaded[table] = path
-            log.info("loaded %s into %s", table, path)
-        except Exception as exc:  # noqa: BLE001 - reported below
-            log.error("failed to load %s: %s", table, exc)
-            report.failed[table] = f"{type(exc).__name__}: {exc}"
-    if report.failed:
-        raise BronzeLoadError(report)
-    return report

@@ -27,6 +27,21 @@ def range_predicates(column: str, cuts: list[str]) -> list[str]:
     return [first, *inner, f"{column} >= {quoted[-1]}"]
 
 
+CUT_SAMPLES = 64              # sampled keys for each range
+
+
+def cut_points(held: DataFrame, column: str, ranges: int) -> list[str]:
+    """Texts that cut a key column into ranges of near-equal counts: quantiles of a sample of the last load.
+
+    Keys are sampled by hash, about ``CUT_SAMPLES`` for each range, whatever the table's size.
+    """
+    keys = held.where(F.col(column).isNotNull()).select(F.col(column).cast("string").alias("k"))
+    share = max(1, keys.count() // (CUT_SAMPLES * max(ranges, 1)))
+    sample = sorted(r.k for r in keys.where(F.pmod(F.xxhash64("k"), F.lit(share)) == 0).distinct().collect())
+    places = [j * len(sample) // ranges for j in range(1, ranges)]
+    return sorted({sample[i] for i in places if 0 < i < len(sample)})
+
+
 def read_jdbc(spark: SparkSession, url: str, table: str, *, predicates: list[str],
               properties: dict[str, str] | None = None) -> DataFrame:
     """B1: full-table extract, one concurrent read for each predicate (see ``range_predicates``).

@@ -22,6 +22,7 @@ def spark():
          .config("spark.ui.enabled", "false")
          .config("spark.sql.shuffle.partitions", "8")
          .config("spark.sql.session.timeZone", "UTC")
+         .config("spark.shuffle.accurateBlockSkewedFactor", "5")      # as build_session sets it
          .config("spark.checkpoint.dir", ckpt)
          .config("spark.sql.warehouse.dir", tempfile.mkdtemp(prefix="paylater-test-wh-"))
          .getOrCreate())

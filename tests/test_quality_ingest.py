@@ -74,7 +74,7 @@ def test_incremental_new_rows(spark):
     assert sorted((r.event_id or "-") for r in win.collect()) == ["-", "c"]
 
 
-def test_csv_round_trip_and_load_all_raises_at_end(spark, ctx):
+def test_csv_round_trip_and_bronze_load(spark, ctx):
     base = shared_dir(spark, "t-bronze")
     df = spark.createDataFrame(
         [("T1", "C1", None, ts("2001-01-01 10:11:12.123456"), 1.5, "AED", "debit_card", "completed")],
@@ -85,13 +85,10 @@ def test_csv_round_trip_and_load_all_raises_at_end(spark, ctx):
     back3 = readers.read_csv_text_dates(spark, f"{base}/csv", "transactions")
     assert back3.collect() == df.collect()
 
-    def broken():
-        raise ValueError("source down")
-
-    with pytest.raises(bronze.BronzeLoadError) as err:
-        bronze.load_all({"transactions": lambda: df, "merchants": broken}, f"{base}/bronze", ctx)
-    assert set(err.value.report.failed) == {"merchants"}
-    assert set(err.value.report.loaded) == {"transactions"}
+    counts = {}
+    bronze.load_table(bronze.add_lineage(df, "transactions", ctx), f"{base}/bronze/transactions", "transactions", counts)
+    assert counts["transactions"]["rows"] == 1 and counts["transactions"]["merchant_id"] == 1
+    assert [tuple(r) for r in bronze.observed_row_counts(spark, counts).collect()] == [("postgres.transactions", 1)]
     loaded = spark.read.parquet(f"{base}/bronze/transactions").first()
     assert loaded._etl_source == "postgres.transactions" and loaded._etl_extracted_at == ts("2001-08-02 00:00:00")
 
