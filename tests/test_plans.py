@@ -122,3 +122,42 @@ def test_marts_shuffle_once_per_aggregate_step_without_broadcast(spark, stored):
                 spark.conf.unset(k)
             else:
                 spark.conf.set(k, v)
+
+
+def _scans(df, column: str) -> int:
+    """Scans of a fact, told by a column that only it has, in the executed plan."""
+    import re
+    text = df._jdf.queryExecution().executedPlan().toString()
+    return len(re.findall(rf"FileScan parquet \[[^\]]*\b{column}#", text))
+
+
+def test_marts_scan_each_fact_twice_at_most_and_copy_no_rows(spark, stored):
+    """In the default layout (folders by day), also where nothing is small enough to broadcast."""
+    from paylater.plans import merchant
+    _, s = stored
+    ft, fp, fe = s.fact_transactions, s.fact_payment_plans, s.fact_customer_events
+    keys = ["spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold"]
+    old = {k: spark.conf.get(k, None) for k in keys}
+    try:
+        for limit in (None, "-1"):
+            if limit:
+                for k in keys:
+                    spark.conf.set(k, limit)
+            marts = [(transactions.gold_transaction_analytics(ft, s.dim_merchants, s.dim_dates, TEST_CONTEXT),
+                      {"transaction_sk": 2}),
+                     (payments.gold_payment_analytics(fp, s.dim_merchants, s.dim_dates, TEST_CONTEXT), {"plan_sk": 2}),
+                     (customer.gold_customer_analytics(s.dim_customers, ft, fp, fe, TEST_CONTEXT),
+                      {"transaction_sk": 1, "event_sk": 1, "plan_sk": 1}),
+                     (merchant.gold_merchant_analytics(s.dim_merchants, ft, fp, fe, TEST_CONTEXT),
+                      {"transaction_sk": 1, "event_sk": 1, "plan_sk": 1})]
+            for df, most in marts:
+                text = df._jdf.queryExecution().executedPlan().toString()
+                assert "Expand" not in text and "dynamicpruning" not in text
+                for column, n in most.items():
+                    assert 1 <= _scans(df, column) <= n, (column, n)
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)

@@ -102,7 +102,9 @@ def test_null_keys_spread_in_shuffle_join_plan(spark, skew_conf):
     assert "SortMergeJoin" in text and "xxhash64(transaction_id" in text
 
 
-def test_hot_day_is_split_over_several_files(spark):
+@pytest.mark.parametrize("partitions", ["200", "20000"])
+def test_hot_day_is_split_over_several_files(spark, partitions):
+    # above 2,000 partitions Spark sees mean block sizes only, but for spark.shuffle.accurateBlockSkewedFactor
     import collections
     import re as _re
     from paylater.context import shared_dir
@@ -115,15 +117,16 @@ def test_hot_day_is_split_over_several_files(spark):
         F.sha2(F.col("id").cast("string"), 256).alias("payload"))
     path = shared_dir(spark, "t-hot-day")
     conf = {"spark.sql.adaptive.advisoryPartitionSizeInBytes": "64k",
-            "spark.sql.shuffle.partitions": "200"}          # cluster-like: days rarely share a partition
-    old = {k: spark.conf.get(k) for k in conf}
+            "spark.sql.shuffle.partitions": partitions,
+            "spark.sql.adaptive.coalescePartitions.initialPartitionNum": partitions}     # cluster-like: days rarely share a partition
+    old = {k: spark.conf.get(k, None) for k in conf}
     for k, v in conf.items():
         spark.conf.set(k, v)
     try:
         write_by_day(df, path, "d")
     finally:
         for k, v in old.items():
-            spark.conf.set(k, v)
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
     files = spark.read.parquet(path).inputFiles()
     per_day = collections.Counter(_re.search(r"d=([0-9-]+)", f).group(1) for f in files)
     assert per_day["2001-01-01"] >= 3
