@@ -110,53 +110,53 @@ def relationships_report(tables: dict[str, DataFrame], checks=RELATIONSHIPS) ->
     return out
 
 
-def _role(child: str, column: str) -> str:
-    return f"{child}.{column}"
-
-
 def dq_report(tables: dict[str, DataFrame]) -> DataFrame:
-    """Q4: one row per declared test (6 unique + 23 not_null + 4 relationships), from one scan of each table.
+    """Q4: one row per declared test (6 unique + 23 not_null + 4 relationships), from one scan and one shuffle.
 
     A row gives one narrow row for each of its keys (its own id in the domain of its table, each foreign key in
-    the domain of the parent) and one for each NULL in a tested column.  These are counted before
-    the shuffle, so a key that a third of all rows hold is one row for each task.  Ids and foreign keys of one
-    domain meet by key, where repeated ids and missing parents show.
+    the domain of the parent), and one with the set of its NULL columns if a tested column is NULL.  These are
+    counted by domain and key before the shuffle, so a key that a third of all rows hold is one row for
+    each task.  Where they meet, a key's counts show repeated ids and missing parents.
     """
-    parts = []
+    domains = {t: i for i, (t, _) in enumerate(UNIQUE)}
+    children: dict[str, list[tuple[str, str]]] = {t: [] for t in domains}
+    for child, column, parent, _ in RELATIONSHIPS:
+        children[parent].append((child, column))
+    most = max(map(len, children.values()))
+    tested = {t: [c for table, c in NOT_NULL if table == t] for t in domains}
+    nulls = -1                                   # domains of the sets of NULL columns: -1, -2, ...
+
+    def entry(domain: int, role: int, key: Column) -> Column:
+        return F.struct(F.lit(domain).alias("domain"), F.lit(role).alias("role"), key.alias("key"))
+
+    every = None
     for table, df in tables.items():
-        tags = [(table, "", c) for t, c in UNIQUE if t == table]
-        tags += [(parent, _role(table, c), c) for t, c, parent, _ in RELATIONSHIPS if t == table]
-        kind = "struct<domain:string,role:string,key:string>"
-        entries = [F.when(F.col(c).isNotNull(), F.struct(F.lit(d).alias("domain"), F.lit(r).alias("role"),
-                                                        F.col(c).cast("string").alias("key"))).cast(kind)
-                   for d, r, c in tags]
-        entries += [F.when(F.col(c).isNull(), F.struct(F.lit("").alias("domain"), F.lit("").alias("role"),
-                                                      F.lit(f"{table}.{c}").alias("key"))).cast(kind)
-                    for t, c in NOT_NULL if t == table]
-        if entries:
-            parts.append(df.select(F.explode(F.filter(F.array(*entries), lambda e: e.isNotNull())).alias("e"))
-                         .select("e.*"))
-    every = parts[0]
-    for p in parts[1:]:
-        every = every.unionByName(p)
-    counted = every.groupBy("domain", "key", "role").agg(F.count(F.lit(1)).alias("n"))
-    # at most one row for each role of a domain
-    met = counted.groupBy("domain", "key").agg(F.max(F.when(F.col("role") == "", F.col("n"))).alias("own"),
-                                               F.collect_list(F.struct("role", "n")).alias("roles"))
-    each = met.select("domain", "key", "own", F.explode("roles").alias("r"))
-    is_null, is_own = F.col("domain") == "", F.col("r.role") == ""
-    test = (F.when(is_null, F.concat(F.lit("not_null:"), F.col("key")))
-            .when(is_own, F.concat(F.lit("unique:"), F.col("domain")))
-            .otherwise(F.concat(F.lit("relationships:"), F.col("r.role"))))
-    failures = (F.when(is_null, F.col("r.n")).when(is_own, (F.col("own") > 1).cast("bigint"))
-                .otherwise(F.when(F.col("own").isNull(), F.col("r.n")).otherwise(F.lit(0))))
-    found = each.groupBy(test.alias("name")).agg(F.sum(failures).alias("failures"))
-    names = ([(t, c, "unique", f"unique:{t}") for t, c in UNIQUE]
-             + [(t, c, "not_null", f"not_null:{t}.{c}") for t, c in NOT_NULL]
-             + [(t, c, f"relationships:{p}.{f}", f"relationships:{_role(t, c)}") for t, c, p, f in RELATIONSHIPS])
-    declared = every.sparkSession.createDataFrame(names, "`table` string, `column` string, test string, name string")
-    return (declared.join(found, "name", "left")
-            .select("table", "column", "test", F.coalesce("failures", F.lit(0).cast("bigint")).alias("failures")))
+        mask = F.lit(0)
+        for bit, c in enumerate(tested[table]):
+            mask = mask + F.when(F.col(c).isNull(), 1 << bit).otherwise(0)
+        entries = [entry(domains[table], 0, F.col(c).cast("string")) for t, c in UNIQUE if t == table]
+        entries += [entry(domains[p], 1 + children[p].index((table, c)), F.col(c).cast("string"))
+                    for t, c, p, _ in RELATIONSHIPS if t == table]
+        entries.append(entry(nulls - domains[table], 0, F.when(mask != 0, mask.cast("string"))))
+        part = df.select(F.explode(F.array(*entries)).alias("e")).select("e.*").where("key is not null")
+        every = part if every is None else every.unionByName(part)
+    met = every.groupBy("domain", "key").agg(*[F.count_if(F.col("role") == r).alias(f"n{r}") for r in range(most + 1)])
+    orphan = [F.sum(F.when(F.col("n0") == 0, F.col(f"n{r}"))).alias(f"orphans{r}") for r in range(1, most + 1)]
+    told = (met.groupBy("domain", F.when(F.col("domain") < 0, F.col("key").cast("int")).alias("mask"))
+            .agg(F.sum("n0").alias("rows"), F.count_if(F.col("n0") > 1).alias("repeated"), *orphan))
+    tests = ([(t, c, "unique", domains[t], "u", 0) for t, c in UNIQUE]
+             + [(t, c, "not_null", nulls - domains[t], "n", 1 << tested[t].index(c)) for t, c in NOT_NULL]
+             + [(t, c, f"relationships:{p}.{f}", domains[p], "r", 1 + children[p].index((t, c)))
+                for t, c, p, f in RELATIONSHIPS])
+    declared = every.sparkSession.createDataFrame(
+        tests, "`table` string, `column` string, test string, domain int, kind string, arg int")
+    kind = F.col("kind")
+    failures = (F.when(kind == "u", F.col("repeated"))
+                .when(kind == "n", F.when(F.col("mask").bitwiseAND(F.col("arg")) != 0, F.col("rows"))))
+    for r in range(1, most + 1):
+        failures = failures.when((kind == "r") & (F.col("arg") == r), F.col(f"orphans{r}"))
+    return (declared.join(told, "domain", "left").groupBy("table", "column", "test")
+            .agg(F.coalesce(F.sum(failures), F.lit(0).cast("bigint")).alias("failures")))
 
 
 # ---------------------------------------------------------------- X3 business rules
