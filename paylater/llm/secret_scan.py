@@ -37,11 +37,14 @@ ASSIGN_HINTS = ("password", "passwd", "secret", "token", "apikey", "api_key")
 # Context words of the method, and the value after them.
 CONTEXT = re.compile(
     r"(?<![a-z0-9])(?:pass(?:word|wd|phrase|code)?|pwd|pin|secret|token|credentials?|login|auth(?:orization)?|bearer"
-    r"|(?:api|access|private|client|account)[_\-\x20]?key)[\"']?\x20*(?:[:=]|=>)\x20*[\"']?([^\s\"'<>,;]+)",
+    r"|(?:api|access|private|client|account)[_\-\x20]?key)[\"']?\x20*(?:[:=]|=>)\x20*[\"']?([^\s\"'<>]+)",
     re.IGNORECASE | re.ASCII)
 CONTEXT_HINTS = ("pass", "pwd", "pin", "secret", "token", "credential", "login", "auth", "bearer", "key")
 
 LEAST_VALUE = 8
+LEAST_PART = 3.0          # log10 of the guesses that a part behind a comma or semicolon adds, if it belongs to a value
+PARTS = re.compile("([,;])")
+SENTENCE_END = re.compile(r"[)\]}*]*[.:?!]*[)\]}*]*$")
 LEAST_COST = 9.0          # log10 of the guesses that make a value a secret
 LEAST_STRANGE = 1.4       # of values of one class: spelled unlike words
 VOCABULARY = "word_bpe_49k.json"
@@ -209,6 +212,27 @@ def secret_cost(value: str, words: Callable[[], Words] = public_words) -> float
     return cost if cost >= LEAST_COST else None
 
 
+def value_in(run: str) -> str:
+    """The value at the start of a run without white space.
+
+    Every comma and semicolon is a possible end: the part behind one belongs to the value if it is as hard to guess
+    as ``LEAST_PART`` tells, and isn't a field of its own (``name=``).  Marks that end a sentence or
+    close a bracket go if they follow a letter or digit, exclamation marks only where the value has no other symbol.
+    """
+    value, *rest = PARTS.split(run)
+    cost = guess_cost(value)
+    for mark, part in zip(rest[::2], rest[1::2]):
+        longer = value + mark + part
+        if not value or not part or ":" in part or "=" in part or guess_cost(longer) - cost < LEAST_PART:
+            break
+        value, cost = longer, guess_cost(longer)
+    tail = SENTENCE_END.search(value).start()
+    if 0 < tail < len(value) and value[tail - 1].isalnum():
+        if "!" not in value[tail:] or value[:tail].isalnum():
+            value = value[:tail]
+    return value
+
+
 def find(text: str, words: Callable[[], Words] = public_words) -> list[tuple[str, int, int, float | None]]:
     """Kind, start, end (code points) and guess cost of the secrets of a text, in order."""
     lower = text.lower()
@@ -220,7 +244,7 @@ def find(text: str, words: Callable[[], Words] = public_words) -> list[tuple[str
         taken = sorted((s, e) for _, s, e, _ in found)
         for m in CONTEXT.finditer(text):
             start, end = m.span(1)
-            value = m[1].rstrip(".!?:)]}*#%$&")
+            value = value_in(m[1])
             end = start + len(value)
             if len(value) < LEAST_VALUE or _covered(start, end, taken):
                 continue

@@ -287,6 +287,39 @@ BASE = re.compile(r"""([pP][aA][sS][sS][wW][oO][rR][dD]|[pP][aA][sS][sS][wW][dD]
                   r"""|[aA][pP][iI]_?[kK][eE][yY])["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""")
 
 
+def test_whole_values_are_found():
+    redact = lambda text: secret_scan.redact_text(text, "[S]")           # noqa: E731
+    assert redact("pwd: xK9mP2vLqT7w$$! now") == "pwd: [S] now"
+    assert redact("password: Qz7#Lp2!vX9& x") == "password: [S] x"
+    assert redact("pwd: aB3,xY9;kL2mN8qR end") == "pwd: [S] end"
+    assert redact("(pwd: xK9mP2vLqT7w).") == "(pwd: [S])."
+    assert redact("pwd: xK9mP2vLqT7w, then") == "pwd: [S], then"
+    assert redact("auth=xK9mP2vLqT7w;user=bob") == "auth=[S];user=bob"
+    assert redact("pwd: xK9mP2vLqT7w... ok, pwd: hunter2!") == "pwd: [S]... ok, pwd: hunter2!"
+    assert redact("token: one,two;three and key: a,b") == "token: one,two;three and key: a,b"
+
+
+def brute_guess_cost(value, ranks):
+    """Every segmentation into brute-force pieces and listed spans."""
+    spans = {}
+    for i, j, cost in secret_scan.spans_of(value, ranks, 12):
+        spans[i, j] = min(cost, spans.get((i, j), 99.0))
+    n, best = len(value), float("inf")
+    for cuts in range(1 << max(n - 1, 0)):
+        ends = [k + 1 for k in range(n - 1) if cuts >> k & 1] + [n]
+        total, i = 0.0, 0
+        for j in ends:
+            total += min(float(j - i), spans.get((i, j), 99.0)) + (i > 0) * secret_scan.JOIN_COST
+            i = j
+        best = min(best, total)
+    return best
+
+
+@pytest.mark.parametrize("value", ["abc123", "P4ssw0rd!", "qwerty99x", "2001-08-02", "aaaaab", "x", "dragonQ7"])
+def test_guess_cost_is_the_least_of_all_segmentations(value):
+    assert secret_scan.guess_cost(value) == pytest.approx(brute_guess_cost(value, secret_scan.RANK))
+
+
 def brute_secrets(text):
     found = [(m.start(), 0, m.end()) for m in BASE.finditer(text) if len(m[2]) >= 12]
     found += [(m.start(), 1, m.end()) for m in re.finditer("AKIA[A-Z0-9]+", text) if len(m[0]) >= 18]
