@@ -3,8 +3,8 @@
 1. **Vocabulary.**  Of a bounded sample of labelled documents, the features
    (words, and beginnings of 3 to 6 letters) whose presence differs most
    between the labels, by a two-proportion z-score.
-2. **Vectors.**  One pass over all whole texts counts these features; document
-   frequencies are counted over all documents.  Vectors are TF-IDF of unit length.
+2. **Vectors.**  One pass over all whole texts counts the documents that hold each feature.
+   Vectors are TF-IDF of unit length; the pass that scores a text makes its vector.
 3. **Index.**  The examples' postings by feature lie in blocks of examples, and the
    greatest weight of each feature in each block is kept.  A query bounds its
    cosine with every block from these, reads blocks by falling bound, and stops
@@ -85,32 +85,37 @@ def _presence(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 [pa.array(found, pa.string()), pa.array([toxic] * len(found), pa.int32())], ["feature", "toxic"])
 
 
+def _features(column: pa.Array, ids: FeatureIds) -> list[list[tuple[int, int]]]:
+    """Sorted features with counts of every text."""
+    data, at = binary_views(column)
+    raw = data.tobytes()
+    return [sorted(count_features(raw[at[i]:at[i + 1]].decode(), ids).items()) for i in range(len(at) - 1)]
+
+
 def _vectors(vocabulary):
-    """Features and counts of every row; one more row for each task counts the rows that hold a feature.
+    """Features and counts of the examples."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ids = FeatureIds(vocabulary.value)
+        for batch in batches:
+            pairs = _features(batch.column("body"), ids)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("doc_id"), pa.array([[f for f, _ in p] for p in pairs], pa.list_(pa.int32())),
+                 pa.array([[n for _, n in p] for p in pairs], pa.list_(pa.int32())), batch.column("toxic")],
+                ["doc_id", "features", "counts", "toxic"])
+    return run
 
-    That row's ``seen`` has a count for each feature, and the number of rows at the end.
-    """
+
+def _seen(vocabulary):
+    """One row for each task: the number of texts that hold a feature, and of texts at the end."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids = FeatureIds(vocabulary.value)
         seen = np.zeros(len(vocabulary.value) + 1, np.int64)
-        kinds = [pa.list_(pa.int32()), pa.list_(pa.int32()), pa.list_(pa.int64())]
-        names = ["doc", "features", "counts", "seen"]
-        kind = None
         for batch in batches:
-            doc = batch.column("doc")
-            kind = doc.type
-            data, at = binary_views(doc.flatten()[-1])
-            raw = data.tobytes()
-            pairs = [sorted(count_features(raw[at[i]:at[i + 1]].decode(), ids).items()) for i in range(len(batch))]
+            pairs = _features(batch.column("body"), ids)
             for p in pairs:
                 seen[[f for f, _ in p]] += 1
             seen[-1] += len(pairs)
-            yield pa.RecordBatch.from_arrays(
-                [doc, pa.array([[f for f, _ in p] for p in pairs], kinds[0]),
-                 pa.array([[n for _, n in p] for p in pairs], kinds[1]), pa.nulls(len(pairs), kinds[2])], names)
-        if kind is not None:
-            yield pa.RecordBatch.from_arrays(
-                [pa.nulls(1, kind), *(pa.nulls(1, k) for k in kinds[:2]), pa.array([seen], kinds[2])], names)
+        yield pa.RecordBatch.from_arrays([pa.array([seen], pa.list_(pa.int64()))], ["seen"])
     return run
 
 
@@ -232,13 +237,14 @@ EVIDENCE = T.ArrayType(T.StructType([T.StructField("doc_id", T.LongType()), T.St
                                      T.StructField("toxic", T.IntegerType())]))
 
 
-def _scorer(model):
+def _scorer(vocabulary, model):
+    """Rows with their scores; the text is the last field of ``doc``."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m = pickle.loads(model.value)
+        m, ids = pickle.loads(model.value), FeatureIds(vocabulary.value)
         for batch in batches:
             scores, evidence = [], []
-            for features, counts in zip(batch.column("features").to_pylist(), batch.column("counts").to_pylist()):
-                score, who, cosine = m.score(features, counts)
+            for pairs in _features(batch.column("doc").flatten()[-1], ids):
+                score, who, cosine = m.score([f for f, _ in pairs], [n for _, n in pairs])
                 scores.append(min(max(score, 0.0), 1.0))
                 evidence.append([{"doc_id": int(m.ids[i]), "cosine": float(c), "toxic": int(m.toxic[i])}
                                  for i, c in zip(who[:3], cosine[:3])])
@@ -267,14 +273,15 @@ def score_rows(docs: DataFrame, labelled: DataFrame, examples: int = EXAMPLES, f
     probability of the label, and the three nearest examples.
 
     ``labelled``: ``doc_id, toxic`` of the rows to learn from; ids and labels must not be
-    null to count, of a repeated id the greater label counts, with the text of the smallest features.  Of more than
+    null to count, of a repeated id the greater label and the smallest text (by bytes) count.  Of more than
     ``examples``, those of the smallest id hash are taken.  Null and empty texts,
     and texts without a known feature, get the rate of such examples.  Without any
     example all scores are 0.  Rows are scored one for one by their own texts, rows without an id, too.
     Examples are scored like all rows, so a learned row is its own nearest neighbour; of equal cosines
     the smaller ids are neighbours.
 
-    The rows travel with their vectors through one written table, and are never joined or shuffled.
+    Texts are read in two passes, one for the document frequencies and one that scores; nothing of
+    them is written, joined or shuffled, but for the examples.
     """
     spark = docs.sparkSession
     rows = documents.bodies(docs, id_col, text_col)
@@ -283,31 +290,26 @@ def score_rows(docs: DataFrame, labelled: DataFrame, examples: int = EXAMPLES, f
               .join(rows.select("doc_id").distinct(), "doc_id", "left_semi")
               .orderBy(F.xxhash64("doc_id"), "doc_id").limit(examples))
     chosen = spark.createDataFrame(sample.toArrow()) if sample.count() else sample
-    chosen = F.broadcast(chosen)                       # ``examples`` rows at most
-    presence = rows.join(chosen, "doc_id").select("body", "toxic").mapInArrow(_presence, "feature string, toxic int")
-    size = chosen.agg(F.count("*").alias("n"), F.sum("toxic").alias("t")).first()
+    learned = written(rows.join(F.broadcast(chosen), "doc_id")            # ``examples`` rows at most
+                      .groupBy("doc_id").agg(F.min("body").alias("body"), F.max("toxic").alias("toxic")),
+                      "toxicity-examples")
+    size = learned.agg(F.count("*").alias("n"), F.sum("toxic").alias("t")).first()
+    presence = learned.select("body", "toxic").mapInArrow(_presence, "feature string, toxic int")
     vocabulary = _choose(presence, size.n or 0, size.t or 0, features) if size.n else {}
 
-    order = [c for c in docs.columns if c != text_col] + [text_col]
-    packed = docs.select(F.struct(*[F.col(f"`{c}`") for c in order]).alias("doc"))
-    doc, numbers = packed.schema["doc"], T.ArrayType(T.IntegerType())
-    table = written(packed.mapInArrow(
-        _vectors(spark.sparkContext.broadcast(vocabulary)),
-        T.StructType([T.StructField("doc", doc.dataType), T.StructField("features", numbers),
-                      T.StructField("counts", numbers), T.StructField("seen", T.ArrayType(T.LongType()))])),
-        "toxicity-vectors")
-    vectors = table.where("seen is null").select("doc", "features", "counts")
-    sums = (table.where("seen is not null").select("seen").repartition(SUMS)
+    sent = spark.sparkContext.broadcast(vocabulary)
+    every = docs.select(documents.text_bytes(text_col).alias("body"))
+    sums = (every.mapInArrow(_seen(sent), "seen array<bigint>").repartition(SUMS)
             .mapInArrow(_added, "seen array<bigint>").collect())              # ``SUMS`` rows at most
     seen = np.sum([np.array(r.seen, np.int64) for r in sums] or [np.zeros(len(vocabulary) + 1, np.int64)], axis=0)
     idf = np.log(1.0 + seen[-1]) - np.log(np.maximum(seen[:-1], 1))
-    learned = (vectors.select(F.col(f"doc.`{id_col}`").cast("bigint").alias("doc_id"), "features", "counts")
-               .join(chosen, "doc_id").groupBy("doc_id")
-               .agg(F.min(F.struct("features", "counts", "toxic")).alias("v")).orderBy("doc_id").collect())
-    model = Model([(r.doc_id, list(r.v.features), list(r.v.counts), r.v.toxic) for r in learned], idf)
-    return vectors.mapInArrow(_scorer(spark.sparkContext.broadcast(cloudpickle.dumps(model))),
-                              T.StructType([T.StructField("doc", doc.dataType), T.StructField("score", T.DoubleType()),
-                                            T.StructField("evidence", EVIDENCE)]))
+    vectors = (learned.mapInArrow(_vectors(sent), "doc_id long, features array<int>, counts array<int>, toxic int")
+               .orderBy("doc_id").collect())
+    model = Model([(r.doc_id, list(r.features), list(r.counts), r.toxic) for r in vectors], idf)
+    order = [c for c in docs.columns if c != text_col] + [text_col]
+    packed = docs.select(F.struct(*[F.col(f"`{c}`") for c in order]).alias("doc"))
+    return packed.mapInArrow(_scorer(sent, spark.sparkContext.broadcast(cloudpickle.dumps(model))), T.StructType([
+        packed.schema["doc"], T.StructField("score", T.DoubleType()), T.StructField("evidence", EVIDENCE)]))
 
 
 def score_documents(docs: DataFrame, labelled: DataFrame, examples: int = EXAMPLES, features: int = FEATURES,

@@ -60,7 +60,7 @@ def test_pipeline_deletes_spent_tables_and_keeps_odd_columns(spark, tmp_path):
     with tables.tracked() as paths:
         out = corpus_pipeline.run(spark, sf)
     left = {os.path.basename(p).rpartition("-")[0] for p in paths if os.path.exists(p)}
-    assert "stage-secret_scan" in left and not left & {"toxicity-vectors", "shared-shingles", "stage-toxicity",
+    assert "stage-secret_scan" in left and not left & {"toxicity-examples", "shared-shingles", "stage-toxicity",
                                                        "stage-line_dedup", "stage-ngram_jaccard_join"}
     assert out.count() > 0
     cut = corpus_pipeline.drop_boilerplate(spark, spark.read.parquet(f"{sf}/documents.parquet"), sf)
