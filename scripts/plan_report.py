@@ -36,20 +36,16 @@ COUNTS = {
 
 
 READING = """
-Reading the table: with broadcasting off, the customer and merchant marts
-shuffle once per aggregation step plus once for the dimension (the
-per-key aggregates and the dimension meet on one hash partitioning);
-aggregates of the same groups computed separately are combined by a union
-and a regroup, which needs no shuffle. `Expand` appears only for true
-multi-column distinct counts (e.g. distinct transactions and distinct
-merchants per customer); typed distinct counts use the two-step reduction.
-`WindowGroupLimit` trims every top-5 list before its shuffle. The top-5
-lists rank first and look merchant names up for the top rows only, then
-rank again: without broadcasting that costs one more exchange per list, but
-every exchange after the first ranking carries at most 5 rows per day,
-where looking names up first shuffled every merchant-day row by merchant. The data
-quality report scans each source table a few times (6 unique, 23 not-null
-and 4 relationship tests); its shuffles carry key columns only.
+Reading the table (facts in folders by day): the customer and merchant marts scan
+each of their three facts once and the dimension once; the daily marts scan their fact twice
+(totals of a day, and its merchants), the calendar and the merchants once. All
+distinct counts of one scan come from one reduction to `(group, key)`, whose
+rows are narrow and tagged with their key (`multi_counts`), so there is no
+`Expand`. Days are joined by number, so that Spark adds no pruning subquery
+that would run a branch again. `WindowGroupLimit` trims the daily top-5 lists of
+transactions before their shuffle; the payment mart ranks both orders over the same merchant-day
+rows, and looks names up for the rows that either order keeps. The data quality
+report scans each table once and shuffles once by key.
 """
 
 
