@@ -116,8 +116,8 @@ def test_top_k_with_ties_nulls_and_repeats(spark, monkeypatch):
     data += [(400, None), (401, [float("nan")] * 6), (402, [None] * 6), (403, [float("inf")] * 6), (None, [0.1] * 6),
              (5, data[5][1])]
     df = spark.createDataFrame(data, "vec_id long, embedding array<float>")
-    monkeypatch.setattr(topk_search, "ROWS_IN_BLOCK", 64)
-    vectors = topk_search.quantised(df)
+    monkeypatch.setattr(topk_search, "QUERIES_IN_BLOCK", 4)          # several broadcasts
+    vectors = topk_search.quantised(df).repartition(3)
     known = {r.vec_id: r.v for r in vectors.collect()}
     assert set(known) == set(range(300))
     got = {tuple(r) for r in topk_search.top_k(vectors.where("vec_id % 20 = 0"), vectors, 7).collect()}
@@ -133,6 +133,55 @@ def test_top_k_of_few_rows(spark):
     assert topk_search.top_k(none, vectors).count() == 0 and topk_search.top_k(vectors, none).count() == 0
 
 
+def test_top_k_of_huge_components_uneven_and_empty_vectors(spark):
+    data = [(0, [1e15, 1.0]), (100, [-1e15]), (200, [1e15, -3.0, 2.0]), (3, [1e300, 1.0]), (4, []), (5, [0.5, 0.25]), (6, [2.0] * 9)]
+    vectors = topk_search.quantised(spark.createDataFrame(data, "vec_id long, embedding array<double>"))
+    known = {r.vec_id: r.v for r in vectors.collect()}
+    assert known[3][0] == 2 ** 63 - 1 and known[4] == []
+    clip = lambda s: min(max(s, -2 ** 63), 2 ** 63 - 1)
+    for k in (2, 10):
+        want = set()
+        for q in known:
+            scored = sorted((-clip(sum(a * b for a, b in zip(known[q], y))), v) for v, y in known.items() if v != q)
+            want |= {(q, r + 1, v, -s) for r, (s, v) in enumerate(scored[:k])}
+        assert {tuple(r) for r in topk_search.top_k(vectors, vectors, k).collect()} == want
+
+
+def _search_blocks(vectors, k=10):
+    """Every hundredth vector against all, in blocks; share of postings read and the best of each query."""
+    ids = np.arange(len(vectors))
+    who = np.flatnonzero(ids % 100 == 0)
+    best, read, whole = topk_search.Best(len(who), k), 0, 0
+    for at in range(0, len(vectors), 1000):
+        index = topk_search.ImpactIndex(ids[at:at + 1000], vectors[at:at + 1000])
+        index.search(vectors[who], ids[who], np.arange(len(who)), best)
+        read, whole = read + index.read, whole + index.postings * len(who)
+    for n, i in enumerate(who):
+        score = vectors @ vectors[i]
+        order = [j for j in np.lexsort((ids, -score)) if j != i][:k]
+        assert best.ids[n].tolist() == order and best.scores[n].tolist() == score[order].tolist()
+    return read / whole
+
+
+def test_reading_stops_early_on_skewed_and_on_real_vectors(spark):
+    rng = np.random.default_rng(3)
+    flat = rng.normal(size=(4000, 32))
+    heavy = np.floor(1024 * flat ** 5).astype(np.int64)                       # few large components
+    falling = np.floor(flat / np.arange(1, 4001)[:, None] * 1e6).astype(np.int64)   # norms fall from block to block
+    assert _search_blocks(heavy) < 0.5
+    assert _search_blocks(falling) < 0.35                                     # later blocks are skipped
+    rows = topk_search.quantised(spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet")).orderBy("vec_id").collect()
+    assert _search_blocks(np.array([r.v for r in rows])) < 0.7
+
+
+def test_rows_of_a_search_are_not_shuffled(spark):
+    rows = topk_search.quantised(spark.read.parquet("/root/testdata/sf0.001/embeddings.parquet"))
+    stored = topk_search.written(rows, "test-vectors")
+    plan = topk_search.top_k(stored.where("vec_id % 100 = 0"), stored)._jdf.queryExecution().executedPlan().toString()
+    below = plan[plan.index("MapInArrow"):]
+    assert "Exchange" not in below and "CartesianProduct" not in plan and "NestedLoop" not in plan
+
+
 # ------------------------------------------------------------------ 3 fingerprints
 
 def test_fingerprints_of_edited_texts(docs, rows):
