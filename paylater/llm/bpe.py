@@ -18,6 +18,7 @@ compressed row per block and bucket, so the shuffle is a fraction of the text.
 
 from __future__ import annotations
 
+import hashlib
 import json
 import re
 import zlib
@@ -25,7 +26,6 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -79,17 +79,24 @@ def _unpack(payload: bytes) -> tuple[list[bytes], np.ndarray]:
     return [raw[a:b] for a, b in zip([4 + 8 * n, *ends], ends)], places
 
 
+def _content_key(ids: np.ndarray, body: bytes) -> int:
+    """A block is named by what it holds, so another order of rows can't join it to another block's words."""
+    digest = hashlib.blake2b(ids.astype("<i8").tobytes(), digest_size=8)
+    digest.update(body)
+    return int.from_bytes(digest.digest(), "little", signed=True)
+
+
 def _split(buckets: int, specials: list[str], part: str):
     """``part`` "words": a row for each block and bucket; "texts": a row for each block."""
     special = re.compile("(" + "|".join(map(re.escape, specials)) + ")") if specials else None
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        block = TaskContext.get().partitionId() << 32
         for batch in batches:
             ids = batch.column("doc_id").to_numpy()
             data, at = binary_views(batch.column("body"))
             raw = data.tobytes()
             for first, end in row_blocks(at, BLOCK_BYTES):
+                block = _content_key(ids[first:end], raw[at[first]:at[end]])
                 table, places, counts = WordTable(), [], np.zeros(end - first, np.int32)
                 for i in range(first, end):
                     for text in _parts(raw[at[i]:at[i + 1]].decode()):
@@ -112,7 +119,6 @@ def _split(buckets: int, specials: list[str], part: str):
                     picks = [order[edges[b]:edges[b + 1]] for b in some]
                     yield _rows([block] * len(some), some,
                                 [_pack([words[k] for k in p], p) for p in picks])
-                block += 1
     return run
 
 
@@ -137,7 +143,8 @@ def _encoder(tokenizer):
                 known = len(table)
                 mine = table.places(words)
                 if len(table) > known:
-                    more, more_at = encode_words(encoder, [w.decode() for w in list(table)[known:]])
+                    more, more_at = encode_words(
+                        encoder, [w.decode() for w, place in zip(words, mine.tolist()) if place >= known])
                     offsets = np.concatenate([offsets, more_at[1:] + len(flat)])
                     flat = np.concatenate([flat, more])
                 sizes = np.diff(offsets)[mine]
@@ -173,6 +180,9 @@ def _joiner(pieces):
             counts = np.frombuffer(raw, "<i4", n, 8 + 8 * n)
             planes = np.frombuffer(raw, np.uint8, offset=8 + 12 * n).reshape(4, -1)
             flat_places = np.ascontiguousarray(planes.T).view("<u4").ravel()
+            if flat_places.max(initial=0) >= max(len(place), 1):
+                raise RuntimeError("rows were read in another order for the words than for the texts; "
+                                   "give encode_decode a written table")
             ends = np.cumsum(counts)
             for i, low, high in zip(ids.tolist(), (ends - counts).tolist(), ends.tolist()):
                 picks = flat_places[low:high]
@@ -195,7 +205,8 @@ def encode_decode(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id",
 
     For byte-level BPE files with the library's own splitting pattern and no
     normalizer.  Null and empty texts have no ids.  Every row with an id
-    is encoded, repeated ids too; other columns are not read.
+    is encoded, repeated ids too; other columns are not read.  ``docs`` is read twice, and both readings
+    must deal the rows alike, as scans of files do; where they don't, the job fails instead of mixing words.
     """
     spark = docs.sparkSession
     text = tokenizer_text(tokenizer_path)
