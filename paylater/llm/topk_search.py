@@ -30,9 +30,9 @@ from paylater.llm import documents
 from paylater.llm.tables import written
 
 LEVELS = 12                  # impact levels of a block
-ROWS_IN_BLOCK = 4096
-BLOCKS_HELD = 16             # blocks of rows that a task orders by norm at once
-QUERIES_AT_ONCE = 256        # accumulators in memory: this many for each row of a block
+ROWS_IN_BLOCK = 2048
+BLOCKS_HELD = 32             # blocks of rows that a task orders by norm at once
+QUERIES_AT_ONCE = 64         # accumulators: this many for each row of a block, 1 MB
 QUERIES_IN_BLOCK = 16_384    # queries of one broadcast: 8 MB at 64 components
 ROUNDING = 1e-9              # far over the error of float sums, relative to the product of norms
 LEAST, MOST = -(1 << 63), (1 << 63) - 1
@@ -64,9 +64,9 @@ def _norms(vectors: np.ndarray) -> np.ndarray:
     return np.sqrt((vectors.astype(float) ** 2).sum(axis=1))
 
 
-def exact_scores(vectors: np.ndarray, query: np.ndarray) -> np.ndarray:
-    """Inner products as longs; those beyond 64 bits become the nearest long."""
-    if _norms(vectors).max(initial=0) * _norms(query[None, :])[0] < 2.0 ** 62:
+def exact_scores(vectors: np.ndarray, query: np.ndarray, bound: float) -> np.ndarray:
+    """Inner products as longs, of sizes under ``bound``; those beyond 64 bits become the nearest long."""
+    if bound < 2.0 ** 62:
         return vectors @ query
     whole = [sum(a * b for a, b in zip(v, query.tolist())) for v in vectors.tolist()]
     return np.array([min(max(s, LEAST), MOST) for s in whole], np.int64)
@@ -82,6 +82,11 @@ class Best:
         self.least = np.full(n_queries, -np.inf)       # k-th score, once there are k
 
     def add(self, query: int, ids: np.ndarray, scores: np.ndarray) -> None:
+        if len(self.ids[query]) == self.k:
+            rise = scores >= self.scores[query][-1]
+            ids, scores = ids[rise], scores[rise]
+        if not len(ids):
+            return
         ids, scores = np.concatenate([self.ids[query], ids]), np.concatenate([self.scores[query], scores])
         order = np.lexsort((ids, ~scores))[:self.k]    # ~s falls as s rises, without overflow
         self.ids[query], self.scores[query] = ids[order], scores[order]
@@ -94,6 +99,7 @@ class ImpactIndex:
 
     def __init__(self, ids: np.ndarray, vectors: np.ndarray, levels: int = LEVELS):
         self.ids, self.vectors, self.norm = ids, vectors, _norms(vectors)
+        self.row_of = {i: row for row, i in enumerate(ids.tolist())}
         self.high, self.low = vectors.max(axis=0).astype(float), vectors.min(axis=0).astype(float)
         size = np.abs(vectors.astype(float))
         values = size[size > 0]
@@ -121,10 +127,9 @@ class ImpactIndex:
         q = queries[which].astype(float)
         keep = self.reachable(q, norm, best.least[which])
         which, q, norm = which[keep], q[keep], norm[keep]
-        own = {int(i): row for row, i in enumerate(self.ids)}
         score = np.zeros((len(self.ids), len(which)))
         for column, query in enumerate(which):
-            if (row := own.get(int(query_ids[query]))) is not None:
+            if (row := self.row_of.get(int(query_ids[query]))) is not None:
                 score[row, column] = -np.inf
         unread = self.postings
         for lists, count, left in self.segments:
@@ -136,7 +141,7 @@ class ImpactIndex:
             self.read += count * len(which)
             least = best.least[which]
             for column in np.flatnonzero(np.isneginf(least)):
-                least[column] = self._seed(score[:, column], queries[which[column]], best.k)
+                least[column] = self._seed(score[:, column], queries[which[column]], norm[column], best.k)
             slack = left[:, None] * norm + ROUNDING * (1 + self.norm[:, None] * norm)
             possible = (np.maximum(score + slack, float(LEAST)) >= least) & ~np.isneginf(score)
             done = possible.sum(axis=0) * self.vectors.shape[1] <= unread
@@ -144,16 +149,19 @@ class ImpactIndex:
                 done[:] = True
             for column in np.flatnonzero(done):
                 rows = np.flatnonzero(possible[:, column])
-                best.add(which[column], self.ids[rows], exact_scores(self.vectors[rows], queries[which[column]]))
+                best.add(which[column], self.ids[rows], self._exact(rows, queries[which[column]], norm[column]))
             if done.any():
                 which, q, norm, score = which[~done], q[~done], norm[~done], score[:, ~done]
 
-    def _seed(self, score: np.ndarray, query: np.ndarray, k: int) -> float:
+    def _exact(self, rows: np.ndarray, query: np.ndarray, norm: float) -> np.ndarray:
+        return exact_scores(self.vectors[rows], query, self.norm.max() * norm)
+
+    def _seed(self, score: np.ndarray, query: np.ndarray, norm: float, k: int) -> float:
         """The k-th best has at least the least exact score of any ``k`` rows: of those ahead so far."""
         if np.isfinite(score).sum() < k:
             return -np.inf
         ahead = np.argpartition(-score, k - 1)[:k]
-        return float(exact_scores(self.vectors[ahead], query).min())
+        return float(self._exact(ahead, query, norm).min())
 
 
 def _blocks(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[ImpactIndex]:
