@@ -1,10 +1,10 @@
 """Full refresh of the warehouse as one batch job.
 
     python -m paylater.jobs --target DIR (--sources DIR [--format csv|parquet|jdbc]
-                                          | --test-tables SF_DIR)
+                                          | --test-tables SF_DIR | --rebuild)
                             [--as-of YYYY-MM-DD] [--calendar-start YYYY-MM-DD]
                             [--shuffle-partitions N] [--no-partition-by-day] [--register] [--strict]
-                            [--incremental]
+                            [--incremental] [--join-buckets N]
 
 Reads the six source tables (one folder each under ``--sources``, or the
 mapping over the driver's test tables), loads bronze, builds silver and
@@ -63,14 +63,14 @@ def read_sources(spark: SparkSession, sources: str, fmt: str) -> dict[str, DataF
 
 def refresh(spark: SparkSession, sources: dict[str, DataFrame], target: str, ctx: RunContext,
             parallel_jobs: int = 4, register: bool = False,
-            partition_by_day: bool = True) -> dict:
+            partition_by_day: bool = True, join_buckets: int | None = None) -> dict:
     """bronze -> silver -> gold, then the DQ and load reports; returns a summary.
 
     With ``register``, the written tables are exposed in the catalog as
     ``bronze.*``, ``silver.*``, ``gold.*`` and ``reports.*``.
     """
     stg, silver = warehouse.build_warehouse(spark, bronze.bronze_frames(sources, ctx), target, ctx,
-                                            parallel_jobs, partition_by_day)
+                                            parallel_jobs, partition_by_day, join_buckets)
     gold = warehouse.build_gold(spark, silver, target, ctx, parallel_jobs)
     root = target.rstrip("/")
     bronze.replace_folder(quality.dq_report(stg), f"{root}/reports/dq_report")
@@ -88,10 +88,24 @@ def refresh(spark: SparkSession, sources: dict[str, DataFrame], target: str, ctx
     return summary
 
 
+def rebuild(spark: SparkSession, target: str, ctx: RunContext, parallel_jobs: int = 4,
+            partition_by_day: bool = True, join_buckets: int | None = None) -> dict:
+    """silver and gold from the bronze tables under ``target``; no source is read.
+
+    For a changed run date or mart, or after several increments.  With ``join_buckets`` the plans' transaction lookup
+    reads the bucketed copies of the last build where bronze is still the same.
+    """
+    root = target.rstrip("/")
+    _, silver = warehouse.build_silver(spark, warehouse.read_bronze(spark, root), root, ctx, parallel_jobs, partition_by_day,
+                                       join_buckets)
+    return {"target": root, "gold": sorted(warehouse.build_gold(spark, silver, root, ctx, parallel_jobs))}
+
+
 def main(argv=None) -> int:
     ap = argparse.ArgumentParser()
     ap.add_argument("--target", required=True)
     src = ap.add_mutually_exclusive_group(required=True)
+    src.add_argument("--rebuild", action="store_true", help="silver and gold from bronze under the target")
     src.add_argument("--sources")
     src.add_argument("--test-tables")
     ap.add_argument("--format", choices=["csv", "parquet", "jdbc"], default="parquet",
@@ -106,6 +120,8 @@ def main(argv=None) -> int:
                     help="write facts in one folder, not partitioned by their date key")
     ap.add_argument("--incremental", action="store_true",
                     help="load new rows into all layers under the target instead of a full refresh")
+    ap.add_argument("--join-buckets", type=int, default=None,
+                    help="keep plans and transaction ids in so many buckets of the transaction id")
     ap.add_argument("--shuffle-partitions", type=int, default=None,
                     help="about total shuffle bytes / 128 MB; AQE coalesces down")
     args = ap.parse_args(argv)
@@ -113,6 +129,10 @@ def main(argv=None) -> int:
     ctx = RunContext(as_of=args.as_of, updated_at=dt.datetime.now().replace(microsecond=0),
                      extracted_at=dt.datetime.now().replace(microsecond=0),
                      calendar_start=args.calendar_start)
+    if args.rebuild:
+        print(json.dumps(rebuild(spark, args.target, ctx, partition_by_day=not args.no_partition_by_day,
+                                 join_buckets=args.join_buckets)))
+        return 0
     if args.sources and args.format == "jdbc":
         sources = read_database(spark, args.sources, args.target, args.jdbc_ranges)
     elif args.sources:
@@ -123,12 +143,12 @@ def main(argv=None) -> int:
         print(json.dumps(increment(spark, sources, args.target, ctx)))
         return 0
     summary = refresh(spark, sources, args.target, ctx, register=args.register,
-                      partition_by_day=not args.no_partition_by_day)
+                      partition_by_day=not args.no_partition_by_day, join_buckets=args.join_buckets)
     print(json.dumps(summary))
     return 1 if (args.strict and summary["failing_tests"]) else 0
 
 
-__all__ = ["refresh", "increment", "append_new", "read_sources", "read_database", "main"]
+__all__ = ["refresh", "rebuild", "increment", "append_new", "read_sources", "read_database", "main"]
 
 
 if __name__ == "__main__":

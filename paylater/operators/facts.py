@@ -133,6 +133,27 @@ def fact_payment_plans(stg_payment_plans: DataFrame, stg_installments: DataFrame
     metrics = plan_installment_metrics(stg_installments)
     p = stg_payment_plans.join(metrics, on="plan_id", how="left")
     p = lookup_key(p, fact_txn, "transaction_id", "transaction_sk", spread_nulls_by="plan_id")
+    return _plan_facts(p, dim_customers, dim_merchants, ctx)
+
+
+def fact_payment_plans_bucketed(plans_by_transaction: DataFrame, transaction_ids: DataFrame,
+                                stg_payment_plans: DataFrame, stg_installments: DataFrame,
+                                dim_customers: DataFrame, dim_merchants: DataFrame, ctx: RunContext) -> DataFrame:
+    """S8 + S10 over tables bucketed alike by ``transaction_id`` (``sources.bucketed``).
+
+    The transaction lookup comes first, while both sides still lie in their buckets: no row of either is
+    shuffled for it.  Plans without a transaction id are in no bucket; they come from ``stg_payment_plans``.
+    One transaction that holds a large part of the plans makes one long bucket, which a task reads as a stream.
+    """
+    found = lookup_key(plans_by_transaction, transaction_ids, "transaction_id", "transaction_sk")
+    without = (stg_payment_plans.where(F.col("transaction_id").isNull())
+               .withColumn("transaction_sk", F.lit(None).cast("string")))
+    p = found.unionByName(without).join(plan_installment_metrics(stg_installments), on="plan_id", how="left")
+    return _plan_facts(p, dim_customers, dim_merchants, ctx)
+
+
+def _plan_facts(p: DataFrame, dim_customers: DataFrame, dim_merchants: DataFrame, ctx: RunContext) -> DataFrame:
+    """Columns of S10 from plans with their installment metrics and ``transaction_sk``."""
     p = lookup_key(p, dim_customers, "customer_id", "customer_sk", spread_nulls_by="plan_id")
     p = lookup_key(p, dim_merchants, "merchant_id", "merchant_sk", spread_nulls_by="plan_id")
     zero = F.lit(0).cast("bigint")

@@ -15,6 +15,7 @@ from concurrent.futures import ThreadPoolExecutor
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from paylater.context import RunContext
@@ -23,6 +24,7 @@ from paylater.operators.staging import stage
 from paylater.sources import fixtures
 from paylater.sources.bronze import (BronzeLoadError, LoadReport, add_lineage, fresh_folder, load_table,
                                      publish_folder, restore_folder)
+from paylater.sources.bucketed import bucketed
 from paylater import schemas
 
 SILVER_TABLES = ["dim_customers", "dim_merchants", "dim_dates",
@@ -205,8 +207,8 @@ class Publication:
 
 
 def build_warehouse(spark: SparkSession, bronze: dict[str, DataFrame], base_path: str,
-                    ctx: RunContext, parallel_jobs: int = 4, partition_facts_by_day: bool = True
-                    ) -> tuple[dict[str, DataFrame], StoredSilver]:
+                    ctx: RunContext, parallel_jobs: int = 4, partition_facts_by_day: bool = True,
+                    join_buckets: int | None = None) -> tuple[dict[str, DataFrame], StoredSilver]:
     """Full refresh in dependency order: bronze, dimensions, then facts.
 
     Every layer is written once and the next one reads the files, so no
@@ -218,11 +220,9 @@ def build_warehouse(spark: SparkSession, bronze: dict[str, DataFrame], base_path
     written partitioned by their date key (see ``write_by_day``), for
     date-filtered reads at scale.  The silver tables are switched to their new versions together at the end
     (``Publication``).  Returns the staging frames (over bronze files) and the
-    silver tables, with ``bronze_counts`` taken by the loads.
+    silver tables, with ``bronze_counts`` taken by the loads.  ``join_buckets``: see ``build_silver``.
     """
     root = base_path.rstrip("/")
-    layer = Publication(spark, f"{root}/silver", partition_facts_by_day)
-    write = layer.write
     counts: dict[str, dict] = {}
 
     try:
@@ -233,7 +233,24 @@ def build_warehouse(spark: SparkSession, bronze: dict[str, DataFrame], base_path
         raise BronzeLoadError(LoadReport(
             loaded={t: f"{root}/bronze/{t}" for t in err.done},
             failed={t: f"{type(e).__name__}: {e}" for t, e in err.failed.items()})) from err
-    stg = {t: stage(stored_bronze[t], t) for t in bronze}
+    stg, silver = build_silver(spark, stored_bronze, root, ctx, parallel_jobs, partition_facts_by_day, join_buckets)
+    silver.bronze_counts = counts
+    return stg, silver
+
+
+def build_silver(spark: SparkSession, stored_bronze: dict[str, DataFrame], base_path: str, ctx: RunContext,
+                 parallel_jobs: int = 4, partition_facts_by_day: bool = True,
+                 join_buckets: int | None = None) -> tuple[dict[str, DataFrame], StoredSilver]:
+    """Dimensions, then facts, from written bronze tables; published together.
+
+    With ``join_buckets`` the plans and the transaction ids are kept in so many buckets of the transaction id, so the join
+    of the two large tables shuffles neither (``sources.bucketed``).  The copies are
+    written when bronze has changed, and read by every later build of silver.
+    """
+    root = base_path.rstrip("/")
+    layer = Publication(spark, f"{root}/silver", partition_facts_by_day)
+    write = layer.write
+    stg = {t: stage(stored_bronze[t], t) for t in stored_bronze}
     d = _run_parallel({
         "dim_customers": lambda: write("dim_customers", dims.dim_customers(stg["customers"], ctx)),
         "dim_merchants": lambda: write("dim_merchants", dims.dim_merchants(stg["merchants"], ctx)),
@@ -246,14 +263,34 @@ def build_warehouse(spark: SparkSession, bronze: dict[str, DataFrame], base_path
         write("fact_payment_plans", facts.fact_payment_plans(
             stg["payment_plans"], stg["installments"], dc, dm, ft, ctx))
 
+    def plans_from_buckets() -> None:
+        plans, sold = plan_buckets(stg, root, join_buckets)
+        write("fact_payment_plans", facts.fact_payment_plans_bucketed(
+            plans, sold, stg["payment_plans"], stg["installments"], dc, dm, ctx))
+
+    plans_first = {
+        "fact_transactions": lambda: write("fact_transactions", facts.fact_transactions(stg["transactions"], dc, dm, ctx)),
+        "fact_payment_plans": plans_from_buckets,
+    }
+    # a key that a dimension repeats multiplies rows of fact_transactions, which the staged ids don't show
+    by_bucket = join_buckets and has_unique_keys(dc, "customer_id") and has_unique_keys(dm, "merchant_id")
     _run_parallel({
-        "txn_and_plans": plans_after_transactions,
+        **(plans_first if by_bucket else {"txn_and_plans": plans_after_transactions}),
         "fact_customer_events": lambda: write("fact_customer_events", facts.fact_customer_events(
             stg["user_events"], dc, dm, ctx)),
     }, parallel_jobs)
-    silver = StoredSilver(layer.publish())
-    silver.bronze_counts = counts
-    return stg, silver
+    return stg, StoredSilver(layer.publish())
+
+
+def has_unique_keys(table: DataFrame, key: str) -> bool:
+    return table.where(F.col(key).isNotNull()).groupBy(key).count().where("count > 1").isEmpty()
+
+
+def plan_buckets(stg: dict[str, DataFrame], root: str, buckets: int) -> tuple[DataFrame, DataFrame]:
+    """Staged plans and transaction ids, in buckets of the transaction id."""
+    return (bucketed(stg["payment_plans"], "payment_plans", f"{root}/joins", "transaction_id", buckets),
+            bucketed(stg["transactions"].select("transaction_id"), "transaction_ids", f"{root}/joins",
+                     "transaction_id", buckets))
 
 
 GOLD_TABLES = ["gold_customer_analytics", "gold_merchant_analytics",
@@ -293,6 +330,16 @@ def table_schemas(spark: SparkSession, ctx: RunContext) -> dict[str, StructType]
             | {t: build().schema for t, build in gold_marts(silver, ctx).items()})
 
 
+def read_bronze(spark: SparkSession, base_path: str) -> dict[str, DataFrame]:
+    """The loaded bronze tables."""
+    out = {}
+    for table, schema in schemas.SOURCE_SCHEMAS.items():
+        whole = (StructType(list(schema.fields)).add(schemas.ETL_EXTRACTED_AT, "timestamp_ntz")
+                 .add(schemas.ETL_SOURCE, "string"))
+        out[table] = spark.read.schema(whole).parquet(f"{base_path.rstrip('/')}/bronze/{table}")
+    return out
+
+
 def read_silver(spark: SparkSession, base_path: str, ctx: RunContext) -> StoredSilver:
     """The published silver tables (a fact without any row has a folder without files)."""
     known = table_schemas(spark, ctx)
@@ -301,5 +348,5 @@ def read_silver(spark: SparkSession, base_path: str, ctx: RunContext) -> StoredS
 
 
 __all__ = ["Warehouse", "Silver", "StoredSilver", "from_test_tables", "from_bronze",
-           "build_warehouse", "build_gold", "gold_marts", "SILVER_TABLES",
-           "GOLD_TABLES", "Publication", "read_silver", "table_schemas"]
+           "build_warehouse", "build_silver", "build_gold", "plan_buckets", "gold_marts", "SILVER_TABLES",
+           "GOLD_TABLES", "Publication", "read_bronze", "read_silver", "table_schemas"]
